@@ -29,7 +29,7 @@ LINK_CLASS = "propertyCard-link"
 LINK_PATH = "/properties/"
 LINK_PATTERN = "/properties/[0-9]+"
 TOTAL_CLASS = "navcurrent"
-MODEL_MARKER = "window.PAGE_MODEL"
+MODEL_START = r"(?s)window\.PAGE_MODEL[^{]*+(\{.*)"
 MODEL_PATTERN = r"(?s)window\.PAGE_MODEL\s*=\s*(\{.*?\})\s*;</script>"
 
 # Output

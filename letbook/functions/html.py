@@ -87,9 +87,8 @@ def element_text(html: Column, tag: str, token: str | None = None, joiner: str =
 
 def attribute(markup: Column, name: str) -> Column:
     """Value of an attribute in an opening tag; NULL when absent, empty text when empty."""
-    quoted = rf"(?s)^<[^>]*?\s(?i:{name})\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
-    value = F.concat(*[F.regexp_extract(markup, quoted, g) for g in (1, 2, 3)])
-    return F.when(markup.rlike(quoted), unescape(value))
+    pattern = rf"""(?s)^<[^>]*?\s(?i:{name})\s*=\s*(["']?)((?<=")[^"]*|(?<=')[^']*|[^\s>"']+)"""
+    return unescape(F.get(F.regexp_extract_all(markup, F.lit(pattern), F.lit(2)), F.lit(0)))
 
 
 def opening_tag(html: Column, tag: str, token: str | None = None) -> Column:

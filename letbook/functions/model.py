@@ -2,50 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from letbook.fixed import MODEL_MARKER, MODEL_PATTERN
+from letbook.fixed import MODEL_PATTERN, MODEL_START
 from letbook.functions.text import bedroom_count, digits_int, first_truthy, postcode_of, to_number
 from letbook.schemas import PAGE_MODEL
 
 _BAD = "_unparsed"
 _OPTIONS = {"columnNameOfCorruptRecord": _BAD, "allowSingleQuotes": "false"}
-_ARRAY_SCHEMA = "array<struct<" + PAGE_MODEL.replace("propertyData struct", "propertyData: struct").replace(
-    "analyticsInfo struct", "analyticsInfo: struct"
-) + ">>"
+_SCHEMA = f"struct<{PAGE_MODEL}>"
 
 
-def _parsed(text: Column) -> Column:
-    """The model, or NULL where the text is no well-formed object; text after it is ignored."""
-    model = F.from_json(text, f"{PAGE_MODEL}, {_BAD} string", _OPTIONS)
-    return F.when(
-        model.getField(_BAD).isNull(),
-        F.struct(model.propertyData.alias("propertyData"), model.analyticsInfo.alias("analyticsInfo")),
-    )
-
-
-def model_by_braces(html: Column) -> Column:
+def _by_braces(rows: DataFrame, html: Column, name: str) -> DataFrame:
     """The object that starts at the first brace after the marker.
 
-    The JSON reader finds the end itself, so braces inside texts do no harm. When the first
-    reading fails, a second one ignores line breaks.
+    The JSON reader finds the end itself and ignores what follows, so braces inside texts
+    do no harm. Only where it fails is the text read again, without line breaks.
     """
-    start = F.instr(html, MODEL_MARKER)
-    tail = F.when(start > 0, F.substr(html, start))
-    brace = F.instr(tail, "{")
-    text = F.when(brace > 0, F.substr(tail, brace))
-    return F.coalesce(_parsed(text), _parsed(F.translate(text, "\r\n", "")))
+    schema = f"struct<{PAGE_MODEL}, {_BAD}: string>"
+    text = F.nullif(F.regexp_extract(html, MODEL_START, 1), F.lit(""))
+    first, second = F.col("_first"), F.col("_second")
+    again = F.from_json(F.translate("_text", "\r\n", ""), schema, _OPTIONS)
+    # each step is a column of its own, so that no text is parsed twice
+    return (
+        rows.withColumn("_text", text)
+        .withColumn("_first", F.from_json("_text", schema, _OPTIONS))
+        .withColumn("_second", F.when(first[_BAD].isNotNull(), again))
+        .withColumn(
+            name,
+            F.coalesce(F.when(first[_BAD].isNull(), first), F.when(second[_BAD].isNull(), second)),
+        )
+        .drop("_text", "_first", "_second")
+    )
 
 
-def model_by_pattern(html: Column) -> Column:
+def _by_pattern(rows: DataFrame, html: Column, name: str) -> DataFrame:
     """The shortest text from the marker's brace to `};</script>`; it must be one object."""
     text = F.nullif(F.regexp_extract(html, MODEL_PATTERN, 1), F.lit(""))
     # inside brackets, anything after the object is a syntax error instead of being ignored
     several = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), _ARRAY_SCHEMA, {"allowSingleQuotes": "false"}
+        F.concat(F.lit("["), text, F.lit("]")), f"array<{_SCHEMA}>", {"allowSingleQuotes": "false"}
+    )
+    return (
+        rows.withColumn("_several", several)
+        .withColumn(name, F.when(F.size("_several") == 1, F.get("_several", F.lit(0))))
+        .drop("_several")
     )
-    return F.when(F.size(several) == 1, F.get(several, F.lit(0)))
+
+
+def with_model(
+    rows: DataFrame, form: str = "braces", html: Column | None = None, name: str = "model"
+) -> DataFrame:
+    """Rows with the model of their page: NULL where it is missing or malformed.
+
+    `form` is `braces` or `pattern`, the two ways of finding where the model ends.
+    """
+    find = {"braces": _by_braces, "pattern": _by_pattern}[form]
+    return find(rows, F.col("html") if html is None else html, name)
 
 
 def first_filled(items: Column, field: str) -> Column:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from letbook.functions.text import truthy
+from pyspark.sql.types import StringType
 
 LISTING_KEYS = ["source", "flatshare_id", "postcode"]
 ARRIVAL = ["fetched_at", "page_idx", "pos"]
@@ -26,7 +25,8 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[Column | str]) -
 def with_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows in which no key is NULL or empty."""
     for key in keys:
-        rows = rows.where(truthy(F.col(key).cast("string")).isNotNull())
+        is_text = isinstance(rows.schema[key].dataType, StringType)
+        rows = rows.where(F.col(key) != "" if is_text else F.col(key).isNotNull())
     return rows
 
 

@@ -18,7 +18,7 @@ from letbook.fixed import (
     SALE_DOMAIN,
 )
 from letbook.functions import html as H
-from letbook.functions.model import model_by_braces, model_by_pattern, model_fields
+from letbook.functions.model import model_fields, with_model
 from letbook.functions.text import to_status
 from letbook.functions.urls import absolute, query_param, without_fragment
 
@@ -78,22 +78,23 @@ def cards(
     A part the card lacks is NULL. With `outer`, a page without cards gives one row whose
     place is NULL, and `n_items` says how many cards the page has.
     """
-    explode = F.posexplode_outer if outer else F.posexplode
     found = pages.select(
         *keep, H.blocks(H.visible(F.col("html")), layout.tag, layout.token).alias("_cards")
     )
     if outer:
         keep = [*keep, "n_items"]
         found = found.withColumn("n_items", F.coalesce(F.size("_cards"), F.lit(0)))
-    pieces = found.select(*keep, explode("_cards").alias("pos", "_card"))
+    # the outer form, as the inner one would cut the page a second time to skip empty arrays
+    pieces = found.select(*keep, F.posexplode_outer("_cards").alias("pos", "_card"))
+    if not outer:
+        pieces = pieces.where(F.col("pos").isNotNull())
     card = F.col("_card")
-    href = H.attribute(H.opening_tag(card, layout.link_tag, layout.link_token), "href")
     markup = pieces.select(
         *keep,
         "pos",
-        absolute(href, layout.domain).alias("url"),
+        H.attribute(H.opening_tag(card, layout.link_tag, layout.link_token), "href").alias("_href"),
         *[H.element_markup(card, p.tag, p.token).alias(f"_{p.name}") for p in layout.parts],
-    )
+    ).withColumn("url", absolute(F.col("_href"), layout.domain))
     return markup.select(
         *keep,
         "pos",
@@ -132,8 +133,8 @@ def links_by_anchor(
 
 
 def page_links(pages: DataFrame, links: Column, keep: list[str]) -> DataFrame:
-    """One row per link and page."""
-    return pages.select(*keep, F.explode(links).alias("url"))
+    """One row per link and page; the outer form keeps the links from being found twice."""
+    return pages.select(*keep, F.explode_outer(links).alias("url")).where(F.col("url").isNotNull())
 
 
 def detail_rows(
@@ -143,14 +144,13 @@ def detail_rows(
     keep: tuple[str, ...] = ("url",),
 ) -> DataFrame:
     """One typed row per detail page; a page without a model has its fields NULL."""
-    read = {"braces": model_by_braces, "pattern": model_by_pattern}[form]
-    status = F.col("http_status")
-    parsed = pages.select(
+    read = pages.select(
         *keep,
-        status.alias("_status"),
+        F.col("http_status").alias("_status"),
         "fetched_at",
-        F.when(status == 200, read(F.col("html"))).alias("_model"),
+        F.when(F.col("http_status") == 200, F.col("html")).alias("_html"),
     )
+    parsed = with_model(read, form, F.col("_html"), "_model")
     return parsed.select(
         *keep,
         *model_fields(F.col("_model"), strict_price),

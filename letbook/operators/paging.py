@@ -89,18 +89,22 @@ def truncate(pages: DataFrame, rules: SeriesRules, keys: list[str], **spread) ->
 
 
 def last_status(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """Per location: the status of the last page that answered, 200 when none did,
-    whether the first page had markup, and the row count."""
+    """Per location: the status of the last page that answered, 200 when none did, and
+    whether the first page had markup."""
+    return _status_facts(pages, keys).drop("_n")
+
+
+def _status_facts(pages: DataFrame, keys: list[str]) -> DataFrame:
     answered = F.nullif(F.col("http_status"), F.lit(0))
     place = F.when(answered.isNotNull(), F.col("page_idx"))
     return pages.groupBy(*keys).agg(
         F.coalesce(F.max_by(answered, place), F.lit(200)).alias("status"),
         F.coalesce(F.max((F.col("page_idx") == 0) & F.col("has_html")), F.lit(False)).alias("first_html"),
-        F.count(F.lit(1)).alias("_n"),
+        F.sum("n_items").alias("_n"),
     )
 
 
 def tag_status(rows: DataFrame, pages: DataFrame, keys: list[str], spread_by: list[str], **spread) -> DataFrame:
-    """Rows with the last status of their location."""
-    facts = last_status(pages, keys).drop("first_html")
+    """Rows with the last status of their location, whose items they are."""
+    facts = _status_facts(pages, keys).drop("first_html")
     return attach(rows, facts, keys, "_n", spread_by=spread_by, **spread)

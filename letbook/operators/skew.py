@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from letbook.session import keep
+
 # A key is hot when it holds more than 1/1000 of all rows: fewer than 1000 keys can be.
 HOT_SHARE = 1000
-HOT_ROWS = 100_000
+HOT_ROWS = 1_000_000
 SPREAD = 256
 
 
+def _equal(keys: Sequence[str], prefix: str) -> Column:
+    """Key columns equal to their prefixed twins; NULL keys match each other."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
+def _prefixed(rows: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return rows.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+
+
 def attach(
     rows: DataFrame,
     facts: DataFrame,
@@ -22,37 +34,37 @@ def attach(
     hot_rows: int = HOT_ROWS,
     spread: int = SPREAD,
 ) -> DataFrame:
-    """Every row with the facts of its key; NULL keys match each other.
-
-    `facts` has one row per key and says in `n_rows` how many rows the key has. Small facts
-    are broadcast by Spark itself. When they are too large for that, a shuffle on the key
-    would send all rows of a hot key to one task, so its rows are spread over `spread`
-    tasks by a hash of `spread_by`, and only its facts are copied that often. The list of
-    hot keys is what is broadcast on purpose: by the definition above it stays below 1000
-    rows, whatever the data.
+    """Every row with the facts of its key.
+
+    `facts` has one row per key and says in `n_rows` how many rows the key has. They are
+    written once, so Spark knows their size and broadcasts them only when that is below the
+    session's threshold. Otherwise rows are shuffled on the key; those of hot keys are first
+    spread over `spread` tasks by a hash of `spread_by`, and only the facts of hot keys are
+    copied that often. The list of hot keys itself is always broadcast: by the definition
+    above it stays below 1000 rows, whatever the data.
     """
-    total = facts.select(F.sum(n_rows)).scalar()
-    hot = (F.col(n_rows) * HOT_SHARE > total) & (F.col(n_rows) >= hot_rows)
-
-    hot_keys = facts.where(hot).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    matches = F.lit(True)
-    for key in keys:
-        matches = matches & F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
-    flagged = hot_keys.withColumn("_hot", F.lit(True))
+    kept = keep(facts, "facts")
+    size = kept.agg(F.sum(n_rows).alias("total"), F.max(n_rows).alias("most")).first()
+    least = max((size["total"] or 0) // HOT_SHARE + 1, hot_rows)
+    if (size["most"] or 0) < least:
+        plain = _prefixed(kept, keys, "_fact_")
+        return rows.join(plain, _equal(keys, "_fact_"), "left").drop(
+            n_rows, *[f"_fact_{k}" for k in keys]
+        )
+
+    hot = F.col(n_rows) >= least
+    hot_keys = _prefixed(kept.where(hot).select(*keys), keys, "_hot_").withColumn("_hot", F.lit(True))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int"))
-    salted = (
-        rows.join(F.broadcast(flagged), matches, "left")
-        .withColumn("_salt", F.coalesce(salt, F.lit(0)))
-        .drop("_hot", *[f"_hot_{k}" for k in keys])
+    salted = rows.join(F.broadcast(hot_keys), _equal(keys, "_hot_"), "left").withColumn(
+        "_salt", F.coalesce(salt, F.lit(0))
     )
-
     salts = F.when(hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    copies = facts.withColumn("_fact_salt", F.explode(salts)).withColumnsRenamed(
-        {k: f"_fact_{k}" for k in keys}
-    )
-    same = F.col("_salt") == F.col("_fact_salt")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_fact_{key}"))
+    copies = _prefixed(kept, keys, "_fact_").withColumn("_fact_salt", F.explode(salts))
+    same = _equal(keys, "_fact_") & (F.col("_salt") == F.col("_fact_salt"))
     return salted.join(copies, same, "left").drop(
-        "_salt", "_fact_salt", n_rows, *[f"_fact_{k}" for k in keys]
+        "_hot",
+        "_salt",
+        "_fact_salt",
+        n_rows,
+        *[f"_{side}_{k}" for k in keys for side in ("hot", "fact")],
     )

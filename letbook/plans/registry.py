@@ -12,7 +12,7 @@ from letbook.fixed import ROOM_SOURCE
 from letbook.functions import html as H
 from letbook.functions import text as T
 from letbook.functions import urls as U
-from letbook.functions.model import first_filled, model_by_braces, model_by_pattern, model_fields
+from letbook.functions.model import first_filled, model_fields, with_model
 from letbook.operators import dedup, extract, filters, health, ledger, paging, reports, retry
 from letbook.plans import sales
 from letbook.plans.inputs import (
@@ -485,16 +485,14 @@ def urls_per_key(spark, sf_dir):
 
 @query
 def page_model_regex(spark, sf_dir):
-    model = model_by_pattern(F.col("html"))
-    read = detail_src(spark, sf_dir).select("listing_no", model.alias("m"))
-    return read.select("listing_no", *model_fields(F.col("m"), strict_price=False))
+    read = with_model(detail_src(spark, sf_dir), "pattern")
+    return read.select("listing_no", *model_fields(F.col("model"), strict_price=False))
 
 
 @query
 def page_model_balanced(spark, sf_dir):
-    model = model_by_braces(F.col("html"))
-    read = detail_src(spark, sf_dir).select("listing_no", model.alias("m"))
-    return read.select("listing_no", *model_fields(F.col("m")))
+    read = with_model(detail_src(spark, sf_dir), "braces")
+    return read.select("listing_no", *model_fields(F.col("model")))
 
 
 @query

@@ -34,11 +34,11 @@ FETCH_LOG = (
 
 # Every leaf is read as text and typed afterwards, so that `250000.0` and `"250000"` stay apart.
 PAGE_MODEL = (
-    "propertyData struct<"
+    "propertyData: struct<"
     "address: struct<displayAddress: string, outcode: string, incode: string>, "
     "bedrooms: string, propertySubType: string, propertyType: string, "
     "sizings: array<struct<display: string>>>, "
-    "analyticsInfo struct<analyticsProperty: struct<postcode: string, price: string>>"
+    "analyticsInfo: struct<analyticsProperty: struct<postcode: string, price: string>>"
 )
 
 # Shards on disk. Scanning with a superset schema fills columns a file lacks with NULL.
