@@ -14,6 +14,9 @@ from letbook.fixed import TOTAL_CLASS
 from letbook.functions.text import strip
 
 _NESTING = 3
+# A character that HTML does not allow. Cutting at one plain character is far cheaper than
+# cutting at a pattern, which Spark compiles anew for every value.
+_CUT = "\x00"
 _ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
@@ -44,9 +47,9 @@ def element(tag: str, token: str | None = None) -> str:
 
 
 def visible(html: Column) -> Column:
-    """The page without comments, scripts and styles."""
+    """The page without comments, scripts, styles and the cutting character."""
     return F.regexp_replace(
-        html, r"(?is)<!--.*?-->|<(script|style)(?=[\s>])[^>]*>.*?</\1\s*>", ""
+        html, rf"(?is)<!--.*?-->|<(script|style)(?=[\s>])[^>]*>.*?</\1\s*>|{_CUT}", ""
     )
 
 
@@ -54,25 +57,29 @@ def unescape(text: Column) -> Column:
     """Entities resolved in one pass, so that `&amp;lt;` becomes `&lt;`."""
     names = F.create_map(*[F.lit(x) for pair in sorted(name2codepoint.items()) for x in pair])
 
-    def resolve(piece: Column) -> Column:
-        name = F.regexp_extract(piece, "^&([#A-Za-z0-9]+);", 1)
-        code = (
+    def code_of(name: Column) -> Column:
+        return (
             F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int"))
             .when(name.startswith("#"), F.substr(name, F.lit(2)).try_cast("int"))
             .otherwise(F.try_element_at(names, name))
         )
+
+    def resolve(code: Column, piece: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(piece, "(?s)^&[#A-Za-z0-9]+;", "")
-        # a split at the start of each entity leaves at most one entity, in front
-        return F.coalesce(F.when(code < 0x110000, F.concat(char, rest)), piece)
+        rest = F.substr(piece, F.instr(piece, ";") + 1)
+        return F.when(code < 0x110000, F.concat(char, rest)).otherwise(piece)
 
-    pieces = F.split(text, f"(?={_ENTITY})")
-    return F.when(text.contains("&"), F.array_join(F.transform(pieces, resolve), "")).otherwise(text)
+    # cut in front of each entity, a piece has at most one, at its start
+    pieces = F.split(F.regexp_replace(text, f"(?={_ENTITY})", _CUT), _CUT)
+    found = F.transform(pieces, lambda p: F.regexp_extract(p, "^&([#A-Za-z0-9]+);", 1))
+    whole = F.array_join(F.zip_with(F.transform(found, code_of), pieces, resolve), "")
+    return F.when(text.contains("&"), whole).otherwise(text)
 
 
 def inner_text(markup: Column, joiner: str = "") -> Column:
     """Text parts between the tags, each stripped, empty ones left out, joined."""
-    parts = F.transform(F.split(markup, "<[^>]*>"), lambda p: strip(unescape(p)))
+    pieces = F.split(F.regexp_replace(markup, "<[^>]*>", _CUT), _CUT)
+    parts = F.transform(pieces, lambda p: strip(unescape(p)))
     return F.array_join(F.filter(parts, lambda p: p != ""), joiner)
 
 
@@ -101,11 +108,11 @@ def blocks(html: Column, tag: str, token: str | None = None) -> Column:
     The page is cut in front of every opening tag, so an element inside another one gets
     its own piece. A piece ends with its element when that is closed within it.
     """
-    start = opening(tag, token)
-    pieces = F.filter(F.split(html, f"(?={start})"), lambda p: p.rlike(f"^{start}"))
-    return F.transform(
-        pieces, lambda p: F.coalesce(F.regexp_substr(p, F.lit(f"^{element(tag, token)}")), p)
-    )
+    marked = F.regexp_replace(html, f"(?={opening(tag, token)})", _CUT)
+    # what comes before the first mark is no element; no value holds a billion of them
+    pieces = F.slice(F.split(marked, _CUT), 2, 1_000_000_000)
+    whole = F.lit(f"^{element(tag, token)}")
+    return F.transform(pieces, lambda p: F.coalesce(F.regexp_substr(p, whole), p))
 
 
 def result_total(page: Column) -> Column:

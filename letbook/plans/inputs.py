@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from letbook.operators.running import running
+from letbook.sources.pages import over_all_cores
 
 SITE = "https://example.test"
 
@@ -17,9 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sale_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sale_src(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Orders as sale listings; every 17th has no price."""
     orders = table(spark, sf_dir, "orders")
+    if spread:
+        orders = over_all_cores(orders)
     customer = table(spark, sf_dir, "customer")
     key = F.col("o_orderkey")
     return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
@@ -105,7 +108,7 @@ def detail_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).otherwise(F.lit("")),
         F.lit("</head><body><p>{text}</p></body></html>"),
     )
-    return _model_json(sale_src(spark, sf_dir)).select(
+    return _model_json(sale_src(spark, sf_dir, spread=True)).select(
         "url",
         "listing_no",
         F.when(no % 19 == 0, 503).otherwise(200).alias("http_status"),
@@ -139,7 +142,7 @@ def card_pages_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<br> area</p><span class="listing-card__room"><span>Double</span> room</span></li></ul>'),
         F.lit('<span class="listing-card__availability">Now</span>'),
     )
-    return table(spark, sf_dir, "events").select(
+    return over_all_cores(table(spark, sf_dir, "events")).select(
         F.concat(F.lit("R"), (F.col("user_id") % 40).cast("string")).alias("key"),
         F.lit(0).alias("page_idx"),
         F.col("ts").alias("fetched_at"),

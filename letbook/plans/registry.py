@@ -444,7 +444,7 @@ LIST_LAYOUT = extract.CardLayout(
 @query
 def card_fields(spark, sf_dir):
     """List items of web pages as cards."""
-    return extract.cards(table(spark, sf_dir, "pages"), ["page_id"], LIST_LAYOUT).select(
+    return extract.cards(pages.over_all_cores(table(spark, sf_dir, "pages")), ["page_id"], LIST_LAYOUT).select(
         "page_id", "pos", "url", "title", "strong"
     )
 
@@ -459,12 +459,12 @@ def room_cards(spark, sf_dir):
 @query
 def links_regex(spark, sf_dir):
     links = extract.links_by_pattern(F.col("html"), "/[A-Za-z]+", SITE)
-    return extract.page_links(table(spark, sf_dir, "pages"), links, ["page_id"])
+    return extract.page_links(pages.over_all_cores(table(spark, sf_dir, "pages")), links, ["page_id"])
 
 
 def _anchor_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = extract.links_by_anchor(F.col("html"), token=None, path="/", domain=SITE)
-    return extract.page_links(table(spark, sf_dir, "pages"), links, ["page_id"])
+    return extract.page_links(pages.over_all_cores(table(spark, sf_dir, "pages")), links, ["page_id"])
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letbook.fixed import ROOM_SOURCE
-from letbook.operators.dedup import first_listing, first_url, repeats
+from letbook.operators.dedup import first_listing, first_url, repeats, with_keys
 from letbook.operators.extract import ROOM_LAYOUT, CardLayout, cards
 from letbook.operators.ledger import room_outcomes, to_events
 from letbook.operators.paging import ROOM_SERIES, SeriesRules, settle_fetches, tag_status, visited
@@ -54,8 +54,9 @@ def room_run(
         .withColumn("source", F.lit(ROOM_SOURCE))
     )
     listings = first_listing(tagged)
+    keys = ["source", layout.id_param, "postcode"]
     return RoomRun(
         rows=canonical_room(listings, ROOM_SOURCE, stamp=F.col("fetched_at")),
         events=to_events(room_outcomes(seen, ["key"]), ROOM_SOURCE, "key", run_id, at),
-        repeats=repeats(tagged, ["source", layout.id_param, "postcode"]),
+        repeats=repeats(with_keys(tagged, keys), keys),
     )

@@ -27,3 +27,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     source = spark.readStream.schema(schemas.PAGES).option("maxFilesPerTrigger", max_files)
     return settle_pages(source.parquet(path))
+
+
+def over_all_cores(scan: DataFrame) -> DataFrame:
+    """Rows of a table scan over at least as many tasks as there are cores.
+
+    For costly extraction from a few files. A scan that already has that many splits, as
+    any large table does, is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
