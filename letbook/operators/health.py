@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from letbook.fixed import ETA_CAP_SECONDS, LATENCY_WINDOW
 from letbook.functions.text import is_success, minutes_seconds
 from letbook.operators.running import BLOCK_ROWS, rolling_mean, running
+from letbook.operators.skew import HOT_ROWS
 
 SERIES = ["worker", "pass_no"]
 ORDER = ["finished_at", "url"]
@@ -57,10 +58,11 @@ def error_rate(
     keys: list[str] = SERIES,
     order: list[str] = ORDER,
     bucket: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The log with `done`, `total`, `started`, `errors` so far and their share."""
     failed = F.when(is_success(F.col("http_status")), 0).otherwise(1).cast("bigint")
-    counted = running(log, keys, order, {"errors": failed}, bucket)
+    counted = running(log, keys, order, {"errors": failed}, bucket, hot_rows)
     return counted.withColumn("error_rate", F.col("errors") / F.greatest(F.lit(1), F.col("done")))
 
 
@@ -71,10 +73,11 @@ def rolling_latency(
     size: int = LATENCY_WINDOW,
     default: float = STREAMED_LOAD.default_latency,
     bucket: Column | None = None,
+    hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The log with the mean latency of the last completions of its series."""
-    numbered = log if "done" in log.columns else running(log, keys, order, {}, bucket)
+    numbered = log if "done" in log.columns else running(log, keys, order, {}, bucket, hot_rows)
     return rolling_mean(numbered, keys, "done", "latency_s", size, "mean_latency", default, block_rows)
 
 
@@ -94,9 +97,10 @@ def progress(
     keys: list[str] = SERIES,
     order: list[str] = ORDER,
     bucket: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The log with its share done, time since the series began and time left."""
-    numbered = log if "done" in log.columns else running(log, keys, order, {}, bucket)
+    numbered = log if "done" in log.columns else running(log, keys, order, {}, bucket, hot_rows)
 
     def micros(name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp"))

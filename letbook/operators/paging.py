@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from letbook.fixed import ROOM_FALLBACK_PAGES, ROOM_PAGE_SIZE, SALE_MAX_PAGES, SALE_PAGE_SIZE
 from letbook.operators.dedup import first_per_key
-from letbook.operators.skew import attach
+from letbook.operators.skew import HOT_ROWS, attach
 
 
 @dataclass(frozen=True)
@@ -76,16 +76,16 @@ def series_facts(pages: DataFrame, rules: SeriesRules, keys: list[str]) -> DataF
     )
 
 
-def visited(pages: DataFrame, rules: SeriesRules, keys: list[str], **spread) -> DataFrame:
+def visited(pages: DataFrame, rules: SeriesRules, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Pages up to and including the one that ends their location's series."""
     facts = series_facts(pages, rules, keys)
-    rows = attach(pages, facts, keys, "_n", spread_by=["page_idx"], **spread)
+    rows = attach(pages, facts, keys, "_n", spread_by=["page_idx"], hot_rows=hot_rows)
     return rows.where(F.col("stop_idx").isNull() | (F.col("page_idx") <= F.col("stop_idx"))).drop("stop_idx")
 
 
-def truncate(pages: DataFrame, rules: SeriesRules, keys: list[str], **spread) -> DataFrame:
+def truncate(pages: DataFrame, rules: SeriesRules, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Visited pages that have items."""
-    return visited(pages, rules, keys, **spread).where(F.col("has_html") & (F.col("n_items") > 0))
+    return visited(pages, rules, keys, hot_rows).where(F.col("has_html") & (F.col("n_items") > 0))
 
 
 def last_status(pages: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,7 +104,13 @@ def _status_facts(pages: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def tag_status(rows: DataFrame, pages: DataFrame, keys: list[str], spread_by: list[str], **spread) -> DataFrame:
+def tag_status(
+    rows: DataFrame,
+    pages: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Rows with the last status of their location, whose items they are."""
     facts = _status_facts(pages, keys).drop("first_html")
-    return attach(rows, facts, keys, "_n", spread_by=spread_by, **spread)
+    return attach(rows, facts, keys, "_n", spread_by=spread_by, hot_rows=hot_rows)

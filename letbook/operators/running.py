@@ -1,10 +1,13 @@
-"""Running and rolling computations over long logs, split by time so no key is one task."""
+"""Running and rolling computations over long logs, in which no hot key is one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from letbook.operators.skew import HOT_ROWS, hot_keys, mark_hot
+from letbook.session import keep
+
 BUCKET_SECONDS = 600
 BLOCK_ROWS = 100_000
 
@@ -20,30 +23,50 @@ def running(
     order: list[str],
     sums: dict[str, Column],
     bucket: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds to each row, within its key and in the given order:
 
     `done`, its number; `total`, the rows of the key; `started`, the least value of the
     first order column; and each of `sums` up to the row.
 
-    `bucket` grows with the first order column; unless given, that is a time cut in slices.
-    Every (key, bucket) is a group of its own. What came before a bucket is added up over
-    one row per bucket, so the longest series a task sees is the number of buckets in the
-    log's span, however many rows they hold. That start value joins its bucket as a first
-    row, which costs no second shuffle.
+    Keys are counted first. Without hot ones this is a plain window. A hot key is cut into
+    buckets that are groups of their own; `bucket` grows with the first order column and
+    is, unless given, that time in slices. What came before a bucket is added up over one
+    row per bucket, so the longest series a task sees is the number of buckets in the log's
+    span, however many rows they hold. That start value joins its bucket as a first row,
+    which costs no second shuffle.
     """
+    counts = keep(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    hot = hot_keys(counts, keys, "_n", hot_rows)
     lines = rows.withColumns(
-        {
-            "_bucket": time_bucket(order[0]) if bucket is None else bucket,
-            "_line": F.lit(1),
-            "_n": F.lit(1).cast("bigint"),
-            **{f"_{name}": value for name, value in sums.items()},
-        }
+        {"_n": F.lit(1).cast("bigint"), **{f"_{name}": value for name, value in sums.items()}}
     )
-    per_bucket = lines.groupBy(*keys, "_bucket").agg(
-        F.sum("_n").alias("_n"),
-        F.min(order[0]).alias("_started"),
-        *[F.sum(f"_{name}").alias(f"_{name}") for name in sums],
+    if hot is None:
+        group = Window.partitionBy(*keys)
+        upto = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return lines.select(
+            *rows.columns,
+            F.sum("_n").over(upto).alias("done"),
+            F.sum("_n").over(group).alias("total"),
+            F.min(order[0]).over(group).alias("started"),
+            *[F.sum(f"_{name}").over(upto).alias(name) for name in sums],
+        )
+
+    cut = time_bucket(order[0]) if bucket is None else bucket
+    lines = (
+        mark_hot(lines, hot, keys)
+        .withColumn("_bucket", F.when(F.col("_parts").isNotNull(), cut))
+        .withColumn("_line", F.lit(1))
+    )
+    per_bucket = (
+        lines.where(F.col("_parts").isNotNull())
+        .groupBy(*keys, "_bucket")
+        .agg(
+            F.sum("_n").alias("_n"),
+            F.min(order[0]).alias("_started"),
+            *[F.sum(f"_{name}").alias(f"_{name}") for name in sums],
+        )
     )
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,19 +79,17 @@ def running(
         F.min("_started").over(whole).alias("_started"),
         *[F.coalesce(F.sum(f"_{name}").over(before), F.lit(0)).alias(f"_{name}") for name in sums],
     )
-    upto = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy("_line", *order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    group = Window.partitionBy(*keys, "_bucket")
+    upto = group.orderBy("_line", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     every = lines.unionByName(starts, allowMissingColumns=True)
+    # keys that are not hot have no start rows: their one group is the whole key
     return (
         every.select(
             *rows.columns,
             "_line",
             F.sum("_n").over(upto).alias("done"),
-            F.max("_total").over(upto).alias("total"),
-            F.min("_started").over(upto).alias("started"),
+            F.coalesce(F.max("_total").over(group), F.sum("_n").over(group)).alias("total"),
+            F.coalesce(F.min("_started").over(group), F.min(order[0]).over(group)).alias("started"),
             *[F.sum(f"_{name}").over(upto).alias(name) for name in sums],
         )
         .where(F.col("_line") == 1)

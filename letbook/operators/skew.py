@@ -1,4 +1,4 @@
-"""Joining per-key facts back on rows, when a few keys may hold most of the rows."""
+"""Keys that hold very many rows: finding them, and joining per-key facts back on rows."""
 
 from __future__ import annotations
 
@@ -10,19 +10,42 @@ from pyspark.sql import functions as F
 
 from letbook.session import keep
 
-# A key is hot when it holds more than 1/1000 of all rows: fewer than 1000 keys can be.
-HOT_SHARE = 1000
+# A key is hot when it holds a million rows and more than 1/100,000 of all of them. So fewer
+# than 100,000 keys can be hot, whatever the data, and a list of them is small enough to
+# broadcast.
 HOT_ROWS = 1_000_000
-SPREAD = 256
+HOT_SHARE = 100_000
 
 
-def _equal(keys: Sequence[str], prefix: str) -> Column:
+def prefixed(rows: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return rows.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+
+
+def equal(keys: Sequence[str], prefix: str) -> Column:
     """Key columns equal to their prefixed twins; NULL keys match each other."""
     return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def _prefixed(rows: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
-    return rows.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+def hot_keys(
+    counts: DataFrame, keys: Sequence[str], n_rows: str, hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """The hot keys, each with `_parts`, the number of tasks its rows deserve; None without any.
+
+    `counts` is a stored table with one row per key and its number of rows. The parts of
+    all keys together are below twice the number of keys that could be hot.
+    """
+    size = counts.agg(F.sum(n_rows).alias("total"), F.max(n_rows).alias("most")).first()
+    least = max((size["total"] or 0) // HOT_SHARE + 1, hot_rows)
+    if (size["most"] or 0) < least:
+        return None
+    parts = F.ceil(F.col(n_rows) / least).cast("int")
+    return counts.where(F.col(n_rows) >= least).select(*keys, parts.alias("_parts"))
+
+
+def mark_hot(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows, with `_parts` of their key where it is hot, else NULL."""
+    listed = F.broadcast(prefixed(hot, keys, "_hot_"))
+    return rows.join(listed, equal(keys, "_hot_"), "left").drop(*[f"_hot_{k}" for k in keys])
 
 
 def attach(
@@ -32,39 +55,27 @@ def attach(
     n_rows: str,
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """Every row with the facts of its key.
 
     `facts` has one row per key and says in `n_rows` how many rows the key has. They are
-    written once, so Spark knows their size and broadcasts them only when that is below the
-    session's threshold. Otherwise rows are shuffled on the key; those of hot keys are first
-    spread over `spread` tasks by a hash of `spread_by`, and only the facts of hot keys are
-    copied that often. The list of hot keys itself is always broadcast: by the definition
-    above it stays below 1000 rows, whatever the data.
+    stored once, so Spark knows their size and broadcasts them only when that is below the
+    session's threshold. Otherwise rows are shuffled on the key; those of a hot key are
+    spread over as many tasks as it deserves by a hash of `spread_by`, and only its facts
+    are copied that often.
     """
     kept = keep(facts, "facts")
-    size = kept.agg(F.sum(n_rows).alias("total"), F.max(n_rows).alias("most")).first()
-    least = max((size["total"] or 0) // HOT_SHARE + 1, hot_rows)
-    if (size["most"] or 0) < least:
-        plain = _prefixed(kept, keys, "_fact_")
-        return rows.join(plain, _equal(keys, "_fact_"), "left").drop(
-            n_rows, *[f"_fact_{k}" for k in keys]
-        )
-
-    hot = F.col(n_rows) >= least
-    hot_keys = _prefixed(kept.where(hot).select(*keys), keys, "_hot_").withColumn("_hot", F.lit(True))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int"))
-    salted = rows.join(F.broadcast(hot_keys), _equal(keys, "_hot_"), "left").withColumn(
-        "_salt", F.coalesce(salt, F.lit(0))
-    )
-    salts = F.when(hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    copies = _prefixed(kept, keys, "_fact_").withColumn("_fact_salt", F.explode(salts))
-    same = _equal(keys, "_fact_") & (F.col("_salt") == F.col("_fact_salt"))
-    return salted.join(copies, same, "left").drop(
-        "_hot",
-        "_salt",
-        "_fact_salt",
-        n_rows,
-        *[f"_{side}_{k}" for k in keys for side in ("hot", "fact")],
+    hot = hot_keys(kept, keys, n_rows, hot_rows)
+    same = equal(keys, "_fact_")
+    extra = [n_rows, *[f"_fact_{k}" for k in keys]]
+    if hot is None:
+        return rows.join(prefixed(kept, keys, "_fact_"), same, "left").drop(*extra)
+
+    salt = F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")
+    salted = mark_hot(rows, hot, keys).withColumn("_salt", F.coalesce(salt, F.lit(0)))
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    copies = mark_hot(kept, hot, keys).withColumn("_fact_salt", F.explode(salts)).drop("_parts")
+    joined = salted.join(
+        prefixed(copies, keys, "_fact_"), same & (F.col("_salt") == F.col("_fact_salt")), "left"
     )
+    return joined.drop("_parts", "_salt", "_fact_salt", *extra)

@@ -491,6 +491,7 @@ SELECT event_type, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS sum_id F
     "stream_dedup": """
 SELECT event_type, user_id, event_id FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) = 1""",
+    "stream_dedup_state": "SELECT DISTINCT event_type, user_id FROM events",
     "stream_resume": """
 SELECT o_orderstatus, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, count(*) AS n_logged
 FROM orders GROUP BY o_orderstatus""",

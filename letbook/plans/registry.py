@@ -805,6 +805,17 @@ def stream_dedup(spark, sf_dir):
     return rows.select("event_type", "user_id", "event_id")
 
 
+@query
+def stream_dedup_state(spark, sf_dir):
+    """The same keys from the state store, hot keys thinned out in slices first."""
+    folder = work_folder(spark, "dedup-state")
+    keys = ["event_type", "user_id"]
+    stream = _event_stream(spark, sf_dir)
+    unique = jobs.dedup_stateful(stream, keys, delay=None, spread_by=["event_id"])
+    jobs.shard_stream(unique.select(*keys), f"{folder}/rows", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/rows")
+
+
 @query
 def stream_resume(spark, sf_dir):
     """Half of the input, a stop, the other half under the same checkpoint."""

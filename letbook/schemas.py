@@ -5,6 +5,9 @@ SALE_LISTINGS = (
     "property_type string, floor_area string, status int, scraped_at timestamp"
 )
 
+# As loaded for analysis: numbers may hold fractions
+SALE_TABLE = SALE_LISTINGS.replace("price bigint, bedrooms int", "price double, bedrooms double")
+
 ROOM_LISTINGS = (
     "source string, postcode string, title string, url string, price_text string, "
     "location string, room_type string, available string, scraped_at timestamp, status int"

@@ -12,9 +12,10 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, IntegralType, NumericType
 
 from letbook import schemas
-from letbook.functions.text import bedroom_count, money, to_number, to_status, to_time, truthy
+from letbook.functions.text import money, to_number, to_status, to_time, truthy
 
 
 @dataclass(frozen=True)
@@ -68,9 +69,29 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return result
 
 
+def _number(rows: DataFrame, name: str) -> Column:
+    """The column as double; only text has to be looked at."""
+    if name not in rows.columns:
+        return F.lit(None).cast("double")
+    kind = rows.schema[name].dataType
+    if isinstance(kind, FractionalType):
+        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+    return F.col(name).cast("double") if isinstance(kind, NumericType) else to_number(F.col(name))
+
+
+def _status(rows: DataFrame, name: str = "status") -> Column:
+    """The status as int, NULL when there is none; only text has to be looked at."""
+    if name not in rows.columns:
+        return F.lit(None).cast("int")
+    status = F.col(name)
+    if isinstance(rows.schema[name].dataType, IntegralType):
+        return F.when(status > 0, status.try_cast("int"))
+    return to_status(status)
+
+
 def settle_status(rows: DataFrame) -> DataFrame:
     """Status as int wherever it came from, so that variants can be put together."""
-    return rows.withColumn("status", to_status(F.col("status")))
+    return rows.withColumn("status", _status(rows))
 
 
 def scan_promoted(
@@ -94,11 +115,11 @@ def type_sale(rows: DataFrame) -> DataFrame:
         text("url"),
         text("address"),
         text("postcode"),
-        to_number(_optional(rows, "price", "bigint")).alias("price"),
-        to_number(_optional(rows, "bedrooms", "int")).alias("bedrooms"),
+        _number(rows, "price").alias("price"),
+        _number(rows, "bedrooms").alias("bedrooms"),
         text("property_type"),
         text("floor_area"),
-        to_status(_optional(rows, "status", "int")).alias("status"),
+        _status(rows).alias("status"),
         to_time(_optional(rows, "scraped_at", "timestamp")).alias("scraped_at"),
     )
 
@@ -122,7 +143,7 @@ def type_room(rows: DataFrame) -> DataFrame:
         text("room_type"),
         text("available"),
         to_time(_optional(rows, "scraped_at", "timestamp")).alias("scraped_at"),
-        to_status(_optional(rows, "status", "int")).alias("status"),
+        _status(rows).alias("status"),
         money(_optional(rows, "price_text", "string").cast("string")).alias("price_norm"),
     )
 
@@ -139,6 +160,15 @@ def load_room(
     return type_room(scan_promoted(spark, path, variants))
 
 
+def read_typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a dated table that was written typed.
+
+    Nothing is coerced on the way, so filters reach the Parquet scan, and those on the day
+    or the run leave whole folders unread.
+    """
+    return spark.read.schema(f"{schema}, snapshot_date date, run_id string").parquet(path)
+
+
 def canonical_sale(rows: DataFrame, stamp: Column | None = None) -> DataFrame:
     """The row a sale shard holds: texts never NULL, whole numbers, status as text, stamped."""
 
@@ -149,8 +179,8 @@ def canonical_sale(rows: DataFrame, stamp: Column | None = None) -> DataFrame:
         text("url"),
         text("address"),
         text("postcode"),
-        to_number(_optional(rows, "price", "bigint")).try_cast("bigint").alias("price"),
-        bedroom_count(_optional(rows, "bedrooms", "int")).alias("bedrooms"),
+        _number(rows, "price").try_cast("bigint").alias("price"),
+        _number(rows, "bedrooms").try_cast("int").alias("bedrooms"),
         text("property_type"),
         text("floor_area"),
         text("status"),

@@ -60,10 +60,11 @@ def dedup_exact(
     order: list[str] = ARRIVAL,
     rows_per_file: int = SHARD_ROWS,
 ) -> StreamingQuery:
-    """First arrivals only, over the whole life of the table.
+    """First arrivals only, over the whole life of the table, in the given order of arrival.
 
     The table is its own memory: a batch is reduced to one row per key before the shuffle
-    and loses the keys that earlier batches wrote, of which only the key columns are read.
+    and loses the keys that earlier batches wrote. Their key columns are read once per
+    batch, so this suits few large batches; for many small ones see `dedup_stateful`.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -74,24 +75,32 @@ def dedup_exact(
     return run_available(stream, checkpoint, on_batch)
 
 
-def dedup_bounded(
+def dedup_stateful(
     stream: DataFrame,
     keys: list[str] = LISTING_KEYS,
     time: str = "fetched_at",
-    delay: str = "1 day",
+    delay: str | None = "1 day",
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """A stream without repeats that come within `delay` of each other, in bounded state.
+    """A stream without repeats, its memory in the state store; one row of each key comes
+    through, in no promised order.
 
-    With `spread_by`, repeats are first removed within slices of each key, so that no task
-    gets all copies of a frequent one.
+    With a delay, repeats that come within it of each other are caught and the state stays
+    bounded; without one, all repeats are, and the state holds every key (then set the
+    session's state store to RocksDB). With `spread_by`, repeats are first removed within
+    slices of each key, so that no task gets all copies of a frequent one.
     """
-    marked = with_keys(stream, keys).withWatermark(time, delay)
+    rows = with_keys(stream, keys)
+    if delay:
+        rows = rows.withWatermark(time, delay)
+
+    def once(part: DataFrame, columns: list[str]) -> DataFrame:
+        return part.dropDuplicatesWithinWatermark(columns) if delay else part.dropDuplicates(columns)
+
     if spread_by:
         slices = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD))
-        sliced = marked.withColumn("_slice", slices).dropDuplicatesWithinWatermark([*keys, "_slice"])
-        marked = sliced.drop("_slice")
-    return marked.dropDuplicatesWithinWatermark(keys)
+        rows = once(rows.withColumn("_slice", slices), [*keys, "_slice"]).drop("_slice")
+    return once(rows, keys)
 
 
 def shard_stream(

@@ -47,11 +47,11 @@ def test_series_like_walking_them(spark, name, hot_rows):
             for i in range(n_pages)
         ]
     rows = spark.createDataFrame([(k, *p) for k, ps in series.items() for p in ps], SCHEMA)
-    got = paging.visited(rows, rules, ["key"], hot_rows=hot_rows, spread=8)
+    got = paging.visited(rows, rules, ["key"], hot_rows=hot_rows)
     want_seen = {(k, i) for k, ps in series.items() for i in walk(ps, rules)[0]}
     want_kept = {(k, i) for k, ps in series.items() for i in walk(ps, rules)[1]}
     assert sorted((r.key, r.page_idx) for r in got.collect()) == sorted(want_seen)
-    kept = paging.truncate(rows, rules, ["key"], hot_rows=hot_rows, spread=8).collect()
+    kept = paging.truncate(rows, rules, ["key"], hot_rows=hot_rows).collect()
     assert sorted((r.key, r.page_idx) for r in kept) == sorted(want_kept)
     assert set(kept[0].asDict()) == set(rows.columns)
 

@@ -29,12 +29,12 @@ def groups(rows):
     return out
 
 
-@pytest.mark.parametrize("slice_s", [60, 600, 10**6])
-def test_error_rate_and_rolling_mean(spark, slice_s):
+@pytest.mark.parametrize("slice_s, hot_rows", [(60, 1), (600, 500), (10**6, 1), (600, 10**6)])
+def test_error_rate_and_rolling_mean(spark, slice_s, hot_rows):
     rows = log_rows()
     log = spark.createDataFrame(rows, SCHEMA)
     counted = health.error_rate(
-        log, ["worker"], ["finished_at", "url"], bucket=running.time_bucket("finished_at", slice_s)
+        log, ["worker"], ["finished_at", "url"], running.time_bucket("finished_at", slice_s), hot_rows
     )
     got = {r.url: r for r in health.rolling_latency(counted, ["worker"], size=30, block_rows=100).collect()}
     assert len(got) == len(rows)
@@ -46,6 +46,7 @@ def test_error_rate_and_rolling_mean(spark, slice_s):
             mine = got[r[1]]
             assert (mine.done, mine.total, mine.errors) == (i + 1, len(series), errors)
             assert mine.error_rate == errors / (i + 1)
+            assert mine.started == min((x[4] for x in series if x[4]), default=None)
             assert mine.mean_latency == sum(recent) / len(recent)
 
 

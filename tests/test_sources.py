@@ -7,7 +7,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from letbook import schemas
 from letbook.fixed import ROOM_SOURCE
+from letbook.operators import filters
 from letbook.sinks.tables import write_shards, write_snapshot, write_url_list
 from letbook.sources import ledgers, lists, pages, shards
 
@@ -231,3 +233,14 @@ def test_snapshots_of_one_day_add_up(spark, tmp_path):
     days = {str(r.snapshot_date) for r in got.collect()}
     assert days == {"2024-05-01", "2024-05-02"}
     assert shards.load_sale(spark, path).count() == 3
+
+
+def test_typed_snapshot_takes_filters_into_the_scan(spark, sale_folder, tmp_path):
+    path = str(tmp_path / "typed")
+    write_snapshot(shards.load_sale(spark, sale_folder), path, "full", F.coalesce("scraped_at", F.lit(AT)))
+    rows = shards.read_typed(spark, path, schemas.SALE_TABLE)
+    chosen = filters.Selection("ab", {}, {"price": (50, 500)}).apply(rows).where("snapshot_date = '2024-05-01'")
+    assert sorted(r.url for r in chosen.collect()) == ["u1", "u3", "u4"]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(postcode,AB)" in plan and "GreaterThanOrEqual(price,50.0)" in plan
+    assert "snapshot_date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]

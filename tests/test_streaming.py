@@ -59,13 +59,14 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert jobs.read_batches(rows, str(tmp_path / "none")).count() == 0
 
 
+@pytest.mark.parametrize("delay", [None, "1 day"])
 @pytest.mark.parametrize("spread", [None, ["url"]])
-def test_dedup_in_bounded_state(spark, inbox, tmp_path, spread):
+def test_dedup_in_state(spark, inbox, tmp_path, spread, delay):
     add, stream = inbox
     add(batch(spark, 0, 30, ids=3))
     add(batch(spark, 30, 30, ids=4))
     query = (
-        jobs.dedup_bounded(stream(), spread_by=spread)
+        jobs.dedup_stateful(stream(), delay=delay, spread_by=spread)
         .writeStream.format("parquet")
         .option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "cp"))

@@ -151,7 +151,7 @@ def test_attach(spark, hot_rows, threshold):
         facts = rows.groupBy("key").agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("_n")).where(
             "key is null or key <> '7'"
         )
-        got = skew.attach(rows, facts, ["key"], "_n", ["id"], hot_rows=hot_rows, spread=16).collect()
+        got = skew.attach(rows, facts, ["key"], "_n", ["id"], hot_rows=hot_rows).collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     want = {}
