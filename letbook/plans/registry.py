@@ -151,9 +151,9 @@ def scan_promote(spark, sf_dir):
     write_shards(supplier, dated)
     rows = shards.union_by_name(
         [
-            shards.settle_status(shards.scan(spark, streamed, replace(shards.SALE_STREAMED, glob="*.parquet"))),
-            shards.settle_status(shards.scan(spark, dated, replace(shards.SALE_DATED, glob="*.parquet"))),
-            shards.settle_status(shards.scan(spark, f"{dated}/none", shards.SALE_DATED)),
+            shards.scan_promoted(spark, streamed, [replace(shards.SALE_STREAMED, glob="*.parquet")]),
+            shards.scan_promoted(spark, dated),
+            shards.scan_promoted(spark, f"{dated}/none"),
         ]
     )
     return rows.select("url", "postcode", "price", "bedrooms", "property_type", "status", _ntz("scraped_at"))

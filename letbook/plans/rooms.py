@@ -14,7 +14,7 @@ from letbook.operators.ledger import room_outcomes, to_events
 from letbook.operators.paging import ROOM_SERIES, SeriesRules, settle_fetches, tag_status, visited
 from letbook.session import keep
 from letbook.sources.pages import has_html, settle_pages
-from letbook.sources.shards import canonical_room
+from letbook.sources.shards import canonical_room, union_by_name
 
 _PAGE = ["key", "page_idx", "http_status", "has_html", "fetched_at"]
 
@@ -23,7 +23,7 @@ _PAGE = ["key", "page_idx", "http_status", "has_html", "fetched_at"]
 class RoomRun:
     rows: DataFrame
     events: DataFrame
-    repeats: DataFrame
+    summary: DataFrame
 
 
 def room_run(
@@ -33,7 +33,7 @@ def room_run(
     layout: CardLayout = ROOM_LAYOUT,
     rules: SeriesRules = ROOM_SERIES,
 ) -> RoomRun:
-    """Deduplicated rows, ledger events and repeat counts of a set of search pages.
+    """Deduplicated rows, ledger events and the summary of a set of search pages.
 
     The markup is read and parsed once; all later steps read the typed cards, which are a
     small part of it.
@@ -48,15 +48,29 @@ def room_run(
     on_seen = found.join(seen.select("key", "page_idx"), ["key", "page_idx"], "left_semi")
 
     unique = first_url(on_seen, "key", ["page_idx", "pos", "fetched_at"])
-    tagged = (
+    tagged = keep(
         tag_status(unique, seen, ["key"], spread_by=["url"])
         .withColumnRenamed("key", "postcode")
-        .withColumn("source", F.lit(ROOM_SOURCE))
+        .withColumn("source", F.lit(ROOM_SOURCE)),
+        "tagged",
     )
-    listings = first_listing(tagged)
-    keys = ["source", layout.id_param, "postcode"]
+    outcomes = room_outcomes(seen, ["key"])
     return RoomRun(
-        rows=canonical_room(listings, ROOM_SOURCE, stamp=F.col("fetched_at")),
-        events=to_events(room_outcomes(seen, ["key"]), ROOM_SOURCE, "key", run_id, at),
-        repeats=repeats(with_keys(tagged, keys), keys),
+        rows=canonical_room(first_listing(tagged), ROOM_SOURCE, stamp=F.col("fetched_at")),
+        events=to_events(outcomes, ROOM_SOURCE, "key", run_id, at),
+        summary=_summary(outcomes, tagged, ["source", layout.id_param, "postcode"]),
+    )
+
+
+def _summary(outcomes: DataFrame, tagged: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: locations processed and failed, rows found, rows dropped as repeats."""
+    parts = [
+        outcomes.agg(
+            F.count(F.lit(1)).alias("processed"), F.count_if(F.col("status") == "failed").alias("failed")
+        ),
+        tagged.agg(F.count(F.lit(1)).alias("total_rows")),
+        repeats(with_keys(tagged, keys), keys).select(F.col("n_dropped").alias("dropped")),
+    ]
+    return union_by_name(parts).agg(
+        *[F.sum(name).alias(name) for name in ("processed", "total_rows", "dropped", "failed")]
     )

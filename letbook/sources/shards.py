@@ -1,29 +1,34 @@
 """Listing tables out of Parquet shards whose schemas differ by generation.
 
 Types that cannot be promoted (status as text and as number) are brought together per
-variant, before the union: one directory holds several variants, told apart by file name.
+variant, before the union. Which files are of which variant is read from their footers or,
+where the layout is known, told by their names.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType, IntegralType, NumericType
+from pyspark.sql.types import DataType, FractionalType, IntegralType, NumericType
 
 from letbook import schemas
 from letbook.functions.text import money, to_number, to_status, to_time, truthy
+from letbook.sources import footers
 
 
 @dataclass(frozen=True)
 class Variant:
-    """Shards of one generation: which files, what they hold, what to repair."""
+    """Shards with one physical schema: which files, what they hold, what to repair."""
 
-    glob: str
     schema: str
+    glob: str = "*.parquet"
+    paths: tuple[str, ...] = ()
     repairs: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
@@ -31,42 +36,96 @@ def _nanos(moment: Column) -> Column:
     return F.timestamp_micros(F.floor(moment / 1000).cast("bigint"))
 
 
-SALE_STREAMED = Variant("shard_*.parquet", schemas.SALE_SHARD_TEXT_STATUS)
-SALE_DATED = Variant("rightmove_*.parquet", schemas.SALE_SHARD_INT_STATUS)
-SALE_SNAPSHOT = Variant("part-*.parquet", schemas.SALE_LISTINGS)
-ROOM_SHARDS = Variant("*.parquet", schemas.ROOM_SHARD)
-
-SALE_VARIANTS = (SALE_STREAMED, SALE_DATED, SALE_SNAPSHOT)
-ROOM_VARIANTS = (ROOM_SHARDS,)
+# Known layouts, for folders that hold nothing else; `discover` finds out by itself.
+SALE_STREAMED = Variant(schemas.SALE_SHARD_TEXT_STATUS, "shard_*.parquet")
+SALE_DATED = Variant(schemas.SALE_SHARD_INT_STATUS, "rightmove_*.parquet")
+ROOM_SHARDS = Variant(schemas.ROOM_SHARD)
 
 
 def nanosecond(variant: Variant, column: str = "scraped_at") -> Variant:
     """The same shards with times stored as nanoseconds, a unit Spark reads as plain numbers."""
+    return replace(
+        variant,
+        schema=variant.schema.replace(f"{column} timestamp", f"{column} bigint"),
+        repairs={**variant.repairs, column: _nanos},
+    )
+
+
+def discover(spark: SparkSession, path: str, glob: str = "*.parquet") -> list[Variant]:
+    """The variants of a folder, from the footers of its files; files without rows are left out.
+
+    The same column can be whole numbers in one shard and, where values are missing,
+    fractions or nothing in the next. Footers are read in the tasks; what reaches the
+    driver is one line per file, as in any file listing.
+    """
+    files = _or_empty(
+        lambda: spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path),
+        lambda: None,
+    )
+    if files is None:
+        return []
+    found = files.select("path").mapInArrow(footers.describe, "path string, fields string")
+    by_fields: dict[str, list[str]] = {}
+    for row in found.toLocalIterator():
+        by_fields.setdefault(row.fields, []).append(row.path)
+    return [_variant(fields, sorted(paths)) for fields, paths in sorted(by_fields.items())]
+
+
+def _variant(fields: str, paths: list[str]) -> Variant:
+    kinds = dict(json.loads(fields))
+    nanos = [name for name, kind in kinds.items() if kind == footers.NANOS]
+    columns = {n: "bigint" if n in nanos else kind for n, kind in kinds.items()}
     return Variant(
-        variant.glob,
-        variant.schema.replace(f"{column} timestamp", f"{column} bigint"),
-        {**variant.repairs, column: _nanos},
+        ", ".join(f"`{n}` {kind}" for n, kind in columns.items()),
+        paths=tuple(paths),
+        repairs={n: _nanos for n in nanos},
     )
 
 
-def scan(spark: SparkSession, path: str, variant: Variant) -> DataFrame:
-    """Rows of one variant; a missing folder or no matching file gives no rows."""
-    reader = spark.read.schema(variant.schema).option("pathGlobFilter", variant.glob)
+def _or_empty(read: Callable, empty: Callable):
+    """What `read` gives, or `empty` when its folder is not there."""
     try:
-        rows = reader.parquet(path)
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], variant.schema)
+        return empty()
+
+
+def scan(spark: SparkSession, path: str, variant: Variant) -> DataFrame:
+    """Rows of one variant; a missing folder or no matching file gives no rows."""
+    reader = spark.read.schema(variant.schema)
+    if variant.paths:
+        rows = reader.parquet(*variant.paths)
+    else:
+        rows = _or_empty(
+            lambda: reader.option("pathGlobFilter", variant.glob).parquet(path),
+            lambda: spark.createDataFrame([], variant.schema),
+        )
     return rows.withColumns({name: repair(F.col(name)) for name, repair in variant.repairs.items()})
 
 
+def _common(kinds: set[DataType]) -> str | None:
+    """The type that holds all of these; None when they are one already."""
+    if len(kinds) == 1:
+        return None
+    if all(isinstance(k, IntegralType) for k in kinds):
+        return "bigint"
+    return "double" if all(isinstance(k, NumericType) for k in kinds) else "string"
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by column name; columns a frame lacks are NULL."""
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame, allowMissingColumns=True)
-    return result
+    """UNION ALL by column name; columns a frame lacks are NULL, types that differ are widened."""
+    kinds: dict[str, set[DataType]] = {}
+    for frame in frames:
+        for column in frame.schema:
+            kinds.setdefault(column.name, set()).add(column.dataType)
+    wider = {name: _common(found) for name, found in kinds.items()}
+    same = [
+        frame.withColumns({n: F.col(n).cast(wider[n]) for n in frame.columns if wider[n]})
+        for frame in frames
+    ]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), same)
 
 
 def _number(rows: DataFrame, name: str) -> Column:
@@ -84,7 +143,7 @@ def _status(rows: DataFrame, name: str = "status") -> Column:
     if name not in rows.columns:
         return F.lit(None).cast("int")
     status = F.col(name)
-    if isinstance(rows.schema[name].dataType, IntegralType):
+    if isinstance(rows.schema[name].dataType, NumericType):
         return F.when(status > 0, status.try_cast("int"))
     return to_status(status)
 
@@ -95,10 +154,17 @@ def settle_status(rows: DataFrame) -> DataFrame:
 
 
 def scan_promoted(
-    spark: SparkSession, path: str, variants: Sequence[Variant] = SALE_VARIANTS
+    spark: SparkSession, path: str, variants: Sequence[Variant] | None = None
 ) -> DataFrame:
-    """All shards of a folder, columns promoted, status in one type."""
-    return union_by_name([settle_status(scan(spark, path, v)) for v in variants])
+    """All shards of a folder, columns promoted, status in one type.
+
+    Without any shard, the table is empty and has the sale shard's columns.
+    """
+    known = discover(spark, path) if variants is None else variants
+    frames = [scan(spark, path, v) for v in known]
+    if not frames:
+        frames = [spark.createDataFrame([], SALE_STREAMED.schema)]
+    return union_by_name([settle_status(rows) for rows in frames])
 
 
 def _optional(rows: DataFrame, name: str, kind: str) -> Column:
@@ -148,16 +214,30 @@ def type_room(rows: DataFrame) -> DataFrame:
     )
 
 
+def _load(
+    spark: SparkSession,
+    path: str,
+    variants: Sequence[Variant] | None,
+    typed: Callable[[DataFrame], DataFrame],
+    empty: str,
+) -> DataFrame:
+    known = discover(spark, path) if variants is None else variants
+    frames = [typed(scan(spark, path, v)) for v in known]
+    return union_by_name(frames or [typed(spark.createDataFrame([], empty))])
+
+
 def load_sale(
-    spark: SparkSession, path: str, variants: Sequence[Variant] = SALE_VARIANTS
+    spark: SparkSession, path: str, variants: Sequence[Variant] | None = None
 ) -> DataFrame:
-    return type_sale(scan_promoted(spark, path, variants))
+    """The sale table of a folder of shards, each variant typed before the union."""
+    return _load(spark, path, variants, type_sale, SALE_STREAMED.schema)
 
 
 def load_room(
-    spark: SparkSession, path: str, variants: Sequence[Variant] = ROOM_VARIANTS
+    spark: SparkSession, path: str, variants: Sequence[Variant] | None = None
 ) -> DataFrame:
-    return type_room(scan_promoted(spark, path, variants))
+    """The room table of a folder of shards, each variant typed before the union."""
+    return _load(spark, path, variants, type_room, ROOM_SHARDS.schema)
 
 
 def read_typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -214,7 +294,7 @@ def canonical_room(rows: DataFrame, source: str, stamp: Column | None = None) ->
         text("room_type"),
         text("available"),
         (F.current_timestamp() if stamp is None else stamp).alias("scraped_at"),
-        F.coalesce(_optional(rows, "status", "int").cast("string").try_cast("int"), F.lit(0)).alias("status"),
+        F.coalesce(_status(rows), F.lit(0)).alias("status"),
     )
 
 

@@ -20,6 +20,10 @@ def register_listings(sale: DataFrame, room: DataFrame) -> None:
     register({"sale_listings": sale, SALE_VIEW: sale, "room_listings": room, ROOM_VIEW: room})
 
 
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+
+
 def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """The result of one query over the given tables, as it is.
 
@@ -27,8 +31,7 @@ def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) ->
     the same names are back. Anything but a query is a syntax error, as the text stands
     where only a query may.
     """
-    views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
-    before = {name: spark.table(name) for name in tables if name in views}
+    before = {name: spark.table(name) for name in tables if _is_view(spark, name)}
     register(tables)
     try:
         return spark.sql(f"SELECT * FROM (\n{text.strip().rstrip(';')}\n)")

@@ -40,7 +40,7 @@ def room_pages(seed):
 
 
 def brute_run(pages):
-    rows, outcomes, dropped, seen_keys = [], {}, 0, set()
+    rows, outcomes, dropped, total, seen_keys = [], {}, 0, 0, set()
     for key in sorted({p[0] for p in pages}, key=lambda k: int(k[1:])):
         last, found, urls = 200, [], set()
         ok_first = False
@@ -64,6 +64,7 @@ def brute_run(pages):
             if len(lis) < RULES.page_size:
                 break
         outcomes[key] = "completed" if ok_first and last == 200 else "failed"
+        total += len(found)
         for no, url, title, at in found:
             if not no:
                 continue
@@ -72,7 +73,7 @@ def brute_run(pages):
                 continue
             seen_keys.add((no, key))
             rows.append((key, url, title, last, at))
-    return sorted(rows), outcomes, dropped
+    return sorted(rows), outcomes, dropped, total
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -80,12 +81,12 @@ def test_room_run(spark, seed):
     pages = room_pages(seed)
     given = spark.createDataFrame(pages, PAGES).repartition(5)
     run = room_run(given, "r1", F.lit(AT), rules=RULES)
-    rows, outcomes, dropped = brute_run(pages)
+    rows, outcomes, dropped, total = brute_run(pages)
     got = sorted((r.postcode, r.url, r.title, r.status, r.scraped_at) for r in run.rows.collect())
     assert got == rows and len(rows) > 20
     assert {r.key: r.status for r in run.events.collect()} == outcomes
-    assert run.repeats.first().n_dropped == dropped
-    assert run.repeats.first().n_kept == len(rows)
+    failed = sum(v == "failed" for v in outcomes.values())
+    assert tuple(run.summary.first()) == (len(outcomes), total, dropped, failed)
 
 
 def test_sale_links(spark):

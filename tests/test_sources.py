@@ -60,19 +60,52 @@ def test_load_sale_over_generations(spark, sale_folder):
     assert rows["u1"].price == 100.0 and rows["u4"].bedrooms is None
 
 
-def test_nanosecond_shards(spark, tmp_path):
-    """Shards as pandas writes them by default hold nanoseconds."""
-    frame = pd.DataFrame([sale("u1", status="200", scraped_at=pd.Timestamp(AT).as_unit("ns"))])
-    pq.write_table(pa.Table.from_pandas(frame, preserve_index=False), tmp_path / "shard_1.parquet")
-    assert pq.read_schema(tmp_path / "shard_1.parquet").field("scraped_at").type == pa.timestamp("ns", "UTC")
-    row = shards.load_sale(spark, str(tmp_path), [shards.nanosecond(shards.SALE_STREAMED)]).first()
-    assert row.scraped_at.replace(tzinfo=UTC) == AT
-
-
-def test_missing_and_empty_folders(spark, tmp_path):
-    for path in (tmp_path, tmp_path / "none"):
-        rows = shards.load_sale(spark, str(path))
-        assert rows.count() == 0 and "scraped_at" in rows.columns
+def test_known_layouts_need_no_footers(spark, sale_folder):
+    known = [shards.SALE_STREAMED, shards.SALE_DATED]
+    by_name = shards.load_sale(spark, sale_folder, known)
+    assert sorted(map(str, by_name.collect())) == sorted(map(str, shards.load_sale(spark, sale_folder).collect()))
+
+
+def test_discover(spark, sale_folder):
+    found = shards.discover(spark, sale_folder)
+    assert sorted(len(v.paths) for v in found) == [1, 1]
+    assert shards.scan_promoted(spark, sale_folder).schema["status"].dataType.simpleString() == "int"
+
+
+def pandas_shard(path, rows):
+    pq.write_table(pa.Table.from_pandas(pd.DataFrame(rows), preserve_index=False), path, compression=None)
+
+
+def test_shards_as_pandas_types_them(spark, tmp_path):
+    """Missing values make whole numbers fractions, empty columns have no type, times are
+    nanoseconds: every shard of a folder can differ."""
+    at = pd.Timestamp(AT).as_unit("ns")
+    pandas_shard(tmp_path / "shard_1.parquet", [sale("u1", status="200", scraped_at=at)])
+    pandas_shard(
+        tmp_path / "shard_2.parquet",
+        [sale("u2", status="200", price=None, scraped_at=at), sale("u3", status="fail", scraped_at=at)],
+    )
+    pandas_shard(
+        tmp_path / "rightmove_1.parquet",
+        [sale("u4", status=200, bedrooms=None, floor_area=None), sale("u5", status=None, bedrooms=None, floor_area=None)],
+    )
+    pandas_shard(tmp_path / "rightmove_2.parquet", [sale("u6", status=404, price="POA", bedrooms="2")])
+    kinds = {str(f.type) for p in tmp_path.glob("*.parquet") for f in [pq.read_schema(p).field("price")]}
+    assert kinds == {"int64", "double", "string"}
+
+    assert len(shards.discover(spark, str(tmp_path))) == 4
+    rows = {r.url: r for r in shards.load_sale(spark, str(tmp_path)).collect()}
+    assert [rows[f"u{i}"].price for i in range(1, 7)] == [100.0, None, 100.0, 100.0, 100.0, None]
+    assert [rows[f"u{i}"].bedrooms for i in range(1, 7)] == [2.0, 2.0, 2.0, None, None, 2.0]
+    assert [rows[f"u{i}"].status for i in range(1, 7)] == [200, 200, None, 200, None, 404]
+    assert rows["u1"].scraped_at.replace(tzinfo=UTC) == AT and rows["u4"].scraped_at is None
+
+    promoted = shards.scan_promoted(spark, str(tmp_path))
+    assert promoted.count() == 6 and promoted.schema["price"].dataType.simpleString() == "string"
+    known = [shards.nanosecond(shards.SALE_STREAMED)]
+    (tmp_path / "one").mkdir()
+    pandas_shard(tmp_path / "one" / "shard_1.parquet", [sale("u1", status="200", scraped_at=at)])
+    assert shards.load_sale(spark, str(tmp_path / "one"), known).first().scraped_at.replace(tzinfo=UTC) == AT
 
 
 def test_load_room(spark, tmp_path):
