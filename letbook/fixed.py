@@ -32,6 +32,11 @@ TOTAL_CLASS = "navcurrent"
 MODEL_START = r"(?s)window\.PAGE_MODEL[^{]*+(\{.*)"
 MODEL_PATTERN = r"(?s)window\.PAGE_MODEL\s*=\s*(\{.*?\})\s*;</script>"
 
+# Names of shard files
+STREAMED_FILES = "shard_*.parquet"
+DATED_FILES = "rightmove_*.parquet"
+FAILED_URL_FILES = "failed_urls_worker*.txt"
+
 # Output
 SHARD_ROWS = 5000
 MAX_PASSES = 3

@@ -6,6 +6,8 @@ what has to come out.
 
 from __future__ import annotations
 
+from letbook.fixed import ROOM_DOMAIN, ROOM_SEARCH_URL, ROOM_SOURCE, SALE_SEARCH_URL
+
 SALE = """
 sale_src AS (
   SELECT 'https://example.test/properties/' || o_orderkey AS url,
@@ -220,7 +222,7 @@ FROM orders""",
 SELECT o_orderkey AS listing_no FROM orders WHERE o_orderkey % 4 = 1 OR o_orderkey % 6 = 0""",
     "normalize_room": f"""
 WITH {ROOM}
-SELECT 'spareroom' AS source, postcode, title, url, price_text, location, room_type,
+SELECT '{ROOM_SOURCE}' AS source, postcode, title, url, price_text, location, room_type,
        coalesce(available, '') AS available, scraped_at,
        CASE WHEN length(postcode) = 2 THEN 200 ELSE 0 END AS status
 FROM room_src""",
@@ -295,13 +297,13 @@ FROM orders""",
     "location_list": """
 SELECT upper(n_name) AS key, min(CAST(n_nationkey AS BIGINT)) AS position FROM nation GROUP BY upper(n_name)""",
     "location_ids": "SELECT n_nationkey AS outer_code, 'OUTCODE^' || n_nationkey AS location_id FROM nation",
-    "search_urls": """
+    "search_urls": f"""
 SELECT n_nationkey AS outer_code, CAST(p AS INTEGER) AS page_idx,
-       'https://www.rightmove.co.uk/property-for-sale/find.html?locationIdentifier=OUTCODE^' || n_nationkey
+       '{SALE_SEARCH_URL}?locationIdentifier=OUTCODE^' || n_nationkey
          || '&sortType=1&useLocationIdentifier=true&index=' || (p * 24) AS sale_url,
-       'https://www.rightmove.co.uk/property-for-sale/find.html?locationIdentifier=OUTCODE^' || n_nationkey
+       '{SALE_SEARCH_URL}?locationIdentifier=OUTCODE^' || n_nationkey
          || '&sortType=1&index=' || (p * 24) AS sale_url_dated,
-       'https://www.spareroom.co.uk/flatshare/search.pl?action=search&flatshare_type=offered&search='
+       '{ROOM_SEARCH_URL}?action=search&flatshare_type=offered&search='
          || upper(n_name) || '&max_per_page=50&offset=' || (p * 50) AS room_url
 FROM nation, range(50) AS t(p)""",
     "card_fields": """
@@ -316,13 +318,13 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos,
        CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://example.test' || href END AS url,
        trim(title) AS title, CAST(NULL AS VARCHAR) AS strong
 FROM card""",
-    "room_cards": """
+    "room_cards": f"""
 SELECT 'R' || (user_id % 40) AS postcode, 0 AS page_idx, ts AS fetched_at, 0 AS pos,
-       'https://www.spareroom.co.uk/flatshare/detail.pl?flatshare_id=' || event_id || '&search=x' AS url,
+       '{ROOM_DOMAIN}/flatshare/detail.pl?flatshare_id=' || event_id || '&search=x' AS url,
        CAST(event_id AS VARCHAR) AS flatshare_id, 'Room & bath ' || event_id AS title,
        CASE WHEN event_id % 13 <> 0 THEN '£' || CAST(floor(value) AS BIGINT) || ' pcm' END AS price_text,
        event_type || 'area' AS location, 'Doubleroom' AS room_type, CAST(NULL AS VARCHAR) AS available,
-       'spareroom' AS source
+       '{ROOM_SOURCE}' AS source
 FROM events""",
     "links_regex": """
 SELECT DISTINCT page_id, 'https://example.test' || unnest(regexp_extract_all(html, '/[A-Za-z]+')) AS url
@@ -393,6 +395,22 @@ WITH {PAGING}, last AS (
 )
 SELECT o_custkey, page_idx, first_order, coalesce(status, 200) AS status
 FROM paging_src LEFT JOIN last USING (o_custkey)""",
+    "room_run": f"""
+SELECT '{ROOM_SOURCE}' AS source, CAST(event_id AS VARCHAR) AS postcode, 'Room & bath ' || event_id AS title,
+       '{ROOM_DOMAIN}/flatshare/detail.pl?flatshare_id=' || event_id || '&search=x' AS url,
+       CASE WHEN event_id % 13 <> 0 THEN '£' || CAST(floor(value) AS BIGINT) || ' pcm' ELSE '' END AS price_text,
+       event_type || 'area' AS location, 'Doubleroom' AS room_type, '' AS available, ts AS scraped_at, 200 AS status
+FROM events""",
+    "sale_links_run": f"""
+WITH {HREFS}, counted AS (
+  SELECT page_id, page_id % 20 AS key, CAST(floor(page_id / 20) AS INTEGER) AS page_idx,
+         (SELECT count(*) FROM links WHERE links.page_id = pages.page_id) AS n
+  FROM pages
+), stops AS (
+  SELECT key, min(page_idx) FILTER (WHERE n < 5 AND (page_idx > 0 OR n > 0)) AS stop_idx FROM counted GROUP BY key
+)
+SELECT key, url FROM counted JOIN stops USING (key) JOIN links USING (page_id)
+WHERE stop_idx IS NULL OR page_idx <= stop_idx""",
     "dedup_listing": """
 SELECT * FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,

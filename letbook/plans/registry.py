@@ -8,13 +8,13 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letbook.fixed import ROOM_SOURCE
+from letbook.fixed import ROOM_SOURCE, ROOM_VIEW, SALE_VIEW
 from letbook.functions import html as H
 from letbook.functions import text as T
 from letbook.functions import urls as U
 from letbook.functions.model import first_filled, model_fields, with_model
 from letbook.operators import dedup, extract, filters, health, ledger, paging, reports, retry
-from letbook.plans import sales
+from letbook.plans import rooms, sales
 from letbook.plans.inputs import (
     SITE,
     attempts_src,
@@ -76,17 +76,17 @@ def selection_count(spark, sf_dir):
 
 @query
 def sql_surface(spark, sf_dir):
-    text = """
+    text = f"""
         SELECT r.postcode, COUNT(*) AS rooms, AVG(r.price_norm) AS avg_price
-        FROM spareroom r
-        WHERE EXISTS (SELECT 1 FROM rightmove s WHERE s.postcode = replace(r.postcode, 'R', 'N'))
+        FROM {ROOM_VIEW} r
+        WHERE EXISTS (SELECT 1 FROM {SALE_VIEW} s WHERE s.postcode = replace(r.postcode, 'R', 'N'))
         GROUP BY r.postcode
         ORDER BY rooms DESC, r.postcode
         LIMIT 20;
     """
     tables = {
-        "rightmove": shards.type_sale(sale_src(spark, sf_dir)),
-        "spareroom": shards.type_room(room_src(spark, sf_dir)),
+        SALE_VIEW: shards.type_sale(sale_src(spark, sf_dir)),
+        ROOM_VIEW: shards.type_room(room_src(spark, sf_dir)),
     }
     return run_sql(spark, text, tables)
 
@@ -552,6 +552,39 @@ def status_tag(spark, sf_dir):
     return paging.tag_status(rows, src, ["o_custkey"], spread_by=["first_order"])
 
 
+# ---- whole runs --------------------------------------------------------------------------
+
+
+@query
+def room_run(spark, sf_dir):
+    """Search pages to deduplicated shard rows: one location per event, one card per page."""
+    src = card_pages_src(spark, sf_dir)
+    fetched = src.withColumns(
+        {
+            "key": F.regexp_extract("html", "flatshare_id=([0-9]+)", 1),
+            "http_status": F.lit(200),
+            "fetched_at": F.col("fetched_at").cast("timestamp"),
+        }
+    )
+    rows = rooms.room_run(fetched, "r1", F.current_timestamp()).rows
+    return rows.withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
+
+
+@query
+def sale_links_run(spark, sf_dir):
+    """Search pages to the links of each location, up to the end of its pages."""
+    no = F.col("page_id")
+    fetched = table(spark, sf_dir, "pages").select(
+        (no % 20).alias("key"),
+        F.floor(no / 20).cast("int").alias("page_idx"),
+        F.lit(200).alias("http_status"),
+        "html",
+        F.lit(None).cast("timestamp").alias("fetched_at"),
+    )
+    links = extract.links_by_anchor(F.col("html"), token=None, path="/", domain=SITE)
+    return sales.collected_links(fetched, links, replace(paging.SALE_SERIES, page_size=5))
+
+
 # ---- duplicates --------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letbook.fixed import FAILED_URL_FILES
 from letbook.functions.text import clean_key, strip
 from letbook.functions.urls import location_id
 
@@ -60,6 +61,6 @@ def url_list(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_url_list(
-    spark: SparkSession, path: str, glob: str = "failed_urls_worker*.txt"
+    spark: SparkSession, path: str, glob: str = FAILED_URL_FILES
 ) -> DataFrame:
     return url_list(spark.read.option("pathGlobFilter", glob).text(path))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, FractionalType, IntegralType, NumericType
 
 from letbook import schemas
+from letbook.fixed import DATED_FILES, STREAMED_FILES
 from letbook.functions.text import money, to_number, to_status, to_time, truthy
 from letbook.sources import footers
 
@@ -37,8 +38,8 @@ def _nanos(moment: Column) -> Column:
 
 
 # Known layouts, for folders that hold nothing else; `discover` finds out by itself.
-SALE_STREAMED = Variant(schemas.SALE_SHARD_TEXT_STATUS, "shard_*.parquet")
-SALE_DATED = Variant(schemas.SALE_SHARD_INT_STATUS, "rightmove_*.parquet")
+SALE_STREAMED = Variant(schemas.SALE_SHARD_TEXT_STATUS, STREAMED_FILES)
+SALE_DATED = Variant(schemas.SALE_SHARD_INT_STATUS, DATED_FILES)
 ROOM_SHARDS = Variant(schemas.ROOM_SHARD)
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from urllib.parse import parse_qs, urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from letbook.plans.sales import collected_links, sale_run, urls_to_fetch
 from letbook.schemas import PAGES
 from test_html import card
 from test_model import FULL, changed, page
+from test_paging import walk
 
 AT = dt.datetime(2024, 5, 1)
 RULES = paging.SeriesRules(3, empty_first_ends=True, missing_later_ends=False)
@@ -40,39 +42,32 @@ def room_pages(seed):
 
 
 def brute_run(pages):
-    rows, outcomes, dropped, total, seen_keys = [], {}, 0, 0, set()
-    for key in sorted({p[0] for p in pages}, key=lambda k: int(k[1:])):
-        last, found, urls = 200, [], set()
-        ok_first = False
-        for _, _, _, idx, _, status, html, at in sorted((p for p in pages if p[0] == key), key=lambda p: p[3]):
-            last = status or last
-            html = html if status == 200 else None
-            if idx == 0:
-                ok_first = bool(html)
-            if not html:
-                if idx == 0:
-                    break
-                continue
-            lis = parse(html).find_all("li", "listing-result")
-            for li in lis:
+    """The same run on parsed pages: rows, outcome per location, repeats, cards with a new URL."""
+    rows, outcomes, dropped, total = [], {}, 0, 0
+    for key in {p[0] for p in pages}:
+        series = {}
+        for _, _, _, idx, _, status, html, at in (p for p in pages if p[0] == key):
+            lis = parse(html).find_all("li", "listing-result") if status == 200 else None
+            series[idx] = (status, lis, at)
+        steps = [(i, len(lis or []), lis is not None, status) for i, (status, lis, _) in series.items()]
+        seen, _ = walk(steps, RULES)
+        status = next((series[i][0] for i in reversed(seen) if series[i][0]), 200)
+        outcomes[key] = "completed" if series[0][1] is not None and status == 200 else "failed"
+
+        by_url = {}
+        for i in seen:
+            _, lis, at = series[i]
+            for li in lis or []:
                 href = li.find("a", "listing-card__link").attrs["href"]
-                url = ROOM_DOMAIN + href
-                if url not in urls:
-                    urls.add(url)
-                    no = url.split("flatshare_id=")[1].split("&")[0] if "flatshare_id=" in url else None
-                    found.append((no, url, li.find("h2").text(), at))
-            if len(lis) < RULES.page_size:
-                break
-        outcomes[key] = "completed" if ok_first and last == 200 else "failed"
-        total += len(found)
-        for no, url, title, at in found:
-            if not no:
-                continue
-            if (no, key) in seen_keys:
-                dropped += 1
-                continue
-            seen_keys.add((no, key))
-            rows.append((key, url, title, last, at))
+                by_url.setdefault(ROOM_DOMAIN + href, (li.find("h2").text(), at))
+        by_id = {}
+        for url, (title, at) in by_url.items():
+            number = parse_qs(urlparse(url).query).get("flatshare_id")
+            if number:
+                by_id.setdefault(number[0], []).append((key, url, title, status, at))
+        rows += [found[0] for found in by_id.values()]
+        dropped += sum(len(found) - 1 for found in by_id.values())
+        total += len(by_url)
     return sorted(rows), outcomes, dropped, total
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from letbook import schemas
-from letbook.fixed import ROOM_SOURCE
+from letbook.fixed import DATED_FILES, ROOM_SOURCE
 from letbook.operators import filters
 from letbook.sinks.tables import write_shards, write_snapshot, write_url_list
 from letbook.sources import ledgers, lists, pages, shards
@@ -43,7 +43,7 @@ def sale_folder(tmp_path):
     )
     write(tmp_path / "shard_2.parquet", [], sale_schema(pa.string()))
     write(
-        tmp_path / "rightmove_2024-05-01.parquet",
+        tmp_path / DATED_FILES.replace("*", "2024-05-01"),
         [sale("u3", status=200), sale("u4", status=None, bedrooms=None)],
         sale_schema(pa.int64(), stamped=False),
     )
@@ -86,10 +86,10 @@ def test_shards_as_pandas_types_them(spark, tmp_path):
         [sale("u2", status="200", price=None, scraped_at=at), sale("u3", status="fail", scraped_at=at)],
     )
     pandas_shard(
-        tmp_path / "rightmove_1.parquet",
+        tmp_path / DATED_FILES.replace("*", "1"),
         [sale("u4", status=200, bedrooms=None, floor_area=None), sale("u5", status=None, bedrooms=None, floor_area=None)],
     )
-    pandas_shard(tmp_path / "rightmove_2.parquet", [sale("u6", status=404, price="POA", bedrooms="2")])
+    pandas_shard(tmp_path / DATED_FILES.replace("*", "2"), [sale("u6", status=404, price="POA", bedrooms="2")])
     kinds = {str(f.type) for p in tmp_path.glob("*.parquet") for f in [pq.read_schema(p).field("price")]}
     assert kinds == {"int64", "double", "string"}
 

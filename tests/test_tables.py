@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
 from letbook import sql
+from letbook.fixed import ROOM_VIEW, SALE_VIEW
 from letbook.operators import dedup, filters, reports, skew
 
 AT = dt.datetime(2024, 5, 1)
@@ -166,19 +167,19 @@ def test_attach(spark, hot_rows, threshold):
 
 
 def test_run_sql(spark, sales):
-    text = "SELECT postcode, COUNT(*) AS listings, AVG(price) AS avg_price\nFROM rightmove\nGROUP BY postcode\nORDER BY listings DESC\nLIMIT 1;"
-    assert [tuple(r) for r in sql.run_sql(spark, text, {"rightmove": sales}).collect()] == [("AB1", 2, 100.0)]
+    text = f"SELECT postcode, COUNT(*) AS listings, AVG(price) AS avg_price\nFROM {SALE_VIEW}\nGROUP BY postcode\nORDER BY listings DESC\nLIMIT 1;"
+    assert [tuple(r) for r in sql.run_sql(spark, text, {SALE_VIEW: sales}).collect()] == [("AB1", 2, 100.0)]
     with pytest.raises(AnalysisException):
-        spark.table("rightmove")
+        spark.table(SALE_VIEW)
 
 
 def test_run_sql_keeps_other_views(spark, sales):
-    spark.range(3).createOrReplaceTempView("rightmove")
+    spark.range(3).createOrReplaceTempView(SALE_VIEW)
     try:
-        assert sql.run_sql(spark, "SELECT 1 AS x FROM rightmove -- all", {"rightmove": sales}).count() == 5
-        assert spark.table("rightmove").count() == 3
+        assert sql.run_sql(spark, f"SELECT 1 AS x FROM {SALE_VIEW} -- all", {SALE_VIEW: sales}).count() == 5
+        assert spark.table(SALE_VIEW).count() == 3
     finally:
-        spark.catalog.dropTempView("rightmove")
+        spark.catalog.dropTempView(SALE_VIEW)
 
 
 @pytest.mark.parametrize("text", ["DROP TABLE t", "CREATE TABLE t (a int)", "INSERT INTO t VALUES (1)", "SELEC 1"])
@@ -191,8 +192,8 @@ def test_register_listings(spark, sales):
     empty = spark.createDataFrame([], "postcode string, price_norm bigint")
     sql.register_listings(sales, empty)
     try:
-        assert spark.table("sale_listings").count() == spark.table("rightmove").count() == 5
-        assert spark.table("spareroom").count() == spark.table("room_listings").count() == 0
+        assert spark.table("sale_listings").count() == spark.table(SALE_VIEW).count() == 5
+        assert spark.table(ROOM_VIEW).count() == spark.table("room_listings").count() == 0
     finally:
-        for name in ("sale_listings", "rightmove", "room_listings", "spareroom"):
+        for name in ("sale_listings", SALE_VIEW, "room_listings", ROOM_VIEW):
             spark.catalog.dropTempView(name)
