@@ -121,7 +121,9 @@ def _sale_variants(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         F.col("c_mktsegment").alias("property_type"),
         F.lit("").alias("floor_area"),
         F.when(F.col("c_custkey") % 9 == 0, "fail").otherwise("200").alias("status"),
-        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("c_custkey") * 60).alias("scraped_at"),
+        F.timestamp_add("MINUTE", F.col("c_custkey").cast("int"), F.lit("2023-11-14 22:13:20").cast("timestamp")).alias(
+            "scraped_at"
+        ),
     )
     supplier = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit(f"{SITE}/s/"), F.col("s_suppkey").cast("string")).alias("url"),
@@ -620,13 +622,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the labelled documents: quality decides the first, toxicity the second."""
     labels = table(spark, sf_dir, "labels")
 
-    def run(rows: DataFrame, done: Column, run_id: str, second: int) -> DataFrame:
+    def run(rows: DataFrame, done: Column, run_id: str, at: str) -> DataFrame:
         outcome = rows.withColumn("status", F.when(done, "completed").otherwise("failed"))
-        return ledger.to_events(outcome, "docs", "doc_id", run_id, F.timestamp_seconds(F.lit(second)))
+        return ledger.to_events(outcome, "docs", "doc_id", run_id, F.lit(at))
 
     again = labels.where(F.col("doc_id") % 3 == 0)
-    return run(labels, F.col("quality") == 1, "r1", 1000).unionByName(
-        run(again, F.col("toxic") == 0, "r2", 2000)
+    return run(labels, F.col("quality") == 1, "r1", "1970-01-01 00:16:40").unionByName(
+        run(again, F.col("toxic") == 0, "r2", "1970-01-01 00:33:20")
     )
 
 

@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from letbook.fixed import ROOM_SOURCE
+from letbook.fixed import ROOM_ID_PARAM, ROOM_SOURCE, SHARD_ROWS
+from letbook.functions.urls import query_param
 from letbook.operators.dedup import first_listing, first_url, repeats, with_keys
 from letbook.operators.extract import ROOM_LAYOUT, CardLayout, cards
 from letbook.operators.ledger import room_outcomes, to_events
@@ -15,6 +17,7 @@ from letbook.operators.paging import ROOM_SERIES, SeriesRules, settle_fetches, t
 from letbook.session import keep
 from letbook.sources.pages import has_html, settle_pages
 from letbook.sources.shards import canonical_room, union_by_name
+from letbook.streaming.jobs import read_batches, run_available, write_batch
 
 _PAGE = ["key", "page_idx", "http_status", "has_html", "fetched_at"]
 
@@ -74,3 +77,32 @@ def _summary(outcomes: DataFrame, tagged: DataFrame, keys: list[str]) -> DataFra
     return union_by_name(parts).agg(
         *[F.sum(name).alias(name) for name in ("processed", "total_rows", "dropped", "failed")]
     )
+
+
+def room_stream(
+    pages: DataFrame,
+    rows_path: str,
+    ledger_path: str,
+    checkpoint: str,
+    run_id: str,
+    at: Column,
+    rows_per_file: int = SHARD_ROWS,
+) -> StreamingQuery:
+    """Rows and ledger events of pages as they arrive, a location's pages in one batch.
+
+    Listings that earlier batches wrote under the same postcode are left out. A batch that
+    is repeated after a stop replaces what it wrote.
+    """
+    keys = ["postcode", "_id"]
+
+    def with_id(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_id", query_param(F.col("url"), ROOM_ID_PARAM))
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        run = room_run(batch, run_id, at)
+        seen = with_id(read_batches(run.rows, rows_path, before=batch_id)).select(*keys)
+        fresh = with_id(run.rows).join(seen, keys, "left_anti").drop("_id")
+        write_batch(fresh.select(*run.rows.columns), rows_path, batch_id, rows_per_file)
+        write_batch(run.events, ledger_path, batch_id, rows_per_file)
+
+    return run_available(pages, checkpoint, on_batch)

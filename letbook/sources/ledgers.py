@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from letbook import schemas
 
+_EVENT = ("source", "key", "status", "run_id", "updated_at")
 _STATE_FILE = (
     "completed_postcodes array<string>, failed_postcodes array<string>, "
     "completed_outcodes array<string>, completed_locations array<string>, "
@@ -57,9 +58,9 @@ def state_urls(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Events of the ledger table; a missing table is an empty ledger."""
+    """Events of the ledger table, in whatever folders; a missing table is an empty ledger."""
     try:
-        return spark.read.schema(schemas.LEDGER).parquet(path)
+        return spark.read.schema(schemas.LEDGER).parquet(path).select(*_EVENT)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -67,4 +68,4 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_ledger(events: DataFrame, path: str) -> None:
-    events.select("source", "key", "status", "run_id", "updated_at").write.mode("append").parquet(path)
+    events.select(*_EVENT).write.mode("append").parquet(path)

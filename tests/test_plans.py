@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from dom import parse
 from letbook.fixed import ROOM_DOMAIN, SALE_DOMAIN
 from letbook.operators import paging
-from letbook.plans.rooms import room_run
+from letbook.plans.rooms import room_run, room_stream
 from letbook.plans.sales import collected_links, sale_run, urls_to_fetch
-from letbook.schemas import PAGES
+from letbook.schemas import PAGES, ROOM_LISTINGS
+from letbook.sources.ledgers import read_ledger
+from letbook.sources.pages import stream_pages
 from test_html import card
 from test_model import FULL, changed, page
 from test_paging import walk
@@ -84,6 +86,28 @@ def test_room_run(spark, seed):
     assert tuple(run.summary.first()) == (len(outcomes), total, dropped, failed)
 
 
+def test_room_stream(spark, tmp_path):
+    """Two days of pages: what the first wrote is not written again, ledgers add up."""
+    inbox, rows_path, ledger_path, checkpoint = (str(tmp_path / p) for p in ("in", "rows", "ledger", "cp"))
+    one = [("P1", "search", None, 0, 0, 200, card(href="/r?flatshare_id=1") + card(href="/r?flatshare_id=2"), AT)]
+    two = [
+        ("P1", "search", None, 0, 0, 200, card(href="/r?flatshare_id=2&amp;x=9") + card(href="/r?flatshare_id=3"), AT),
+        ("P2", "search", None, 0, 0, 200, card(href="/r?flatshare_id=2"), AT),
+        ("P3", "search", None, 0, 0, 503, None, AT),
+    ]
+    for day, pages in (("d1", one), ("d2", two)):
+        spark.createDataFrame(pages, PAGES).coalesce(1).write.mode("append").parquet(inbox)
+        room_stream(stream_pages(spark, inbox), rows_path, ledger_path, checkpoint, day, F.lit(AT))
+    rows = spark.read.schema(ROOM_LISTINGS).parquet(rows_path).collect()
+    assert sorted((r.postcode, r.url.rsplit("/", 1)[1]) for r in rows) == [
+        ("P1", "r?flatshare_id=1"), ("P1", "r?flatshare_id=2"), ("P1", "r?flatshare_id=3"), ("P2", "r?flatshare_id=2"),
+    ]
+    events = read_ledger(spark, ledger_path).collect()
+    assert sorted((r.key, r.run_id, r.status) for r in events) == [
+        ("P1", "d1", "completed"), ("P1", "d2", "completed"), ("P2", "d2", "completed"), ("P3", "d2", "failed"),
+    ]
+
+
 def test_sale_links(spark):
     def html(numbers):
         return "".join(f'<a class="propertyCard-link" href="/properties/{n}#x">p</a>' for n in numbers)
