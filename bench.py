@@ -19,7 +19,7 @@ from letbook.session import build_session  # noqa: E402
 
 # Headline queries: the flagship, then one or two per group of operators.
 HEADLINE = """
-    sale_from_pages sale_by_postcode room_by_postcode sql_surface location_lookup
+    sale_from_pages room_run sale_links_run sale_by_postcode room_by_postcode sql_surface location_lookup
     load_sale load_room scan_promote filter_combined facets latest_sale
     money_extract room_cards card_fields links_anchor distinct_urls detail_rows page_model_regex
     page_truncate status_tag dedup_listing dedup_url remaining_work ledger_update retry_set

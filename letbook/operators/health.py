@@ -26,7 +26,7 @@ class EtaRule:
     whole: bool = False
 
 
-# The four ways the collectors estimate
+# How the collectors estimate, each in its own way
 ROOM_ETA = EtaRule(6, 0, None, whole=True)
 URL_ETA = EtaRule(10, 99999, ETA_CAP_SECONDS)
 URL_ETA_DATED = EtaRule(21, 99999, ETA_CAP_SECONDS)

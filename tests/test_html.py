@@ -1,7 +1,6 @@
 import html as stdlib_html
 import random
 
-from pyspark.sql import functions as F
 
 from dom import parse
 from letbook.fixed import ROOM_DOMAIN
