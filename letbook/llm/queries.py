@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, linedup, neardup, packing, quality, secret_scan, winnow
+from . import chat, language, linedup, neardup, packing, pitman_yor, quality, secret_scan, vectors, winnow
 from .frames import fold, table
 
 
@@ -68,6 +68,19 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    return pitman_yor.score(table(spark, sf_dir, "documents"), ~held_out).select(
+        "doc_id",
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "<|im_end|><|im_start|>assistant ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -107,6 +120,10 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
@@ -121,6 +138,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_secrets, op3_minhash, op4_lines, op5_packing, op7_chat, op8_winnowing, op10_quality)
+    for f in (
+        op1_language,
+        op2_secrets,
+        op3_minhash,
+        op4_lines,
+        op5_packing,
+        op6_pitman_yor,
+        op7_chat,
+        op8_winnowing,
+        op9_vectors,
+        op10_quality,
+    )
 }
 ORACLE: dict[str, str] = {}
