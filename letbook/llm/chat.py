@@ -63,16 +63,16 @@ def unescape_role(role: Column) -> Column:
 
 
 def _states(roles: Column, template: Template) -> Column:
-    """(state, position, first bad position) after all roles; the state is null once a role was refused."""
+    """(state, position, first bad position) after all roles; the state is empty once a role was refused."""
     pairs = [(f"{a}>{role}", b) for a, m in template.moves.items() for role, b in m.items()]
     moves = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
 
     def step(acc: Column, role: Column) -> Column:
-        after = F.try_element_at(moves, F.concat(acc["state"], F.lit(">"), role))
+        after = F.coalesce(F.try_element_at(moves, F.concat(acc["state"], F.lit(">"), role)), F.lit(""))
         return F.struct(
             after.alias("state"),
             (acc["at"] + 1).alias("at"),
-            F.when(after.isNull(), F.coalesce(acc["bad"], acc["at"])).otherwise(acc["bad"]).alias("bad"),
+            F.when(after == "", F.coalesce(acc["bad"], acc["at"])).otherwise(acc["bad"]).alias("bad"),
         )
 
     first = F.struct(
@@ -121,7 +121,7 @@ def format_chats(turns: DataFrame, template: Template = CHATML) -> DataFrame:
             "n_turns",
             "segments",
             F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-            F.coalesce(end["state"].isin(list(template.final)), F.lit(False)).alias("valid"),
+            end["state"].isin(list(template.final)).alias("valid"),
             F.coalesce(end["bad"], F.when(~end["state"].isin(list(template.final)), end["at"])).alias("bad_turn"),
         )
     )

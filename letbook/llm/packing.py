@@ -16,7 +16,8 @@ pieces; a null doc_id stays null; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-import re
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +30,32 @@ from pyspark.sql.pandas.types import to_arrow_type
 CACHE_WORDS = 250_000
 #: Documents and tokens after which a block is packed.
 BLOCK_DOCS, BLOCK_TOKENS = 4096, 8_000_000
-_RUNS = re.compile(r"\s\s|^\s|\s$")
+
+
+class _Whole(Exception):
+    """A text whose white space does not let its words be encoded one by one."""
+
+
+class _Words(dict):
+    """Ids of words with the blank before them, each encoded when it is first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise _Whole
+        ids = self[word] = self.encode(" " + word)
+        return ids
 
 
 class Encoder:
     """Ids as the tokenizer file has them, as little-endian 32-bit bytes.
 
-    The file's vocabulary and merges are read once and run by the faster of the two libraries for the same
-    byte-level encoding. Its pattern always breaks before a single blank between two other characters, so words are
-    encoded one by one and remembered. Texts with runs of white space are encoded whole.
+    The file's vocabulary is read once and run by the faster of the two libraries for the same byte-level encoding.
+    Its pattern always breaks before a single blank between two other characters, so words are encoded one by one and
+    remembered. Texts with runs of white space are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -56,27 +74,28 @@ class Encoder:
         }
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self._coder = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-        self._known: dict[str, bytes] = {}
+        self._special = list(special)
+        self._words = _Words(self._whole)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self._coder.encode(text, allowed_special="all", disallowed_special=()), "<u4").tobytes()
+        if any(s in text for s in self._special):
+            ids = array("I", self._coder.encode(text, allowed_special="all"))
+        else:
+            ids = array("I", self._coder.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _RUNS.search(text):
-            return self._whole(text)
-        known = self._known
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        if len(self._words) > CACHE_WORDS:
+            self._words.clear()
         first, *words = text.split(" ")
-        out = [self._whole(first)]
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                ids = known[w] = self._whole(" " + w)
-            out.append(ids)
-        return b"".join(out)
+        if first[-1:].isspace():
+            return self._whole(text)
+        try:
+            return self._whole(first) + b"".join(map(self._words.__getitem__, words))
+        except _Whole:
+            return self._whole(text)
 
 
 def capacities(total: int, size: int) -> list[int]:

@@ -41,6 +41,10 @@ def _grams(hashes: Column, k: int) -> Column:
     )
 
 
+def _first_gram(k: int):
+    return lambda hashes: _grams(hashes, k)[0]
+
+
 def fingerprint(grams: Column, span: int) -> Column:
     """The smallest of every `span` consecutive hashes, each value once; of fewer hashes, the smallest of all."""
     m = F.size(grams)
@@ -90,7 +94,7 @@ def decontaminate(
     short = [n for n in lengths if n < window]
     for n in sorted({min(n, k) for n in short}):
         part = windows.where((F.col("len") == n) if n < k else F.col("len").between(k, window - 1))
-        keys.append(part.select(let(F.slice(hashed, 1, n), lambda h, n=n: _grams(h, n)[0]).alias("key")))
+        keys.append(part.select(let(F.slice(hashed, 1, n), _first_gram(n)).alias("key")))
     known = keys[0]
     for more in keys[1:]:
         known = known.unionByName(more)

@@ -11,6 +11,7 @@ def brute(rows, threshold=0.95):
     for i, (_, v) in enumerate(rows):
         if ok[i]:
             x[i, : len(v)] = v
+            x[i] /= np.abs(x[i]).max()
             x[i] /= np.linalg.norm(x[i])
     close = (x @ x.T >= threshold) & np.outer(ok, ok)
     np.fill_diagonal(close, False)
