@@ -53,6 +53,17 @@ DATED_LOAD = LoadRule(300, 0.25, 0.18, 0.008, 0.28, 0.015)
 FIRST_LOAD = LoadRule(500, 0.22, 0.18, 0.008, 0.28, 0.015)
 
 
+def _began(log: DataFrame, order: list[str]) -> Column | None:
+    """When a fetch began: its latency before it was finished, where the log has latencies."""
+    if "latency_s" not in log.columns:
+        return None
+    latency = F.col("latency_s").cast("double")
+    usable = ~F.isnan(latency) & (F.abs(latency) < float("inf"))
+    taken = F.coalesce(F.when(usable, F.round(latency * 1_000_000)), F.lit(0.0)).cast("bigint")
+    micros = F.unix_micros(F.col(order[0]).cast("timestamp")) - taken
+    return F.timestamp_micros(micros)
+
+
 def error_rate(
     log: DataFrame,
     keys: list[str] = SERIES,
@@ -62,7 +73,7 @@ def error_rate(
 ) -> DataFrame:
     """The log with `done`, `total`, `started`, `errors` so far and their share."""
     failed = F.when(is_success(F.col("http_status")), 0).otherwise(1).cast("bigint")
-    counted = running(log, keys, order, {"errors": failed}, bucket, hot_rows)
+    counted = running(log, keys, order, {"errors": failed}, bucket, hot_rows, _began(log, order))
     return counted.withColumn("error_rate", F.col("errors") / F.greatest(F.lit(1), F.col("done")))
 
 
@@ -77,7 +88,9 @@ def rolling_latency(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The log with the mean latency of the last completions of its series."""
-    numbered = log if "done" in log.columns else running(log, keys, order, {}, bucket, hot_rows)
+    numbered = (
+        log if "done" in log.columns else running(log, keys, order, {}, bucket, hot_rows, _began(log, order))
+    )
     return rolling_mean(numbered, keys, "done", "latency_s", size, "mean_latency", default, block_rows)
 
 
@@ -99,8 +112,10 @@ def progress(
     bucket: Column | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """The log with its share done, time since the series began and time left."""
-    numbered = log if "done" in log.columns else running(log, keys, order, {}, bucket, hot_rows)
+    """The log with its share done, time since the first fetch of the series began, and time left."""
+    numbered = (
+        log if "done" in log.columns else running(log, keys, order, {}, bucket, hot_rows, _began(log, order))
+    )
 
     def micros(name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp"))

@@ -22,26 +22,33 @@ def current(events: DataFrame) -> DataFrame:
 
 
 def completed(events: DataFrame) -> DataFrame:
-    """Keys ever completed: a later failure does not undo it."""
-    return events.where(F.col("status") == "completed").select("key").distinct()
+    """Sources and keys ever completed: a later failure does not undo it."""
+    return events.where(F.col("status") == "completed").select("source", "key").distinct()
 
 
 def failed(events: DataFrame) -> DataFrame:
-    """Keys whose latest event is a failure."""
-    return current(events).where(F.col("status") == "failed").select("key")
+    """Sources and keys whose latest event is a failure."""
+    return current(events).where(F.col("status") == "failed").select("source", "key")
 
 
 def remaining(locations: DataFrame, done: DataFrame) -> DataFrame:
-    """Locations that are not done, with their place in the list."""
-    return locations.join(done.select("key").distinct(), "key", "left_anti")
+    """Locations that are not done, with their place in the list.
+
+    Where both tables name a source, a key done for one source is still to do for another.
+    """
+    on = ["source", "key"] if "source" in locations.columns and "source" in done.columns else ["key"]
+    return locations.join(done.select(*on).distinct(), on, "left_anti")
 
 
-def work_list(locations: DataFrame, events: DataFrame, retry_failed: bool = False) -> DataFrame:
-    """Keys to work on: the failed ones in retry mode when there are any, else what remains."""
-    left = remaining(locations, completed(events)).select("key")
+def work_list(
+    locations: DataFrame, events: DataFrame, source: str, retry_failed: bool = False
+) -> DataFrame:
+    """Keys of a source to work on: the failed ones in retry mode when there are any, else what remains."""
+    own = events.where(F.col("source") == source)
+    left = remaining(locations, completed(own).select("key")).select("key")
     if not retry_failed:
         return left
-    again = failed(events)
+    again = failed(own).select("key")
     none_failed = again.agg(F.count(F.lit(1))).scalar() == 0
     return again.unionByName(left.where(none_failed))
 
@@ -74,4 +81,4 @@ def to_events(outcomes: DataFrame, source: str, key: str, run_id: str, at: Colum
 
 
 def sorted_completed(events: DataFrame) -> DataFrame:
-    return completed(events).orderBy("key")
+    return completed(events).orderBy("source", "key")

@@ -46,15 +46,17 @@ def room_page_plan(locations: DataFrame, total: Column) -> DataFrame:
     return page_plan(locations, page_count(total), ROOM_PAGE_SIZE)
 
 
-def sale_page_plan(locations: DataFrame) -> DataFrame:
-    return page_plan(locations, F.lit(SALE_MAX_PAGES), SALE_PAGE_SIZE)
+def sale_page_plan(locations: DataFrame, max_pages: int = SALE_MAX_PAGES) -> DataFrame:
+    return page_plan(locations, F.lit(max_pages), SALE_PAGE_SIZE)
 
 
 def settle_fetches(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per location and page: of several fetches one with items, then the latest."""
-    return first_per_key(
-        pages, [*keys, "page_idx"], [F.desc(F.col("n_items") > 0), F.desc_nulls_last("fetched_at")]
-    )
+    """One row per location and page: of several fetches one with items, then the latest.
+
+    Fetches of one time are told apart by all their values, so the choice is the same in every run.
+    """
+    order = [F.desc(F.col("n_items") > 0), F.desc_nulls_last("fetched_at"), F.xxhash64(*pages.columns)]
+    return first_per_key(pages, [*keys, "page_idx"], order)
 
 
 def _ends_series(rules: SeriesRules, n_items: Column, has_html: Column, page_idx: Column) -> Column:

@@ -10,11 +10,18 @@ from letbook.functions.text import is_success, to_status
 from letbook.operators.dedup import first_per_key
 
 
+def retry_sets(attempts: DataFrame, passes: int = MAX_PASSES) -> DataFrame:
+    """(url, after_pass): URLs to fetch again after each pass but the last: tried in it, without success."""
+    tried = attempts.where(F.col("pass_no") < passes)
+    by_url = tried.groupBy("url", F.col("pass_no").alias("after_pass")).agg(
+        F.bool_or(is_success(F.col("http_status"))).alias("ok")
+    )
+    return by_url.where(~F.col("ok")).select("url", "after_pass")
+
+
 def retry_set(attempts: DataFrame, pass_no: int) -> DataFrame:
-    """URLs to fetch again after this pass: tried in it, without success."""
-    tried = attempts.where(F.col("pass_no") == pass_no)
-    by_url = tried.groupBy("url").agg(F.bool_or(is_success(F.col("http_status"))).alias("ok"))
-    return by_url.where(~F.col("ok")).select("url")
+    """URLs to fetch again after this pass."""
+    return retry_sets(attempts.where(F.col("pass_no") == pass_no), pass_no + 1).select("url")
 
 
 def final_failures(attempts: DataFrame, passes: int = MAX_PASSES) -> DataFrame:
@@ -29,8 +36,13 @@ def final_failures(attempts: DataFrame, passes: int = MAX_PASSES) -> DataFrame:
 def resolve_attempts(
     attempts: DataFrame, keys: tuple[str, ...] = ("url",), tie: tuple[str | Column, ...] = ()
 ) -> DataFrame:
-    """The attempt that counts for each URL: a success before a failure, then the latest pass."""
-    order = [F.desc(is_success(F.col("http_status"))), F.desc("pass_no"), *tie]
+    """The attempt that counts for each URL: a success before a failure, then the latest pass.
+
+    Attempts of one pass are told apart by `tie`, by their `attempt` number where there is one, and at
+    last by all their values, so the choice is the same in every run.
+    """
+    again = [F.desc_nulls_last("attempt")] if "attempt" in attempts.columns else []
+    order = [F.desc(is_success(F.col("http_status"))), F.desc("pass_no"), *tie, *again, F.xxhash64(*attempts.columns)]
     return first_per_key(attempts, list(keys), order)
 
 

@@ -24,11 +24,12 @@ def running(
     sums: dict[str, Column],
     bucket: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    began: Column | None = None,
 ) -> DataFrame:
     """Adds to each row, within its key and in the given order:
 
-    `done`, its number; `total`, the rows of the key; `started`, the least value of the
-    first order column; and each of `sums` up to the row.
+    `done`, its number; `total`, the rows of the key; `started`, the least value of
+    `began`, unless given the first order column; and each of `sums` up to the row.
 
     Keys are counted first. Without hot ones this is a plain window. A hot key is cut into
     buckets that are groups of their own; `bucket` grows with the first order column and
@@ -40,7 +41,11 @@ def running(
     counts = keep(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "counts")
     hot = hot_keys(counts, keys, "_n", hot_rows)
     lines = rows.withColumns(
-        {"_n": F.lit(1).cast("bigint"), **{f"_{name}": value for name, value in sums.items()}}
+        {
+            "_n": F.lit(1).cast("bigint"),
+            "_began": F.col(order[0]) if began is None else began,
+            **{f"_{name}": value for name, value in sums.items()},
+        }
     )
     if hot is None:
         group = Window.partitionBy(*keys)
@@ -49,7 +54,7 @@ def running(
             *rows.columns,
             F.sum("_n").over(upto).alias("done"),
             F.sum("_n").over(group).alias("total"),
-            F.min(order[0]).over(group).alias("started"),
+            F.min("_began").over(group).alias("started"),
             *[F.sum(f"_{name}").over(upto).alias(name) for name in sums],
         )
 
@@ -64,7 +69,7 @@ def running(
         .groupBy(*keys, "_bucket")
         .agg(
             F.sum("_n").alias("_n"),
-            F.min(order[0]).alias("_started"),
+            F.min("_began").alias("_started"),
             *[F.sum(f"_{name}").alias(f"_{name}") for name in sums],
         )
     )
@@ -89,7 +94,7 @@ def running(
             "_line",
             F.sum("_n").over(upto).alias("done"),
             F.coalesce(F.max("_total").over(group), F.sum("_n").over(group)).alias("total"),
-            F.coalesce(F.min("_started").over(group), F.min(order[0]).over(group)).alias("started"),
+            F.coalesce(F.min("_started").over(group), F.min("_began").over(group)).alias("started"),
             *[F.sum(f"_{name}").over(upto).alias(name) for name in sums],
         )
         .where(F.col("_line") == 1)
@@ -111,8 +116,13 @@ def rolling_mean(
 
     `number` counts the rows of a key from 1. A key is cut into blocks of consecutive
     rows; the last `size - 1` rows of a block are lent to the next one. Means come from
-    running sums, so a row costs the same whatever the size.
+    running sums, so a row costs the same whatever the size. The sums are of whole
+    millionths, which do not drift, so no block size changes a mean. A value that is NULL, NaN
+    or infinite is no measurement.
     """
+    measured = F.col(value).cast("double")
+    usable = ~F.isnan(measured) & (F.abs(measured) < float("inf"))
+    rows = rows.withColumn("_millionths", F.when(usable, F.round(measured * 1_000_000)).cast("bigint"))
     place = F.col(number) - 1
     home = F.floor(place / block_rows)
     lent = F.pmod(place, F.lit(block_rows)) >= block_rows - (size - 1)
@@ -126,19 +136,19 @@ def rolling_mean(
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = lines.withColumns(
         {
-            "_sum": F.coalesce(F.sum(value).over(upto), F.lit(0.0)),
-            "_count": F.count(value).over(upto),
+            "_sum": F.coalesce(F.sum("_millionths").over(upto), F.lit(0)),
+            "_count": F.count("_millionths").over(upto),
         }
     )
     recent = sums.withColumns(
         {
-            "_sum": F.col("_sum") - F.lag("_sum", size, 0.0).over(ordered),
+            "_sum": F.col("_sum") - F.lag("_sum", size, 0).over(ordered),
             "_count": F.col("_count") - F.lag("_count", size, 0).over(ordered),
         }
     )
-    mean = F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count")).otherwise(F.lit(default))
+    mean = F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count") / 1_000_000).otherwise(F.lit(default))
     return (
         recent.where(F.col("_home") == F.col("_block"))
         .withColumn(name, mean)
-        .drop("_home", "_block", "_sum", "_count")
+        .drop("_home", "_block", "_sum", "_count", "_millionths")
     )

@@ -151,16 +151,15 @@ def card_pages_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def paging_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of a customer as result pages of five, with every 7th order taken out."""
+    """Orders of a customer as result pages of five; every 7th order is no item, so pages run short."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     numbered = running(
         orders, ["o_custkey"], ["o_orderkey"], {}, bucket=F.floor(F.col("o_orderkey") / 1_000_000)
     )
     return (
         numbered.withColumn("page_idx", F.floor((F.col("done") - 1) / 5).cast("int"))
-        .where(F.col("o_orderkey") % 7 != 0)
         .groupBy("o_custkey", "page_idx")
-        .agg(F.count(F.lit(1)).alias("n_items"), F.min("o_orderkey").alias("first_order"))
+        .agg(F.count_if(F.col("o_orderkey") % 7 != 0).alias("n_items"), F.min("o_orderkey").alias("first_order"))
         .withColumn(
             "http_status",
             F.when(F.col("first_order") % 11 == 0, 503)
@@ -172,40 +171,39 @@ def paging_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempts_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of a user and day as up to three passes over one URL, ending with a success."""
+    """Events of a user and day as passes over URLs, three events to a URL."""
     events = table(spark, sf_dir, "events").select(
         F.concat(
             F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd")
-        ).alias("url"),
+        ).alias("series"),
         "ts",
         "event_id",
         "event_type",
         "value",
     )
-    order = Window.partitionBy("url").orderBy("ts", "event_id")
-    # the rank limit is applied in every task before the shuffle: at most three rows per URL remain
-    first = events.withColumn("pass_no", F.row_number().over(order)).where(F.col("pass_no") <= 3)
+    order = Window.partitionBy("series").orderBy("ts", "event_id")
+    numbered = events.withColumn("place", F.row_number().over(order) - 1)
     ok = F.col("event_type") != "error"
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    done_before = F.coalesce(F.max(ok).over(before), F.lit(False))
     code = (
         F.when(ok, "200").when(F.col("event_id") % 3 == 0, "429").when(F.col("event_id") % 3 == 1, "404")
     ).otherwise("fail")
-    return first.withColumn("done_before", done_before).where(~F.col("done_before")).select(
-        "url", "pass_no", code.alias("http_status"), "ts", "event_id", "value"
+    return numbered.select(
+        F.concat_ws("-", "series", F.floor(F.col("place") / 3).cast("string")).alias("url"),
+        (F.col("place") % 3 + 1).cast("int").alias("pass_no"),
+        code.alias("http_status"),
+        "ts",
+        "event_id",
+        "value",
     )
 
 
 def fetch_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a fetch log, one worker per event type; every 70th fetch failed.
-
-    Latencies are 256ths of a second, so sums of them are exact.
-    """
+    """Events as a fetch log, one worker per event type; every 70th fetch failed, every 90th has no latency."""
     no = F.col("event_id")
     return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("worker"),
         no,
-        (F.floor("value") / 256).alias("latency_s"),
+        F.when(no % 90 != 0, F.col("value") / 1000).alias("latency_s"),
         F.when(no % 70 == 0, 503).otherwise(200).alias("http_status"),
         F.col("ts").alias("finished_at"),
     )

@@ -54,53 +54,50 @@ model_src AS (
 
 PAGING = """
 paging_src AS (
-  SELECT o_custkey, page_idx, count(*) AS n_items, min(o_orderkey) AS first_order,
+  SELECT o_custkey, page_idx, count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS n_items, min(o_orderkey) AS first_order,
          CASE WHEN min(o_orderkey) % 11 = 0 THEN 503
               WHEN min(o_orderkey) % 13 = 0 THEN 0 ELSE 200 END AS http_status
   FROM (SELECT o_custkey, o_orderkey,
                CAST(floor((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) / 5)
                     AS INTEGER) AS page_idx
         FROM orders)
-  WHERE o_orderkey % 7 <> 0
   GROUP BY ALL
 )"""
 
 ATTEMPTS = """
 ranked AS (
-  SELECT user_id || '-' || strftime(ts, '%Y-%m-%d') AS url, ts, event_id, value, event_type <> 'error' AS ok,
-         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+  SELECT user_id || '-' || strftime(ts, '%Y-%m-%d') AS series, ts, event_id, value, event_type <> 'error' AS ok,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS place
   FROM events
-), marked AS (
-  SELECT *, coalesce(bool_or(ok) OVER (PARTITION BY url ORDER BY rn
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS done_before
-  FROM ranked WHERE rn <= 3
 ), attempts_src AS (
-  SELECT url, CAST(rn AS INTEGER) AS pass_no,
+  SELECT series || '-' || CAST(floor(place / 3) AS BIGINT) AS url, CAST(place % 3 + 1 AS INTEGER) AS pass_no,
          CASE WHEN ok THEN '200' WHEN event_id % 3 = 0 THEN '429'
               WHEN event_id % 3 = 1 THEN '404' ELSE 'fail' END AS http_status,
          ts, event_id, value, ok
-  FROM marked WHERE NOT done_before
+  FROM ranked
 )"""
 
 FETCH = """
 fetch_src AS (
-  SELECT event_type AS worker, event_id, floor(value) / 256 AS latency_s,
+  SELECT event_type AS worker, event_id, CASE WHEN event_id % 90 <> 0 THEN value / 1000 END AS latency_s,
+         CASE WHEN event_id % 90 <> 0 THEN CAST(round(value / 1000 * 1000000) AS BIGINT) END AS micros,
          event_id % 70 = 0 AS failed, ts AS finished_at
   FROM events
 ), counted AS (
   SELECT *,
          row_number() OVER w AS done,
          count(*) OVER (PARTITION BY worker) AS total,
-         min(finished_at) OVER (PARTITION BY worker) AS started,
+         min(epoch_us(finished_at) - coalesce(micros, 0)) OVER (PARTITION BY worker) AS started,
          CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER w AS BIGINT) AS errors,
-         avg(latency_s) OVER (PARTITION BY worker ORDER BY finished_at, event_id
-                              ROWS BETWEEN 299 PRECEDING AND CURRENT ROW) AS mean_latency
+         coalesce(CAST(sum(micros) OVER r AS DOUBLE) / count(micros) OVER r / 1000000, 0.25) AS mean_latency
   FROM fetch_src
   WINDOW w AS (PARTITION BY worker ORDER BY finished_at, event_id
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         r AS (PARTITION BY worker ORDER BY finished_at, event_id
+               ROWS BETWEEN 299 PRECEDING AND CURRENT ROW)
 ), timed AS (
   SELECT *, done / total AS fraction,
-         (epoch_us(finished_at) - epoch_us(started)) / 1000000 AS elapsed_s
+         (epoch_us(finished_at) - started) / 1000000 AS elapsed_s
   FROM counted
 )"""
 
@@ -130,6 +127,9 @@ ledger_events AS (
   SELECT 'docs', CAST(doc_id AS VARCHAR),
          CASE WHEN toxic = 0 THEN 'completed' ELSE 'failed' END, 'r2', TIMESTAMP '1970-01-01 00:33:20'
   FROM labels WHERE doc_id % 3 = 0
+  UNION ALL
+  SELECT 'other', CAST(doc_id AS VARCHAR), 'completed', 'r1', TIMESTAMP '1970-01-01 00:50:00'
+  FROM labels WHERE doc_id % 2 = 0
 ), ledger_now AS (
   SELECT * FROM ledger_events
   QUALIFY row_number() OVER (PARTITION BY source, key ORDER BY updated_at DESC, run_id DESC) = 1
@@ -242,11 +242,11 @@ WITH {SALE}, rows AS (
   SELECT * REPLACE (CASE WHEN listing_no % 10 <> 0 THEN scraped_at END AS scraped_at) FROM sale_src
 )
 SELECT postcode, price, bedrooms, property_type, address, url, scraped_at FROM rows
-ORDER BY scraped_at DESC NULLS LAST, url LIMIT 100""",
+ORDER BY scraped_at DESC NULLS LAST, url""",
     "latest_room": f"""
 WITH {ROOM}
 SELECT postcode, price_norm, room_type, location, url, scraped_at FROM room_src
-ORDER BY scraped_at DESC NULLS LAST, url LIMIT 100""",
+ORDER BY scraped_at DESC NULLS LAST, url""",
     "money_extract": """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 1 THEN CAST(floor(o_totalprice) AS BIGINT) END AS price_norm
 FROM orders""",
@@ -377,7 +377,7 @@ WITH {PAGING}, stops AS (
   SELECT o_custkey, min(page_idx) FILTER (WHERE n_items < 5) AS stop_idx FROM paging_src GROUP BY o_custkey
 )
 SELECT o_custkey, page_idx, n_items FROM paging_src JOIN stops USING (o_custkey)
-WHERE stop_idx IS NULL OR page_idx <= stop_idx""",
+WHERE n_items > 0 AND (stop_idx IS NULL OR page_idx <= stop_idx)""",
     "page_truncate_sales": f"""
 WITH {PAGING}, src AS (
   SELECT *, CASE WHEN http_status = 200 THEN n_items ELSE 0 END AS n FROM paging_src
@@ -431,11 +431,12 @@ WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "ledger_read": f"WITH {LEDGER} SELECT * FROM ledger_events",
     "ledger_update": f"WITH {LEDGER} SELECT source, key, status, run_id, updated_at FROM ledger_now",
     "ledger_completed": f"""
-WITH {LEDGER} SELECT DISTINCT key FROM ledger_events WHERE status = 'completed' ORDER BY key""",
-    "retry_mode": f"WITH {LEDGER} SELECT key FROM ledger_now WHERE status = 'failed'",
+WITH {LEDGER} SELECT DISTINCT source, key FROM ledger_events WHERE status = 'completed'
+ORDER BY source, key""",
+    "retry_mode": f"WITH {LEDGER} SELECT key FROM ledger_now WHERE status = 'failed' AND source = 'docs'",
     "work_list_plain": f"""
 WITH {LEDGER} SELECT CAST(doc_id AS VARCHAR) AS key FROM documents
-WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT key FROM ledger_events WHERE status = 'completed')""",
+WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT key FROM ledger_events WHERE status = 'completed' AND source = 'docs')""",
     "room_outcomes": f"""
 WITH {PAGING}, src AS (
   SELECT *, http_status = 200 AS has_html, CASE WHEN http_status = 200 THEN n_items ELSE 0 END AS n

@@ -227,11 +227,6 @@ def normalize_room(spark, sf_dir):
     return shards.canonical_room(rows, ROOM_SOURCE, stamp=F.col("scraped_at"))
 
 
-@query
-def source_fingerprint(spark, sf_dir):
-    return shards.fingerprint(spark, sf_dir)
-
-
 # ---- filters and orders ------------------------------------------------------------------
 
 
@@ -278,13 +273,13 @@ def latest_sale(spark, sf_dir):
     rows = sale_src(spark, sf_dir).withColumn(
         "scraped_at", F.when(F.col("listing_no") % 10 != 0, F.col("scraped_at"))
     )
-    return filters.latest_first(rows, filters.SALE_COLUMNS, limit=100)
+    return filters.latest_first(rows, filters.SALE_COLUMNS)
 
 
 @query
 def latest_room(spark, sf_dir):
     rows = room_src(spark, sf_dir).withColumn("price_norm", T.money(F.col("price_text")))
-    return filters.latest_first(rows, filters.ROOM_COLUMNS, limit=100)
+    return filters.latest_first(rows, filters.ROOM_COLUMNS)
 
 
 # ---- scalar functions --------------------------------------------------------------------
@@ -627,9 +622,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         return ledger.to_events(outcome, "docs", "doc_id", run_id, F.lit(at))
 
     again = labels.where(F.col("doc_id") % 3 == 0)
-    return run(labels, F.col("quality") == 1, "r1", "1970-01-01 00:16:40").unionByName(
+    own = run(labels, F.col("quality") == 1, "r1", "1970-01-01 00:16:40").unionByName(
         run(again, F.col("toxic") == 0, "r2", "1970-01-01 00:33:20")
     )
+    # another source that shares keys
+    even = labels.where(F.col("doc_id") % 2 == 0).withColumn("status", F.lit("completed"))
+    return own.unionByName(ledger.to_events(even, "other", "doc_id", "r1", F.lit("1970-01-01 00:50:00")))
 
 
 @query
@@ -668,12 +666,12 @@ def ledger_completed(spark, sf_dir):
 
 @query
 def retry_mode(spark, sf_dir):
-    return ledger.work_list(_documents(spark, sf_dir), _events(spark, sf_dir), retry_failed=True)
+    return ledger.work_list(_documents(spark, sf_dir), _events(spark, sf_dir), "docs", retry_failed=True)
 
 
 @query
 def work_list_plain(spark, sf_dir):
-    return ledger.work_list(_documents(spark, sf_dir), _events(spark, sf_dir))
+    return ledger.work_list(_documents(spark, sf_dir), _events(spark, sf_dir), "docs")
 
 
 @query
@@ -684,9 +682,7 @@ def room_outcomes(spark, sf_dir):
 
 @query
 def retry_set(spark, sf_dir):
-    attempts = attempts_src(spark, sf_dir)
-    first = retry.retry_set(attempts, 1).withColumn("after_pass", F.lit(1))
-    return first.unionByName(retry.retry_set(attempts, 2).withColumn("after_pass", F.lit(2)))
+    return retry.retry_sets(attempts_src(spark, sf_dir))
 
 
 @query

@@ -14,6 +14,7 @@ from letbook.operators.dedup import first_listing, first_url, repeats, with_keys
 from letbook.operators.extract import ROOM_LAYOUT, CardLayout, cards
 from letbook.operators.ledger import room_outcomes, to_events
 from letbook.operators.paging import ROOM_SERIES, SeriesRules, settle_fetches, tag_status, visited
+from letbook.operators.skew import equal, prefixed
 from letbook.session import keep
 from letbook.sources.pages import has_html, settle_pages
 from letbook.sources.shards import canonical_room, union_by_name
@@ -48,7 +49,9 @@ def room_run(
     fetches = settle_fetches(one_per_page, ["key"])
     seen = keep(visited(fetches, rules, ["key"]), "visited")
     found = parsed.drop("http_status", "n_items", "has_html").where(F.col("pos").isNotNull())
-    on_seen = found.join(seen.select("key", "page_idx"), ["key", "page_idx"], "left_semi")
+    # of a page fetched several times only the fetch that was chosen gives cards
+    fetch = ["key", "page_idx", "fetched_at"]
+    on_seen = found.join(prefixed(seen.select(*fetch), fetch, "_seen_"), equal(fetch, "_seen_"), "left_semi")
 
     unique = first_url(on_seen, "key", ["page_idx", "pos", "fetched_at"])
     tagged = keep(

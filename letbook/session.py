@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -36,9 +37,13 @@ def _local_folder() -> str:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only where none is configured (tests, a laptop) does it lie on the local disk.
+    Only on a local master (tests, a laptop) may none be configured; it then lies on the local disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/letbook-{label}-{uuid.uuid4().hex}"
 
 

@@ -31,7 +31,10 @@ def write_shards(
 def write_snapshot(
     rows: DataFrame, path: str, run_id: str, at: Column, compression: str = "none"
 ) -> None:
-    """Rows appended under the day and the run they belong to; earlier runs stay.
+    """Rows written under the day and the run they belong to; other runs stay.
+
+    A day written again under the same run replaces what that run wrote there, so a run that was stopped
+    can be repeated.
 
     The rebalance hint lets adaptive execution split a large day over several tasks and
     gather small ones, so files come out even whatever the days hold.
@@ -39,7 +42,8 @@ def write_snapshot(
     dated = rows.withColumn("snapshot_date", day_label(at)).withColumn("run_id", F.lit(run_id))
     (
         dated.hint("rebalance", "snapshot_date")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date", "run_id")
         .option("compression", compression)
         .parquet(path)

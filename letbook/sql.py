@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from letbook.fixed import ROOM_VIEW, SALE_VIEW
 
+# threads of one session share its views
+_ONE_AT_A_TIME = threading.RLock()
+
 
 def register(tables: Mapping[str, DataFrame]) -> None:
     """Temporary views by name; empty tables are registered too."""
@@ -31,11 +35,12 @@ def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) ->
     the same names are back. Anything but a query is a syntax error, as the text stands
     where only a query may.
     """
-    before = {name: spark.table(name) for name in tables if _is_view(spark, name)}
-    register(tables)
-    try:
-        return spark.sql(f"SELECT * FROM (\n{text.strip().rstrip(';')}\n)")
-    finally:
-        for name in tables:
-            spark.catalog.dropTempView(name)
-        register(before)
+    with _ONE_AT_A_TIME:
+        before = {name: spark.table(name) for name in tables if _is_view(spark, name)}
+        register(tables)
+        try:
+            return spark.sql(f"SELECT * FROM (\n{text.strip().rstrip(';')}\n)")
+        finally:
+            for name in tables:
+                spark.catalog.dropTempView(name)
+            register(before)

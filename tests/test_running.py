@@ -46,7 +46,8 @@ def test_error_rate_and_rolling_mean(spark, slice_s, hot_rows):
             mine = got[r[1]]
             assert (mine.done, mine.total, mine.errors) == (i + 1, len(series), errors)
             assert mine.error_rate == errors / (i + 1)
-            assert mine.started == min((x[4] for x in series if x[4]), default=None)
+            began = [x[4] - dt.timedelta(seconds=x[2] or 0) for x in series if x[4]]
+            assert mine.started == min(began, default=None)
             assert mine.mean_latency == sum(recent) / len(recent)
 
 
@@ -58,7 +59,21 @@ def test_window_as_long_as_a_block(spark):
         for r in got.collect():
             i = int(r.url[1:])
             recent = range(max(0, i - size + 1), i + 1)
-            assert r.mean_latency == sum(recent) / len(recent)
+            assert r.mean_latency == pytest.approx(sum(recent) / len(recent))
+
+
+def test_no_drift_and_no_spreading(spark):
+    """A huge value, a NaN, an infinite value and a NULL: means are right, whatever the block size."""
+    latency = [0.1] * 1000
+    latency[5], latency[40], latency[41], latency[42] = 1e9, float("nan"), None, float("inf")
+    rows = [("a", f"u{i:04}", v, "200", START + dt.timedelta(seconds=i)) for i, v in enumerate(latency)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    means = []
+    for block in (500, 100_000):
+        got = health.rolling_latency(log, ["worker"], ["finished_at", "url"], size=300, block_rows=block)
+        means.append([r.mean_latency for r in got.orderBy("url").collect()])
+    assert means[0] == means[1]
+    assert means[0][999] == 0.1 and means[0][100] == pytest.approx((1e9 + 0.1 * 97) / 98)
 
 
 def test_default_latency(spark):
@@ -104,7 +119,7 @@ def test_progress(spark):
     rows = [("a", f"u{i:02}", 0.1, "200", START + dt.timedelta(seconds=10 * i)) for i in range(20)]
     got = health.progress(spark.createDataFrame(rows, SCHEMA), health.ROOM_ETA, ["worker"], ["finished_at", "url"])
     last = {r.url: r for r in got.collect()}
-    assert (last["u09"].fraction, last["u09"].elapsed_s, last["u09"].eta_text) == (0.5, 90.0, "01:30")
+    assert (last["u09"].fraction, last["u09"].elapsed_s, last["u09"].eta_text) == (0.5, 90.1, "01:30")
     assert last["u19"].eta_s == 0.0
     detail = health.progress(spark.createDataFrame(rows, SCHEMA), health.DETAIL_ETA, ["worker"], ["finished_at", "url"])
     assert {r.eta_text for r in detail.collect()} == {"--:--"}

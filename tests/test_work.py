@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from letbook.operators import ledger, retry
 from letbook.schemas import LEDGER
 
+SOURCE = "s"
 T1, T2, T3 = (dt.datetime(2024, 5, d) for d in (1, 2, 3))
 
 
@@ -51,10 +52,30 @@ def test_limit_comes_before_done(places, events):
 
 
 def test_work_list(places, events):
-    assert keys(ledger.work_list(places, events)) == ["C", "D"]
-    assert keys(ledger.work_list(places, events, retry_failed=True)) == ["B", "C"]
+    assert keys(ledger.work_list(places, events, SOURCE)) == ["C", "D"]
+    assert keys(ledger.work_list(places, events, SOURCE, retry_failed=True)) == ["B", "C"]
     none_failed = events.where("status = 'completed'")
-    assert keys(ledger.work_list(places, none_failed, retry_failed=True)) == ["C", "D"]
+    assert keys(ledger.work_list(places, none_failed, SOURCE, retry_failed=True)) == ["C", "D"]
+
+
+def test_sources_are_apart(spark, places, events):
+    other = spark.createDataFrame([("other", k, "completed", "r1", T3) for k in "ABCD"], LEDGER)
+    both = events.unionByName(other)
+    assert keys(ledger.work_list(places, both, SOURCE)) == ["C", "D"]
+    assert keys(ledger.work_list(places, both, SOURCE, retry_failed=True)) == ["B", "C"]
+    assert keys(ledger.work_list(places, both, "other")) == []
+    assert [tuple(r) for r in ledger.sorted_completed(both).collect()] == [
+        *[("other", k) for k in "ABCD"], ("s", "A"), ("s", "B"),
+    ]
+    named = places.withColumn("source", F.lit("s"))
+    assert keys(ledger.remaining(named, ledger.completed(both))) == ["C", "D"]
+
+
+def test_attempts_of_one_pass(spark):
+    rows = [("u", 1, "503", 1), ("u", 1, "404", 3), ("u", 1, "429", 2)]
+    for order in (rows, rows[::-1]):
+        got = retry.resolve_attempts(spark.createDataFrame(order, "url string, pass_no int, http_status string, attempt int"))
+        assert got.first().http_status == "404"
 
 
 def test_outcomes(spark):
