@@ -48,7 +48,7 @@ def test_error_rate_and_rolling_mean(spark, slice_s, hot_rows):
             assert mine.error_rate == errors / (i + 1)
             began = [x[4] - dt.timedelta(seconds=x[2] or 0) for x in series if x[4]]
             assert mine.started == min(began, default=None)
-            assert mine.mean_latency == sum(recent) / len(recent)
+            assert mine.mean_latency == pytest.approx(sum(recent) / len(recent), abs=1e-6)
 
 
 def test_window_as_long_as_a_block(spark):
