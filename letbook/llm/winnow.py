@@ -20,40 +20,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import keep, let, lower_ascii
+from .frames import keep, lower_ascii
 
 #: Rows of (hash) keys up to which the benchmark's side of a join is broadcast; beyond it both sides are shuffled.
 BROADCAST_ROWS = 500_000
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def words(text: Column, lowered: Column | None = None) -> Column:
-    lowered = lower_ascii(F.coalesce(text, F.lit(""))) if lowered is None else lowered
-    return F.array_remove(F.split(lowered, _BREAK, -1), "")
+def words(text: Column) -> Column:
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), _BREAK, -1), "")
 
 
-def _grams(hashes: Column, k: int) -> Column:
-    """Hashes of all runs of k words, by place."""
-    n = F.size(hashes)
-    return F.transform(
-        F.slice(hashes, 1, F.greatest(n - (k - 1), F.lit(0))),
-        lambda h, i: F.xxhash64(h, *[F.get(hashes, i + j) for j in range(1, k)]),
-    )
+def _gram(hashes: Column, at: Column, k: int) -> Column:
+    """Hash of the run of k words that begins at a place (from 0)."""
+    return F.xxhash64(*[F.get(hashes, at + j) for j in range(k)])
 
 
-def _first_gram(k: int):
-    return lambda hashes: _grams(hashes, k)[0]
+def _fingerprint(hashes: Column, at: Column, window: int, k: int) -> Column:
+    """The smallest k-gram hash of the window that begins at a place."""
+    grams = [_gram(hashes, at + j, k) for j in range(window - k + 1)]
+    return F.least(*grams) if len(grams) > 1 else grams[0]
 
 
-def fingerprint(grams: Column, span: int) -> Column:
-    """The smallest of every `span` consecutive hashes, each value once; of fewer hashes, the smallest of all."""
-    m = F.size(grams)
-    return F.array_distinct(
-        F.transform(
-            F.slice(grams, 1, F.greatest(m - (span - 1), F.least(m, F.lit(1)))),
-            lambda h, i: F.least(h, *[F.get(grams, i + j) for j in range(1, span)]),
-        )
-    )
+def _places(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """A row for every place, `at`, where n words begin.
+
+    Rows instead of array functions: what is computed per place is then compiled. The outer form, as the inner one
+    would make the words a second time to skip empty arrays.
+    """
+    places = F.when(F.size(column) >= n, F.sequence(F.lit(0), F.size(column) - n))
+    return rows.select("*", F.explode_outer(places).alias("at")).where("at is not null")
 
 
 def small(rows: DataFrame) -> DataFrame:
@@ -84,65 +80,41 @@ def decontaminate(
         "windows",
     )
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect())  # at most `window` numbers
-    split = F.split("win", " ", -1)
-    hashed = F.transform(split, lambda w: F.xxhash64(w))
-    keys = [
-        windows.where(F.col("len") == window).select(
-            F.explode(let(hashed, lambda h: let(_grams(h, k), lambda g: fingerprint(g, window - k + 1)))).alias("key")
-        )
-    ]
-    short = [n for n in lengths if n < window]
-    for n in sorted({min(n, k) for n in short}):
-        part = windows.where((F.col("len") == n) if n < k else F.col("len").between(k, window - 1))
-        keys.append(part.select(let(F.slice(hashed, 1, n), _first_gram(n)).alias("key")))
-    known = keys[0]
-    for more in keys[1:]:
-        known = known.unionByName(more)
+    short = sorted({min(n, k) for n in lengths if n < window})
+    hashed = windows.select("len", F.transform(F.split("win", " ", -1), lambda w: F.xxhash64(w)).alias("h"))
+    start = F.lit(0)
+    known = hashed.where(F.col("len") == window).select(_fingerprint(F.col("h"), start, window, k).alias("key"))
+    for n in short:
+        part = hashed.where((F.col("len") == n) if n < k else F.col("len").between(k, window - 1))
+        known = known.unionByName(part.select(_gram(F.col("h"), start, n).alias("key")))
     known = small(known.distinct())
 
-    # lower() joins at least what lowering A-Z joins, so no hit is lost here; it is the faster of the two
-    text = F.coalesce(F.col("text"), F.lit(""))
-    hashes = F.transform(F.array_remove(F.split(F.lower(text), _BREAK, -1), ""), lambda w: F.xxhash64(w))
-
-    def document_keys(h: Column) -> Column:
-        found = [let(_grams(h, k), lambda g: fingerprint(g, window - k + 1))]
-        found += [_grams(h, n) for n in sorted({min(n, k) for n in short})]
-        return F.struct(
-            F.size(h).cast("long").alias("n_words"), F.array_distinct(F.concat(*found)).alias("keys")
-        )
-
     # equal rows have equal results: a document is known by its id and the hash of its text
-    name = F.xxhash64(text)
-    scanned = documents.select(
-        F.col(id_column).alias("doc_id"), name.alias("name"), let(hashes, document_keys).alias("k")
-    )
-    hit = (
-        scanned.select("doc_id", "name", F.explode("k.keys").alias("key"))
-        .join(known, "key", "left_semi")
-        .select("doc_id", "name")
-        .distinct()
+    name = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    named = documents.select(F.col(id_column).alias("doc_id"), name.alias("name"), "text")
+    scanned = named.select(
+        "doc_id", "name", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h")
     )
+    at = F.col("at")
+    keys = _places(scanned, "h", window).select("doc_id", "name", _fingerprint(F.col("h"), at, window, k).alias("key"))
+    for n in short:
+        keys = keys.unionByName(_places(scanned, "h", n).select("doc_id", "name", _gram(F.col("h"), at, n).alias("key")))
+    hit = keys.join(known, "key", "left_semi").select("doc_id", "name").distinct()
     pairs = hit.withColumnRenamed("doc_id", "hit_id").withColumnRenamed("name", "hit_name")
     texts = (
-        documents.select(F.col(id_column).alias("doc_id"), name.alias("name"), "text")
-        .join(pairs, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("name") == F.col("hit_name")), "left_semi")
+        named.join(pairs, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("name") == F.col("hit_name")), "left_semi")
         .dropDuplicates(["doc_id", "name"])
         .select("doc_id", "name", words(F.col("text")).alias("w"))
     )
-
-    def starts(n: int) -> Column:
-        places = F.sequence(F.lit(1), F.size("w") - (n - 1))
-        return F.when(F.size("w") >= n, F.transform(places, lambda i: F.struct(
-            i.alias("at"), F.lit(n).alias("len"), F.array_join(F.slice("w", i, n), " ").alias("win")
-        )))
-
-    empty = F.array().cast("array<struct<at:int,len:int,win:string>>")
-    every = F.concat(empty, *[F.coalesce(starts(n), empty) for n in lengths])
-    found = (
-        texts.select("doc_id", "name", F.explode(every).alias("o"))
-        .select("doc_id", "name", "o.at", "o.len", "o.win")
-        .join(small(windows), ["len", "win"])
-    )
+    occurring = None
+    for n in lengths:
+        part = _places(texts, "w", n).select(
+            "doc_id", "name", "at", F.lit(n).alias("len"), F.array_join(F.slice("w", at + 1, n), " ").alias("win")
+        )
+        occurring = part if occurring is None else occurring.unionByName(part)
+    if occurring is None:  # no item has a word
+        occurring = texts.select("doc_id", "name", F.lit(0).alias("at"), F.lit(0).alias("len"), F.lit("").alias("win")).where("false")
+    found = occurring.join(small(windows), ["len", "win"])
     # items first as distinct sets, then one by one
     result = (
         found.groupBy("doc_id", "name", "items")
@@ -168,7 +140,7 @@ def decontaminate(
         )
     )
     return (
-        scanned.select("doc_id", "name", F.col("k.n_words").alias("n_words"))
+        named.select("doc_id", "name", F.size(words(F.col("text"))).cast("long").alias("n_words"))
         .join(result, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("name") == F.col("r_name")), "left")
         .select(
             F.col("doc_id").alias(id_column),
