@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from . import chat, language, linedup, neardup, packing, pitman_yor, quality, secret_scan, vectors, winnow
 from .frames import fold, table
+from .oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,4 +154,3 @@ QUERIES = {
         op10_quality,
     )
 }
-ORACLE: dict[str, str] = {}
