@@ -174,3 +174,25 @@ def test_no_python_in_extraction(spark):
     rows = spark.createDataFrame([("k", 0, None, card())], "key string, page_idx int, fetched_at timestamp, html string")
     plan = extract.room_cards(rows)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan.replace("PythonRDD", "")
+
+
+def test_any_depth_and_quotes(spark):
+    """Elements nested eight deep, `>` in attributes, elements that are not closed."""
+    for depth in range(1, 9):
+        room = "<span>" * depth + "x" + "</span>" * depth
+        got = spark_cards(spark, [f"<ul>{card(room=room)}{card(n=2)}</ul>"])[0]
+        assert [c[4] for c in got] == ["x", "Double"], depth
+    page = (
+        '<ul><li title="a > b" class="listing-result"><h2 class="listing-card__title" data-x=\'1 > 0\'>T &apos;&check;&#146;</h2>'
+        '<a title="c > d" class="listing-card__link" href="/x?a=1&copy=2&amp;b=3">see</a>'
+        '<p class="listing-card__price">&pound750 <b title="p > q">pcm</b></li></ul>'
+    )
+    got = spark_cards(spark, [page])[0]
+    assert got == [(f"{ROOM_DOMAIN}/x?a=1&copy=2&b=3", "T '✓’", "£750 pcm", None, None, None)]
+
+
+def test_entities_as_the_standard_library_has_them(spark, apply):
+    values = ["&amp;lt; &lt &ltx &notit; &notin; &NotEqualTilde; &#x41;&#65 &#0; &#x110000; &#99999999999; &#xD800; &#x80; &# &x; & &a"]
+    values += ["&eacute;&Eacute&eacut &thetasym; &ThickSpace;&fjlig; &#13; plain", "no entity", ""]
+    got = apply(values, lambda c: H.unescape(c))
+    assert got == [stdlib_html.unescape(v) for v in values]
