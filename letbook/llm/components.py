@@ -1,7 +1,7 @@
 """Connected components of a table of links, and links from blocks of likely matches, in DataFrame operations.
 
 `components` is the alternating star method: every node tells its larger (then its smaller) neighbours about the
-smallest node it knows, until nothing changes. Links are written to the shared folder between rounds; nothing but
+smallest node it knows, until all links lead straight to a smallest node. Links are written to the shared folder between rounds; nothing but
 counts reaches the driver. The number of rounds grows with the logarithm of a component's size.
 
 `link_blocks` finds enough verified links to connect all that blocks of candidates connect, without listing all pairs
@@ -20,30 +20,33 @@ from pyspark.sql import functions as F
 from .frames import keep
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every v has one u, and no u is a v: then the u are the labels."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("v").alias("id"), F.lit(1).alias("n")), F.struct(F.col("u").alias("id"), F.lit(0).alias("n")))).alias("e"))
+    seen = ends.groupBy("e.id").agg(F.sum("e.n").alias("as_v"), F.min("e.n").alias("as_u"))
+    return not seen.where("as_v > 1 or (as_v = 1 and as_u = 0)").limit(1).count()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label): every id of links (a, b) with the smallest id it is connected to. Ids are longs, never null."""
     edges = keep(
         links.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links"
     )
-    state = None
-    while True:
+    while not _stars(edges):
         # large star: neighbours larger than v get v's smallest neighbour (or v itself)
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
         large = both.where("u > v").join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         # small star: v and its smaller neighbours get the smallest of them
         low = large.groupBy("v").agg(F.min("u").alias("m"))
-        joined = large.join(low, "v")
         small = (
-            joined.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
+            large.join(low, "v")
+            .where("u <> m")
+            .select(F.col("u").alias("v"), F.col("m").alias("u"))
             .unionByName(low.select("v", F.col("m").alias("u")))
             .distinct()
         )
         edges = keep(small, "links")
-        row = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if state == tuple(row):
-            break
-        state = tuple(row)
     own = edges.select(F.col("u").alias("id"), F.col("u").alias("label")).distinct()
     return edges.select(F.col("v").alias("id"), F.col("u").alias("label")).unionByName(own)
 
@@ -84,7 +87,8 @@ def link_blocks(
             .withColumn("label", F.coalesce("label", "id")),
             "labelled",
         )
-        open_ = (
+        # blocks of two were asked whole
+        open_ = keep(
             labelled.groupBy("block", "label")
             .agg(F.count("*").alias("n"))
             .groupBy("block")
@@ -94,15 +98,14 @@ def link_blocks(
                 ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
                 F.sum("n").alias("n"),
             )
-            .where("low < high")
+            .where("low < high and n > 2"),
+            "open",
         )
-        # blocks of two were asked whole
-        rest = keep(labelled.join(open_.where("n > 2").select("block", "low", "pairs"), "block"), "rest")
-        pairs, rows = rest.agg(F.sum(F.col("pairs") / 1.0), F.count("*")).first()
+        pairs, rows = open_.agg(F.sum("pairs"), F.sum("n")).first()
         if not rows:
             return links
-        each = rest.groupBy("block").agg(F.first("pairs").alias("pairs")).agg(F.sum("pairs"), F.count("*")).first()
-        if turn == rounds or each[0] <= 4 * rows:
+        rest = keep(labelled.join(open_.select("block", "low"), "block"), "rest")
+        if turn == rounds or pairs <= 4 * rows:
             break
         # another head: the smallest member outside the component of the first one's label
         other = (

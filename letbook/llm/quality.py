@@ -250,12 +250,13 @@ def score_texts(chain: Chain, texts: list[str | None]) -> np.ndarray:
 
 def score(documents: DataFrame, chain: Chain, *keep: str) -> DataFrame:
     """The documents' columns `keep` and score."""
-    fields = ["text" if c == "text" else c for c in keep]
+    fields = list(keep)
     schema = documents.select(*fields).schema.add("score", "double")
+    sent = fields if "text" in fields else [*fields, "text"]
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("the text").to_pylist()
+            texts = batch.column("text").to_pylist()
             sizes, scores, begin = 0, [], 0
             for i, t in enumerate(texts):  # features of a few MB of text at once
                 sizes += len(t or "")
@@ -266,4 +267,4 @@ def score(documents: DataFrame, chain: Chain, *keep: str) -> DataFrame:
             arrays = [batch.column(c) for c in fields]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(values, pa.float64())], [*fields, "score"])
 
-    return documents.select(*fields, F.col("text").alias("the text")).mapInArrow(run, schema)
+    return documents.select(*sent).mapInArrow(run, schema)
