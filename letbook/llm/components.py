@@ -55,12 +55,14 @@ def link_blocks(
     blocks: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     may: Callable | None = None,
+    closer: tuple[DataFrame, Callable] | None = None,
     rounds: int = 3,
 ) -> DataFrame:
     """Verified links (a, b) that connect whatever verified pairs inside blocks connect.
 
     blocks: (block long, id long, info struct) without repeated rows. `may(left info, right info)` is a cheap column
-    condition that every link meets. `verify` takes candidate pairs (a, b), a < b, and returns those that are links.
+    condition that every link meets. `closer` is a table (id, info struct) and a condition like `may` on it, a stricter
+    one, for the rows of blocks that stay open after the first round. `verify` takes candidate pairs (a, b), a < b, and returns those that are links.
     """
     fine = may or (lambda left, right: F.lit(True))
     first = blocks.groupBy("block").agg(F.min(F.struct("id", "info")).alias("head"), F.max("id").alias("top"))
@@ -68,7 +70,7 @@ def link_blocks(
         blocks.join(first.where("head.id < top").select("block", "head"), "block"), "members"
     )
 
-    def star(rows: DataFrame) -> DataFrame:
+    def star(rows: DataFrame, fine: Callable) -> DataFrame:
         """Pairs of each row's id with its head's."""
         return (
             rows.where(F.col("id") != F.col("head.id"))
@@ -77,7 +79,7 @@ def link_blocks(
             .distinct()
         )
 
-    asked = keep(star(members), "asked")
+    asked = keep(star(members, fine), "asked")
     links = keep(verify(asked), "links")
     for turn in range(1, rounds + 1):
         label = components(links)
@@ -104,7 +106,11 @@ def link_blocks(
         pairs, rows = open_.agg(F.sum("pairs"), F.sum("n")).first()
         if not rows:
             return links
-        rest = keep(labelled.join(open_.select("block", "low"), "block"), "rest")
+        rest = labelled.join(open_.select("block", "low"), "block")
+        if closer:
+            sketches, fine = closer
+            rest = rest.drop("info").join(sketches, "id")
+        rest = keep(rest, "rest")
         if turn == rounds or pairs <= 4 * rows:
             break
         # another head: the smallest member outside the component of the first one's label
@@ -112,7 +118,7 @@ def link_blocks(
             rest.where(F.col("label") != F.col("low")).groupBy("block").agg(F.min(F.struct("id", "info", "label")).alias("head"))
         )
         fresh = keep(
-            star(rest.join(other, "block").where(F.col("label") != F.col("head.label"))).join(asked, ["a", "b"], "left_anti"),
+            star(rest.join(other, "block").where(F.col("label") != F.col("head.label")), fine).join(asked, ["a", "b"], "left_anti"),
             "asked",
         )
         asked = keep(asked.unionByName(fresh), "asked")

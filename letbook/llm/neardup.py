@@ -4,8 +4,8 @@ A document is its set of distinct shingles of `size` words (A-Z lowered, split a
 sets are one class from the start. Every class gets a SuperMinHash signature: each shingle draws a random permutation
 of the places, step by step, and bids its step number plus a fraction for the place it reaches; a place keeps the
 smallest bid. The draws of one shingle are spread over the places, which lowers the variance, and a document stops as
-soon as no later step can win anywhere. Bands of the signature make candidate pairs; every pair is confirmed on the
-full sets; links are grouped by union of connected components.
+soon as no later step can win anywhere. Bands of the signature make candidate pairs; a bitmap of each set rules out
+those that cannot reach the threshold, without any doubt; every other pair is confirmed on the full sets; links are grouped by union of connected components.
 
 Bands are chosen so that a pair at the threshold is missed with a chance below one in a million.
 
@@ -30,6 +30,8 @@ from .hashing import as_long, chunks, encode_lower, mix, shingle_sets
 
 ROWS = 4
 MISS = 1e-6
+#: Words of 64 bits in a set's bitmap: each bit two bitmaps differ in is an element the sets differ in.
+BITMAP = 32
 #: Shingles whose permutations are held at once.
 ELEMENTS = 1 << 15
 
@@ -76,6 +78,16 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
+def bitmaps(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64 * BITMAP bits per set, one set for each element."""
+    out = np.zeros((len(bounds) - 1, BITMAP), np.uint64)
+    place = mix(shingles ^ np.uint64(0x2127599BF4325C37)) % np.uint64(64 * BITMAP)
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    at = (place >> np.uint64(6)).astype(np.int64)
+    np.bitwise_or.at(out, (doc, at), np.uint64(1) << (place & np.uint64(63)))
+    return out
+
+
 def set_names(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A 64-bit name of every set, from its elements' mixed sum and its size."""
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)))])
@@ -90,15 +102,17 @@ def _signed(size: int, bands: int):
             for a, b in chunks([len(r) for r in raw]):
                 shingles, bounds = shingle_sets(raw[a:b], size)
                 keys = band_keys(signatures(shingles, bounds, bands * ROWS), bands, ROWS)
-                keys = pa.FixedSizeListArray.from_arrays(pa.array(as_long(keys.reshape(-1))), bands)
+                rows = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(as_long(x.reshape(-1))), x.shape[1])
+                long_list = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
                         pa.array(np.diff(bounds)),
                         pa.array(as_long(set_names(shingles, bounds))),
-                        keys.cast(pa.list_(pa.int64())),
+                        rows(keys).cast(long_list),
+                        rows(bitmaps(shingles, bounds)).cast(long_list),
                     ],
-                    ["doc_id", "n_shingles", "name", "bands"],
+                    ["doc_id", "n_shingles", "name", "bands", "bits"],
                 )
 
     return run
@@ -142,14 +156,14 @@ def near_duplicates(
     kind = documents.schema[id_column].dataType.simpleString()
     texts = documents.select(F.col(id_column).alias("doc_id"), "text")
     signed = keep(
-        texts.mapInArrow(_signed(size, bands), f"doc_id {kind}, n_shingles long, name long, bands array<long>"),
+        texts.mapInArrow(_signed(size, bands), f"doc_id {kind}, n_shingles long, name long, bands array<long>, bits array<long>"),
         "signed",
     )
     some = signed.where("n_shingles > 0")
     # one row per distinct set; equal sets have equal bands
     classes = keep(
         some.groupBy("name").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")
         ),
         "classes",
     )
@@ -158,6 +172,16 @@ def near_duplicates(
     def may(left, right):
         return 100 * F.least(left["n"], right["n"]) >= percent * F.greatest(left["n"], right["n"])
 
+    def closer(left, right):
+        # the sets differ in as many elements at least as their bitmaps in bits
+        apart = sum(
+            (F.bit_count(F.get(left["bits"], i).bitwiseXOR(F.get(right["bits"], i))) for i in range(BITMAP)), F.lit(0)
+        )
+        both = left["n"] + right["n"]
+        return 100 * (both - apart) >= percent * (both + apart)
+
+    sketches = classes.select(F.col("name").alias("id"), F.struct("n", "bits").alias("info"))
+
     def verify(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
         # a class without any id is found by its null id
@@ -173,7 +197,7 @@ def near_duplicates(
         y = sets.select(F.col("name").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
 
-    label = components(link_blocks(blocks, verify, may))
+    label = components(link_blocks(blocks, verify, may, (sketches, closer)))
     grouped = classes.join(label, classes["name"] == label["id"], "left").select(
         "name", "doc_id", F.coalesce("label", "name").alias("label")
     )
