@@ -17,7 +17,8 @@ from letbook.functions.text import strip
 # cutting at a pattern, which Spark compiles anew for every value.
 _CUT = "\x00"
 # The rest of a tag: a `>` inside quotes does not end it.
-_REST = r"""(?:[^>"']|"[^"]*"|'[^']*')"""
+_REST = r"""[^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+"""
+_SOME = r"""[^>"']*?(?:(?:"[^"]*"|'[^']*')[^>"']*?)*?"""
 # Names with their semicolon, and the old ones that need none.
 _NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 _BARE = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
@@ -40,23 +41,28 @@ def _text_map(pairs: dict[str, str]) -> Column:
 def opening(tag: str, token: str | None = None) -> str:
     """Pattern of an opening tag, if asked for with a class token (case counts in the token)."""
     if token is None:
-        return rf"<(?i:{tag})(?=[\s>/]){_REST}*+>"
+        return rf"<(?i:{tag})(?=[\s>/]){_REST}>"
     has_class = (
-        rf"(?={_REST}*?\s(?i:class)\s*=\s*(?:"
+        rf"(?={_SOME}\s(?i:class)\s*=\s*(?:"
         rf'"(?:[^"]*\s)?{token}(?:\s[^"]*)?"'
         rf"|'(?:[^']*\s)?{token}(?:\s[^']*)?'"
         rf"|{token}(?=[\s>])))"
     )
-    return rf"<(?i:{tag})(?=\s){has_class}{_REST}*+>"
+    return rf"<(?i:{tag})(?=\s){has_class}{_REST}>"
 
 
 def balanced(markup: Column, tag: str) -> Column:
     """The element that begins the markup, its own tag nested as deep as it may be.
 
     The markup is cut in front of the tag's opening and closing marks, which are counted. An
-    element that is not closed goes to the end of the markup.
+    element that is not closed goes to the end of the markup. Elements without their own tag
+    inside, which most are, take one pattern.
     """
-    marked = F.regexp_replace(markup, rf"(?=</?(?i:{tag})(?=[\s>/]){_REST}*+>)", _CUT)
+    name = rf"(?i:{tag})(?=[\s>/])"
+    flat = F.regexp_substr(
+        markup, F.lit(rf"^<{name}{_REST}>[^<]*+(?:<(?!/?{name})[^<]*+)*+</(?i:{tag})\s*+>")
+    )
+    marked = F.regexp_replace(markup, rf"(?=</?(?i:{tag})(?=[\s>/]){_REST}>)", _CUT)
 
     def close(pieces: Column) -> Column:
         def count(s: Column, piece: Column) -> Column:
@@ -74,7 +80,7 @@ def balanced(markup: Column, tag: str) -> Column:
         inside = lambda n: F.concat(F.array_join(F.slice(pieces, 1, n), ""), F.lit(f"</{tag}>"))
         return _let(end, lambda n: F.when(n > 0, inside(n)))
 
-    return F.coalesce(_let(F.split(marked, _CUT), close), markup)
+    return F.coalesce(flat, _let(F.split(marked, _CUT), close), markup)
 
 
 def visible(html: Column) -> Column:
@@ -129,7 +135,7 @@ def unescape(text: Column, in_attribute: bool = False) -> Column:
 
 def inner_text(markup: Column, joiner: str = "") -> Column:
     """Text parts between the tags, each stripped, empty ones left out, joined."""
-    pieces = F.split(F.regexp_replace(markup, rf"</?[A-Za-z!]{_REST}*+>", _CUT), _CUT)
+    pieces = F.split(F.regexp_replace(markup, rf"</?[A-Za-z!]{_REST}>", _CUT), _CUT)
     parts = F.transform(pieces, lambda p: strip(unescape(p)))
     return F.array_join(F.filter(parts, lambda p: p != ""), joiner)
 
@@ -146,7 +152,7 @@ def element_text(html: Column, tag: str, token: str | None = None, joiner: str =
 
 def attribute(markup: Column, name: str) -> Column:
     """Value of an attribute in an opening tag; NULL when absent, empty text when empty."""
-    pattern = rf"""(?s)^<{_REST}*?\s(?i:{name})\s*=\s*(["']?)((?<=")[^"]*|(?<=')[^']*|[^\s>"']+)"""
+    pattern = rf"""(?s)^<{_SOME}\s(?i:{name})\s*=\s*(["']?)((?<=")[^"]*|(?<=')[^']*|[^\s>"']+)"""
     return unescape(F.get(F.regexp_extract_all(markup, F.lit(pattern), F.lit(2)), F.lit(0)), in_attribute=True)
 
 
