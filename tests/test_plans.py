@@ -146,3 +146,15 @@ def test_sale_run_takes_the_attempt_that_counts(spark):
         "u1": ("200", 3), "u2": ("200", 9), "u3": ("404", None), "u4": ("200", None),
     }
     assert got["u3"].address == "" and got["u1"].address == "1 High St" and got["u1"].scraped_at == AT
+
+
+def test_a_page_fetched_again_counts_once(spark):
+    """Cards come from the chosen fetch of a page only: one with items, then the latest."""
+    def fetch(titles, minute):
+        cards = "".join(card(i, title=t, href=f"/r?flatshare_id={t}") for i, t in enumerate(titles))
+        return ("P", "search", None, 0, 0, 200, f"<ul>{cards}</ul>", AT + dt.timedelta(minutes=minute))
+
+    pages = spark.createDataFrame([fetch(["1", "2"], 0), fetch(["3"], 1)], PAGES)
+    run = room_run(pages, "r", F.lit(AT), rules=RULES)
+    assert [r["title"] for r in run.rows.collect()] == ["3"]
+    assert run.summary.first()["total_rows"] == 1

@@ -197,3 +197,17 @@ def test_register_listings(spark, sales):
     finally:
         for name in ("sale_listings", SALE_VIEW, "room_listings", ROOM_VIEW):
             spark.catalog.dropTempView(name)
+
+
+def test_a_run_written_again_replaces_itself(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from letbook.sinks.tables import write_snapshot
+
+    path, day = str(tmp_path / "snapshots"), F.lit(dt.datetime(2024, 5, 1))
+    for run_id, n in (("r1", 5), ("r2", 3), ("r1", 5), ("r1", 4)):
+        write_snapshot(spark.range(n), path, run_id, day)
+    got = spark.read.parquet(path).groupBy("run_id").count().collect()
+    assert {r["run_id"]: r["count"] for r in got} == {"r1": 4, "r2": 3}
