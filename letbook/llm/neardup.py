@@ -31,7 +31,7 @@ from .hashing import as_long, chunks, encode_lower, mix, shingle_sets
 ROWS = 4
 MISS = 1e-6
 #: Words of 64 bits in a set's bitmap: each bit two bitmaps differ in is an element the sets differ in.
-BITMAP = 32
+BITMAP = 16
 #: Shingles whose permutations are held at once.
 ELEMENTS = 1 << 15
 
@@ -175,12 +175,14 @@ def near_duplicates(
     def closer(left, right):
         # the sets differ in as many elements at least as their bitmaps in bits
         apart = sum(
-            (F.bit_count(F.get(left["bits"], i).bitwiseXOR(F.get(right["bits"], i))) for i in range(BITMAP)), F.lit(0)
+            (F.bit_count(left[f"b{i}"].bitwiseXOR(right[f"b{i}"])) for i in range(BITMAP)), F.lit(0)
         )
         both = left["n"] + right["n"]
         return 100 * (both - apart) >= percent * (both + apart)
 
-    sketches = classes.select(F.col("name").alias("id"), F.struct("n", "bits").alias("info"))
+    # fields rather than an array keep the compiled condition small
+    bits = [F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(BITMAP)]
+    sketches = classes.select(F.col("name").alias("id"), F.struct("n", *bits).alias("info"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
@@ -197,7 +199,7 @@ def near_duplicates(
         y = sets.select(F.col("name").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
 
-    label = components(link_blocks(blocks, verify, may, (sketches, closer)))
+    label = components(link_blocks(blocks, verify, may, (sketches, closer), rounds=6))
     grouped = classes.join(label, classes["name"] == label["id"], "left").select(
         "name", "doc_id", F.coalesce("label", "name").alias("label")
     )
