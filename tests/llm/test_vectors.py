@@ -79,3 +79,18 @@ def test_walk_is_in_order():
     assert sorted(cells) == list(range(63))
     sums = [d1[c // 7] + d2[c % 7] for c in cells]
     assert sums == sorted(sums)
+
+
+def test_loose_pairs_beside_a_hot_group_and_few_rows_to_fit(spark):
+    rng = np.random.default_rng(5)
+    norm = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    one = norm(rng.normal(size=(3000, 64)))
+    side = rng.normal(size=one.shape)
+    side = norm(side - (side * one).sum(axis=1, keepdims=True) * one)
+    two = 0.955 * one + np.sqrt(1 - 0.955**2) * side
+    hot = norm(np.ones((1, 64)) + 0.001 * rng.normal(size=(400, 64)))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([one, two, hot]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = dict(vectors.near_duplicates(frame, fit_rows=200).select("vec_id", "n_links").collect())
+    assert sum(got[i] for i in range(3000)) >= 0.99 * 3000
+    assert all(got[i] <= 399 for i in range(6000, 6400))
