@@ -1,11 +1,13 @@
 """Near-duplicate lines by a segment-partition edit join, in DataFrame operations only.
 
-Lines of at least `min_chars` characters are grouped when at most `max_edits` single-character edits apart, and only the
-first line of a group (smallest id, then place in the document) stays. Equal lines are one from the start. Of the
-rest, every line is cut into max_edits + 1 segments, at least one of which an edited copy still holds; each line
-looks its possible substrings up among the segments of lines up to `max_edits` shorter, at the few places where a
-copy's segment can be. Lines that share a segment are compared by pieces of the part that did not match, then by the
-banded bit-parallel edit distance, and links are grouped by connected components.
+Lines of at least `min_chars` characters are grouped when at most so many single-character edits apart as the shorter
+one's length allows (`max_edits`: one number, or pairs of a length and the edits from it on), and only the first line of
+a group (smallest id, then place in the document) stays. Equal lines are one from the start. Of the rest, every line
+is cut into its edits + 1 segments, at least one of which an edited copy still holds; each line looks its possible
+substrings up among the segments of lines shorter by as many characters as edits, at the few places where a copy's
+segment can be. Lines that share a segment are compared by pieces of the part that did not match (one edit) or by
+which characters occur an odd number of times (more), then by the banded bit-parallel edit distance, and links are
+grouped by connected components.
 
 Defined cases: null and empty texts are one empty line, which stays; lines shorter than `min_chars` stay; a null id
 comes first; rows with equal id and text are one document for the choice of the first line, so all of them keep it;
@@ -21,7 +23,29 @@ from .components import components, link_blocks
 from .frames import keep, let
 from .winnow import small
 
-MIN_CHARS, MAX_EDITS = 20, 1
+MIN_CHARS = 20
+#: Edits by the length of the shorter line: as many as keep segment rows at about one for five characters.
+MAX_EDITS = ((0, 1), (60, 2), (120, 3), (240, 4), (400, 5))
+Edits = int | tuple[tuple[int, int], ...]
+
+
+def edit_classes(max_edits: Edits) -> list[tuple[int, int | None, int]]:
+    """(from length, up to but without length, edits) by rising length; the last one has no end."""
+    steps = ((0, max_edits),) if isinstance(max_edits, int) else max_edits
+    ends = [low for low, _ in steps[1:]] + [None]
+    return [(low, end, edits) for (low, edits), end in zip(steps, ends, strict=True)]
+
+
+def _least_length(min_chars: int, max_edits: Edits) -> int:
+    return max(min_chars, 2 * edit_classes(max_edits)[0][2] + 2)
+
+
+def _inside(length: Column, low: int, end: int | None) -> Column:
+    return (length >= low) if end is None else (length >= low) & (length < end)
+
+
+#: More than the probes of a class.
+FORMS = 1000
 
 
 def _probes(edits: int) -> list[tuple[int, int, int]]:
@@ -34,16 +58,35 @@ def _probes(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment_keys(text: Column, length: Column, edits: int) -> Column:
-    """Array of (block, form): hashes of the segments and probes of a line; form is the number of the probe."""
-    keys = []
-    for form, (diff, i, shift) in enumerate(_probes(edits)):
-        target = length - diff
-        begin = F.floor(target * i / (edits + 1)).cast("int")
-        size = F.floor(target * (i + 1) / (edits + 1)).cast("int") - begin
-        part = F.substring(text, begin + (shift + 1), size)
-        keys.append(F.struct(F.xxhash64(target, F.lit(i), part).alias("block"), F.lit(form).alias("form")))
-    return F.array(*keys)
+def segment_keys(text: Column, length: Column, max_edits: Edits) -> Column:
+    """Array of (block, form): hashes of the segments and probes of a line; form is edits * FORMS + the number of the probe.
+
+    Block is null where the shorter line's length is outside the class of the edits.
+    """
+    every = []
+    for low, end, edits in edit_classes(max_edits):
+        keys = []
+        for form, (diff, i, shift) in enumerate(_probes(edits)):
+            target = length - diff
+            begin = F.floor(target * i / (edits + 1)).cast("int")
+            size = F.floor(target * (i + 1) / (edits + 1)).cast("int") - begin
+            part = F.substring(text, begin + (shift + 1), size)
+            block = F.when(_inside(target, low, end), F.xxhash64(target, F.lit(i), part))
+            keys.append(F.struct(block.alias("block"), F.lit(edits * FORMS + form).alias("form")))
+        some = F.array(*keys)
+        # a line looks for shorter ones of the class below, too
+        here = _inside(length, low, None if end is None else end + edits)
+        every.append(F.when(here, some).otherwise(F.array().cast("array<struct<block:bigint,form:int>>")))
+    return F.concat(*every)
+
+
+def odd_characters(text: Column) -> Column:
+    """64 bits, by character code, of those that occur an odd number of times: an edit changes two at most."""
+    return F.aggregate(
+        F.split(text, ""),
+        F.lit(0).cast("long"),
+        lambda s, c: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c).bitwiseAND(F.lit(63)))),
+    )
 
 
 def _rest_pieces(text: Column, length: Column, form: Column, edits: int) -> Column:
@@ -132,6 +175,14 @@ def edit_distance(left: Column, right: Column, most: int) -> Column:
     return F.when(F.abs(F.length(left) - F.length(right)) > most, most + 1).otherwise(pair)
 
 
+def within_edits(left: Column, right: Column, max_edits: Edits) -> Column:
+    """Whether two lines are as few edits apart as the shorter one's length allows."""
+    shorter, out = F.least(F.length(left), F.length(right)), F
+    for low, end, edits in edit_classes(max_edits):
+        out = out.when(_inside(shorter, low, end), edit_distance(left, right, edits) <= edits)
+    return out.otherwise(F.lit(False))
+
+
 def _occurrences(documents: DataFrame, id_column: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return documents.select(
@@ -140,12 +191,12 @@ def _occurrences(documents: DataFrame, id_column: str) -> DataFrame:
 
 
 def line_classes(
-    documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS, id_column: str = "doc_id"
+    documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: Edits = MAX_EDITS, id_column: str = "doc_id"
 ) -> DataFrame:
     """(line_id, n, first, class): every distinct long line, its count, its first place and its group's smallest line_id."""
     lines = keep(
         _occurrences(documents, id_column)
-        .where(F.length("line") >= max(min_chars, 2 * max_edits + 2))
+        .where(F.length("line") >= _least_length(min_chars, max_edits))
         .groupBy(F.xxhash64("line").alias("line_id"))
         .agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")),
         "lines",
@@ -153,32 +204,38 @@ def line_classes(
     keys = lines.select(
         F.col("line_id").alias("id"),
         F.explode(let(F.length("line"), lambda n: segment_keys(F.col("line"), n, max_edits))).alias("k"),
-    ).select("k.block", "k.form", "id")
+    ).select("k.block", "k.form", "id").where("block is not null")
     shared = keys.groupBy("block").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = keep(keys.join(shared.select("block"), "block"), "members")
     texts = keep(
-        lines.select(F.col("line_id").alias("id"), "line").join(small(members.select("id").distinct()), "id", "left_semi"),
+        lines.select(F.col("line_id").alias("id"), "line")
+        .join(small(members.select("id").distinct()), "id", "left_semi")
+        .withColumn("odd", odd_characters(F.col("line"))),
         "texts",
     )
-    blocks = members.join(texts, "id")
-    if max_edits == 1:
-        info, may = _rest_pieces(F.col("line"), F.length("line"), F.col("form"), max_edits), _one_edit_may
-    else:
-        info, may = F.struct(F.length("line").alias("n")), lambda a, b: F.abs(a["n"] - b["n"]) <= max_edits
-    blocks = keep(blocks.select("block", "id", info.alias("info")).distinct(), "blocks")
+    edits, form = F.floor(F.col("form") / FORMS).cast("int"), F.col("form") % FORMS
+    pieces = _rest_pieces(F.col("line"), F.length("line"), form, 1)
+    info = F.struct(F.length("line").alias("n"), edits.alias("edits"), "odd", F.when(edits == 1, pieces).alias("pieces"))
+    blocks = keep(members.join(texts, "id").select("block", "id", info.alias("info")).distinct(), "blocks")
+
+    def may(left: Column, right: Column) -> Column:
+        """A block is of one class, so both have the same edits."""
+        close = F.abs(left["n"] - right["n"]) <= left["edits"]
+        alike = F.bit_count(left["odd"].bitwiseXOR(right["odd"])) <= 2 * left["edits"]
+        return close & alike & ((left["edits"] > 1) | _one_edit_may(left["pieces"], right["pieces"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
         a = texts.select(F.col("id").alias("a"), F.col("line").alias("left"))
         b = texts.select(F.col("id").alias("b"), F.col("line").alias("right"))
         both = pairs.join(a, "a").join(b, "b")
-        return both.where(edit_distance(F.col("left"), F.col("right"), max_edits) <= max_edits).select("a", "b")
+        return both.where(within_edits(F.col("left"), F.col("right"), max_edits)).select("a", "b")
 
     label = components(link_blocks(blocks, verify, may)).withColumnRenamed("id", "line_id")
     return lines.drop("line").join(label, "line_id", "left").withColumn("class", F.coalesce("label", "line_id")).drop("label")
 
 
 def removed_lines(
-    documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS, id_column: str = "doc_id"
+    documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: Edits = MAX_EDITS, id_column: str = "doc_id"
 ) -> DataFrame:
     """(doc_id, name, removed): places of the lines that go, for documents that lose any; name is the text's hash."""
     classes = keep(line_classes(documents, min_chars, max_edits, id_column), "classes")
@@ -186,7 +243,7 @@ def removed_lines(
     repeated = classes.select("line_id", "class").join(groups.select("class", "first"), "class").drop("class")
     return (
         _occurrences(documents, id_column)
-        .where(F.length("line") >= max(min_chars, 2 * max_edits + 2))
+        .where(F.length("line") >= _least_length(min_chars, max_edits))
         .select("doc_id", "name", "pos", F.xxhash64("line").alias("line_id"))
         .join(repeated, "line_id")
         .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
@@ -196,7 +253,7 @@ def removed_lines(
 
 
 def deduplicate(
-    documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS, id_column: str = "doc_id"
+    documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: Edits = MAX_EDITS, id_column: str = "doc_id"
 ) -> DataFrame:
     """The documents, every column, with `text` without the removed lines, and `removed` (array of places, or null).
 

@@ -119,3 +119,34 @@ def test_query(spark, sf_dir, documents):
             seen.add(line)
         assert got[r["doc_id"]]["n_removed"] >= again
         assert got[r["doc_id"]]["n_lines"] == r["text"].count("\n") + 1
+
+
+def test_edits_grow_with_the_length_of_lines(spark):
+    rng = random.Random(9)
+    steps = ((0, 1), (30, 2), (45, 3))
+
+    def linked(a, b):
+        most = next(k for low, k in reversed(steps) if min(len(a), len(b)) >= low)
+        return abs(len(a) - len(b)) <= most and distance(a, b) <= most
+
+    base = ["".join(rng.choice("abcdef é") for _ in range(n)) for n in (22, 28, 29, 30, 31, 43, 44, 45, 46, 47, 70)]
+    lines = sorted({mutate(rng, b, k) for b in base for k in (0, 1, 2, 2, 3, 4)})
+    lines = [x for x in lines if len(x) >= 20]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["first"]["doc_id"]: r["class"] for r in linedup.line_classes(frame, 20, steps).collect()}
+    label = list(range(len(lines)))
+    for _ in lines:
+        label = [min(label[j] for j in range(len(lines)) if i == j or linked(lines[i], lines[j])) for i in range(len(lines))]
+    for i in range(len(lines)):
+        for j in range(i):
+            assert (got[i] == got[j]) == (label[i] == label[j]), (lines[i], lines[j])
+
+
+def test_two_typos_and_a_replaced_word_in_a_long_line(spark):
+    words = [f"word{i * 7919 % 1000:03}" for i in range(52)]
+    line = " ".join(words)
+    typos = line[:50] + "#" + line[51:300] + "#" + line[301:]
+    word = " ".join([*words[:20], "words", *words[21:]])
+    docs = [(1, line), (2, typos), (3, word), (4, line[:200] + "######" + line[206:])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r["doc_id"] for r in linedup.removed_lines(frame).collect()} == {2, 3}
