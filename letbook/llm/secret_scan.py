@@ -1,7 +1,8 @@
 """Secret scans: known forms by pattern, the rest by a battery of randomness tests.
 
 Known forms (`assign`, `access`, `hex`) are found leftmost and without overlap, kind by kind. Every other run of 20
-or more characters of the base-64 alphabets that holds letters and digits is a candidate. Its encoding is inferred
+or more characters of the base-64 alphabets that holds letters and digits is a candidate, after `=` too, which
+belongs to a token at its end only, as padding. Its encoding is inferred
 (the smallest alphabet that holds it), its symbols are numbered by that alphabet, and three tests ask whether they
 look drawn evenly and independently: chi-squared over equal slices of the alphabet, the runs above and below the
 middle, the correlation of neighbours. Fisher's method joins the three p-values into one.
@@ -105,7 +106,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def candidates(text: str, taken: list[tuple[int, int, str]]):
     """Spans of long mixed tokens that touch no known form, with p-values."""
-    for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}", text):
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", text):
         a, b = m.span()
         token = m[0]
         if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)):

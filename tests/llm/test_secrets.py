@@ -43,3 +43,18 @@ def test_scan(spark, odd):
     assert got[3] == [] and got[4] == [(2, 22, "access")]
     assert S.scan(odd).count() == odd.count()
     assert S.scan(odd.limit(0)).count() == 0
+
+
+def test_tokens_after_an_equals_sign(spark):
+    token = base64.b64encode(random.Random(5).randbytes(33)).decode()
+    n = len(token)
+    rows = [(1, f"AUTH={token}"), (2, f"see /a?sig={token}&x=1"), (3, f"it is {token}== here"), (4, f"AUTH={token}=="), (5, f"token={token}")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"], s["kind"]) for s in r["spans"]] for r in S.scan(frame).collect()}
+    assert got == {
+        1: [(5, 5 + n, "random")],
+        2: [(11, 11 + n, "random")],
+        3: [(6, 8 + n, "random")],
+        4: [(5, 7 + n, "random")],
+        5: [(0, 6 + n, "assign")],
+    }
