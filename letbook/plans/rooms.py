@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from letbook import schemas
 from letbook.fixed import ROOM_ID_PARAM, ROOM_SOURCE, SHARD_ROWS
 from letbook.functions.urls import query_param
 from letbook.operators.dedup import first_listing, first_url, repeats, with_keys
@@ -42,9 +43,15 @@ def room_run(
     The markup is read and parsed once; all later steps read the typed cards, which are a
     small part of it.
     """
-    settled = settle_pages(pages).withColumn("has_html", has_html())
-    parsed = keep(cards(settled, _PAGE, layout, outer=True), "cards")
+    return _run_of(keep(_parsed(pages, layout), "cards"), run_id, at, layout, rules)
 
+
+def _parsed(pages: DataFrame, layout: CardLayout) -> DataFrame:
+    """The cards of every page, and a row for a page without any."""
+    return cards(settle_pages(pages).withColumn("has_html", has_html()), _PAGE, layout, outer=True)
+
+
+def _run_of(parsed: DataFrame, run_id: str, at: Column, layout: CardLayout, rules: SeriesRules) -> RoomRun:
     one_per_page = parsed.where(F.coalesce(F.col("pos"), F.lit(0)) == 0).select(*_PAGE, "n_items")
     fetches = settle_fetches(one_per_page, ["key"])
     seen = keep(visited(fetches, rules, ["key"]), "visited")
@@ -91,21 +98,38 @@ def room_stream(
     at: Column,
     rows_per_file: int = SHARD_ROWS,
 ) -> StreamingQuery:
-    """Rows and ledger events of pages as they arrive, a location's pages in one batch.
+    """Rows and ledger events of the pages that have arrived, however they are dealt over batches.
 
-    Listings that earlier batches wrote under the same postcode are left out. A batch that
-    is repeated after a stop replaces what it wrote.
+    Batches only append parsed pages to a table beside the checkpoint. Once all are in, a location's stop page,
+    status and completion come from all its pages of the run, and what the run wrote before is replaced. Listings
+    that other runs wrote under the same postcode are left out. A run that was stopped is written by the next call,
+    whatever the run id of that.
     """
+    spark = pages.sparkSession
+    pages_path, written_path = f"{checkpoint}/pages", f"{checkpoint}/written"
     keys = ["postcode", "_id"]
 
     def with_id(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_id", query_param(F.col("url"), ROOM_ID_PARAM))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        run = room_run(batch, run_id, at)
-        seen = with_id(read_batches(run.rows, rows_path, before=batch_id)).select(*keys)
+        write_batch(_parsed(batch, ROOM_LAYOUT).withColumn("run_id", F.lit(run_id)), pages_path, batch_id, rows_per_file)
+
+    query = run_available(pages, checkpoint, on_batch)
+    like = _parsed(spark.createDataFrame([], schemas.PAGES), ROOM_LAYOUT).withColumn("run_id", F.lit(run_id))
+    numbered = spark.createDataFrame([], like.schema).withColumn("batch_id", F.lit(0))
+    arrived = read_batches(numbered, pages_path)
+    written = read_batches(spark.createDataFrame([], "run_id string, last int"), written_path)
+    runs = arrived.groupBy("run_id").agg(F.min("batch_id").alias("first"), F.max("batch_id").alias("last"))
+    done = written.groupBy("run_id").agg(F.max("last").alias("done"))
+    open_runs = runs.join(done, "run_id", "left").where("done is null or done < last").orderBy("first").collect()
+    for name, first, last, _ in open_runs:
+        own = arrived.where(F.col("run_id") == name).drop("run_id", "batch_id")
+        run = _run_of(own, name, at, ROOM_LAYOUT, ROOM_SERIES)
+        # a run's folder bears the number of its first batch
+        seen = with_id(read_batches(run.rows, rows_path, but=first)).select(*keys)
         fresh = with_id(run.rows).join(seen, keys, "left_anti").drop("_id")
-        write_batch(fresh.select(*run.rows.columns), rows_path, batch_id, rows_per_file)
-        write_batch(run.events, ledger_path, batch_id, rows_per_file)
-
-    return run_available(pages, checkpoint, on_batch)
+        write_batch(fresh.select(*run.rows.columns), rows_path, first, rows_per_file)
+        write_batch(run.events, ledger_path, first, rows_per_file)
+        write_batch(spark.createDataFrame([(name, last)], "run_id string, last int"), written_path, last)
+    return query

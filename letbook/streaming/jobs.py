@@ -38,8 +38,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, rows_per_file: int =
     )
 
 
-def read_batches(like: DataFrame, path: str, before: int | None = None) -> DataFrame:
-    """Rows of earlier batches; a table that is not there yet has none."""
+def read_batches(like: DataFrame, path: str, before: int | None = None, but: int | None = None) -> DataFrame:
+    """Rows of earlier batches, or of all but one; a table that is not there yet has none."""
     spark = like.sparkSession
     try:
         rows = spark.read.schema(like.schema).parquet(path)
@@ -49,6 +49,8 @@ def read_batches(like: DataFrame, path: str, before: int | None = None) -> DataF
         return spark.createDataFrame([], like.schema)
     if before is not None and "batch_id" in rows.columns:
         rows = rows.where(F.col("batch_id") < before)
+    if but is not None and "batch_id" in rows.columns:
+        rows = rows.where(F.col("batch_id") != but)
     return rows.select(*like.columns)
 
 

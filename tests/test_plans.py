@@ -158,3 +158,31 @@ def test_a_page_fetched_again_counts_once(spark):
     run = room_run(pages, "r", F.lit(AT), rules=RULES)
     assert [r["title"] for r in run.rows.collect()] == ["3"]
     assert run.summary.first()["total_rows"] == 1
+
+
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_room_stream_does_not_depend_on_batches(spark, tmp_path, files):
+    """A location's pages in files of their own, in any order, give what one run over all of them gives."""
+    inbox, rows_path, ledger_path, checkpoint = (str(tmp_path / p) for p in ("in", "rows", "ledger", "cp"))
+
+    def page(key, idx, titles, status=200):
+        cards = "".join(card(i, title=t, href=f"/r?flatshare_id={t}") for i, t in enumerate(titles))
+        return (key, "search", None, idx, 0, status, f"<ul>{cards}</ul>" if status == 200 else None, AT)
+
+    n = paging.ROOM_SERIES.page_size
+    pages = [
+        page("P1", 2, ["beyond"]),
+        page("P1", 0, [f"a{i}" for i in range(n)]),
+        page("P1", 1, ["short"]),
+        page("P2", 1, [], 503),
+        page("P2", 0, [f"b{i}" for i in range(n)]),
+    ]
+    for p in pages:
+        spark.createDataFrame([p], PAGES).coalesce(1).write.mode("append").parquet(inbox)
+    for _ in range(2):  # the second finds nothing new and changes nothing
+        room_stream(stream_pages(spark, inbox, files), rows_path, ledger_path, checkpoint, "r", F.lit(AT))
+    run = room_run(spark.createDataFrame(pages, PAGES), "r", F.lit(AT))
+    facts = lambda rows: sorted((r.postcode, r.url, r.status) for r in rows)
+    assert facts(spark.read.schema(ROOM_LISTINGS).parquet(rows_path).collect()) == facts(run.rows.collect())
+    events = sorted((r.key, r.status) for r in read_ledger(spark, ledger_path).collect())
+    assert events == [("P1", "completed"), ("P2", "failed")]
