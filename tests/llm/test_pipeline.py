@@ -29,7 +29,7 @@ def test_each_stage_acts(spark, sf_dir):
     item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
     line = "this is a line of text which more than one document holds for sure"
     text = " ".join(f"v{i}" for i in range(200))
-    rows = [(1, line + "\nfirst of its own"), (2, line + "\nsecond of its own"), (3, line), (4, text), (5, text + " more"), (6, "x " + item)]
+    rows = [(1, line + "\nfirst of its own"), (2, line + "\nsecond of its own"), (3, line), (4, text), (5, text + " and more"), (6, "x " + item)]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     lines = {r["doc_id"]: r for r in P.line_stage(spark, docs, sf_dir).collect()}
     assert set(lines) == {1, 2, 4, 5, 6}
