@@ -1,12 +1,12 @@
-"""The ten operators as queries over the given tables, with production parameters, and their SQL where it can say it."""
+"""The operators as queries over the given tables, with production parameters, and their SQL where it can say it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, linedup, neardup, packing, pitman_yor, quality, secret_scan, vectors, winnow
-from .frames import fold, table
+from . import chat, language, linedup, merkle, neardup, packing, pitman_yor, quality, secret_scan, vectors, winnow
+from .frames import fold, lower_ascii, table
 from .oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -139,6 +139,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the documents, folded after the texts of a fifth of the ids were lower-cased."""
+    tampered = F.when(fold("doc_id", 5) == 0, lower_ascii(F.col("text")))
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -152,5 +158,6 @@ QUERIES = {
         op8_winnowing,
         op9_vectors,
         op10_quality,
+        op13_merkle,
     )
 }
