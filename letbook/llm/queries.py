@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, linedup, merkle, neardup, packing, pitman_yor, quality, secret_scan, vectors, winnow
+from . import chat, html_text, language, linedup, merkle, neardup, packing, pitman_yor, quality, secret_scan, vectors, winnow
 from .frames import fold, lower_ascii, table
 from .oracle import ORACLE
 
@@ -139,6 +139,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages), "page_id", "url")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of the documents, folded after the texts of a fifth of the ids were lower-cased."""
     tampered = F.when(fold("doc_id", 5) == 0, lower_ascii(F.col("text")))
@@ -158,6 +163,7 @@ QUERIES = {
         op8_winnowing,
         op9_vectors,
         op10_quality,
+        op12_html,
         op13_merkle,
     )
 }
