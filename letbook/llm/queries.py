@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, language, linedup, merkle, neardup, packing, pitman_yor, quality, secret_scan, vectors, winnow
+from . import chat, html_text, language, linedup, merkle, neardup, packing, pitman_yor, quality, repair, secret_scan, vectors, winnow
 from .frames import fold, lower_ascii, table
 from .oracle import ORACLE
 
@@ -139,6 +139,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repair."""
+    turns = table(spark, sf_dir, "conversations")
+    totals, repaired = repair.repair(repair.damage(turns))
+    named = totals.withColumnRenamed("conv_id", "total_id")
+    digests = repair.digests(repaired).withColumnRenamed("conv_id", "digest_id")
+    figures = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return (
+        turns.select("conv_id")
+        .distinct()
+        .join(named, F.col("conv_id").eqNullSafe(F.col("total_id")), "left")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("digest_id")), "left")
+        .select(
+            "conv_id",
+            *figures,
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages), "page_id", "url")
@@ -163,6 +184,7 @@ QUERIES = {
         op8_winnowing,
         op9_vectors,
         op10_quality,
+        op11_repair,
         op12_html,
         op13_merkle,
     )
