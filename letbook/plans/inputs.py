@@ -217,3 +217,50 @@ def locations_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").cast("bigint").alias("position"),
         "n_regionkey",
     )
+
+
+def series_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a user as search pages of three cards, some short, failed or fetched twice.
+
+    Every ninth event gives no card, so pages run short; ids and URLs come back within a user. A page whose first
+    event is a multiple of 11 failed, of 13 got no answer; of 5, it was fetched before, without success.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    numbered = running(events, ["user_id"], ["ts", "event_id"], {}, bucket=F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 600_000_000))
+    no = F.col("event_id")
+    price = F.when(
+        no % 13 != 0,
+        F.concat(F.lit('<p class="listing-card__price">&pound;'), F.floor("value").cast("string"), F.lit(" <abbr>pcm</abbr></p>")),
+    ).otherwise(F.lit(""))
+    card = F.concat(
+        F.lit('<li class="listing-result"><h2 class="listing-card__title">Room '),
+        no.cast("string"),
+        F.lit('</h2><a class="listing-card__link" href="/flatshare/detail.pl?flatshare_id='),
+        (no % 6).cast("string"),
+        F.lit("&amp;search="),
+        (F.floor(no / 6) % 2).cast("string"),
+        F.lit('">More</a>'),
+        price,
+        F.lit('<p class="listing-card__location">'),
+        F.col("event_type"),
+        F.lit("</p></li>"),
+    )
+    cards = F.array_sort(F.collect_list(F.when(no % 9 != 0, F.struct("done", card.alias("card")))))
+    found = (
+        numbered.withColumn("page_idx", F.floor((F.col("done") - 1) / 3).cast("int"))
+        .groupBy(F.col("user_id").cast("string").alias("key"), "page_idx", "total")
+        .agg(cards.alias("cards"), F.min("event_id").alias("first"), F.max("ts").cast("timestamp").alias("fetched_at"))
+    )
+    html = F.concat(
+        F.lit('<p class="navcurrent">Showing <strong>1-3</strong> of <strong>'),
+        F.col("total").cast("string"),
+        F.lit("</strong></p><ul>"),
+        F.array_join(F.transform("cards", lambda c: c["card"]), ""),
+        F.lit("</ul>"),
+    )
+    status = F.when(F.col("first") % 11 == 0, 503).when(F.col("first") % 13 == 0, 0).otherwise(200)
+    fetched = found.select("key", "page_idx", status.alias("http_status"), html.alias("html"), "fetched_at", "first")
+    before = fetched.where("first % 5 = 0").withColumns(
+        {"http_status": F.lit(503), "html": F.lit(None).cast("string"), "fetched_at": F.col("fetched_at") - F.expr("INTERVAL 1 MINUTE")}
+    )
+    return fetched.unionByName(before).drop("first")

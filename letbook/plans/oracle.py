@@ -77,6 +77,38 @@ ranked AS (
   FROM ranked
 )"""
 
+SERIES = """
+series_ev AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events
+), series_ev2 AS (
+  SELECT *, CAST(floor((rn - 1) / 3) AS INTEGER) AS page_idx FROM series_ev
+), series_pages AS (
+  SELECT user_id, page_idx, max(ts) AS fetched_at, count(*) FILTER (WHERE event_id % 9 <> 0) AS n_cards,
+         CASE WHEN min(event_id) % 11 = 0 THEN 503 WHEN min(event_id) % 13 = 0 THEN 0 ELSE 200 END AS http_status
+  FROM series_ev2 GROUP BY user_id, page_idx
+), series_stops AS (
+  SELECT user_id, min(page_idx) FILTER (
+    WHERE CASE WHEN http_status = 200 THEN n_cards < 3 ELSE page_idx = 0 END) AS stop_idx
+  FROM series_pages GROUP BY user_id
+), series_seen AS (
+  SELECT p.* FROM series_pages p JOIN series_stops USING (user_id) WHERE stop_idx IS NULL OR page_idx <= stop_idx
+), series_last AS (
+  SELECT user_id, coalesce(arg_max(http_status, page_idx) FILTER (WHERE http_status <> 0), 200) AS status,
+         bool_or(page_idx = 0 AND http_status = 200) AS first_html
+  FROM series_seen GROUP BY user_id
+), series_events AS (
+  SELECT user_id, CASE WHEN first_html AND status = 200 THEN 'completed' ELSE 'failed' END AS status FROM series_last
+), series_urls AS (
+  SELECT e.user_id, e.event_id, e.rn, e.event_type, e.value, s.fetched_at
+  FROM series_ev2 e JOIN series_seen s ON e.user_id = s.user_id AND e.page_idx = s.page_idx
+  WHERE s.http_status = 200 AND e.event_id % 9 <> 0
+  QUALIFY row_number() OVER (PARTITION BY e.user_id, e.event_id % 6, CAST(floor(e.event_id / 6) AS BIGINT) % 2
+                             ORDER BY e.rn) = 1
+), series_rows AS (
+  SELECT * FROM series_urls
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 6 ORDER BY rn) = 1
+)"""
+
 FETCH = """
 fetch_src AS (
   SELECT event_type AS worker, event_id, CASE WHEN event_id % 90 <> 0 THEN value / 1000 END AS latency_s,
@@ -396,11 +428,33 @@ WITH {PAGING}, last AS (
 SELECT o_custkey, page_idx, first_order, coalesce(status, 200) AS status
 FROM paging_src LEFT JOIN last USING (o_custkey)""",
     "room_run": f"""
-SELECT '{ROOM_SOURCE}' AS source, CAST(event_id AS VARCHAR) AS postcode, 'Room & bath ' || event_id AS title,
-       '{ROOM_DOMAIN}/flatshare/detail.pl?flatshare_id=' || event_id || '&search=x' AS url,
+WITH {SERIES}
+SELECT '{ROOM_SOURCE}' AS source, CAST(user_id AS VARCHAR) AS postcode, 'Room ' || event_id AS title,
+       '{ROOM_DOMAIN}/flatshare/detail.pl?flatshare_id=' || (event_id % 6) || '&search='
+         || (CAST(floor(event_id / 6) AS BIGINT) % 2) AS url,
        CASE WHEN event_id % 13 <> 0 THEN '£' || CAST(floor(value) AS BIGINT) || ' pcm' ELSE '' END AS price_text,
-       event_type || 'area' AS location, 'Doubleroom' AS room_type, '' AS available, ts AS scraped_at, 200 AS status
-FROM events""",
+       event_type AS location, '' AS room_type, '' AS available, fetched_at AS scraped_at,
+       CAST(status AS INTEGER) AS status
+FROM series_rows JOIN series_last USING (user_id)""",
+    "room_events": f"""
+WITH {SERIES}
+SELECT '{ROOM_SOURCE}' AS source, CAST(user_id AS VARCHAR) AS key, status, 'r1' AS run_id,
+       TIMESTAMP '2024-05-01 00:00:00' AS updated_at
+FROM series_events""",
+    "room_summary": f"""
+WITH {SERIES}
+SELECT (SELECT count(*) FROM series_events) AS processed, (SELECT count(*) FROM series_urls) AS total_rows,
+       (SELECT count(*) FROM series_urls) - (SELECT count(*) FROM series_rows) AS dropped,
+       (SELECT count(*) FROM series_events WHERE status = 'failed') AS failed""",
+    "room_stream": f"""
+WITH {SERIES}
+SELECT CAST(user_id AS VARCHAR) AS postcode, e.status AS outcome, title, url, CAST(r.status AS INTEGER) AS status
+FROM series_events e LEFT JOIN (
+  SELECT user_id, 'Room ' || event_id AS title, series_last.status,
+         '{ROOM_DOMAIN}/flatshare/detail.pl?flatshare_id=' || (event_id % 6) || '&search='
+           || (CAST(floor(event_id / 6) AS BIGINT) % 2) AS url
+  FROM series_rows JOIN series_last USING (user_id)
+) r USING (user_id)""",
     "sale_links_run": f"""
 WITH {HREFS}, counted AS (
   SELECT page_id, page_id % 20 AS key, CAST(floor(page_id / 20) AS INTEGER) AS page_idx,

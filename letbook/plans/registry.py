@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letbook import schemas
 from letbook.fixed import ROOM_SOURCE, ROOM_VIEW, SALE_VIEW
 from letbook.functions import html as H
 from letbook.functions import text as T
@@ -25,6 +26,7 @@ from letbook.plans.inputs import (
     paging_src,
     room_src,
     sale_src,
+    series_src,
     table,
 )
 from letbook.session import work_folder
@@ -552,19 +554,62 @@ def status_tag(spark, sf_dir):
 # ---- whole runs --------------------------------------------------------------------------
 
 
+THREE_CARDS = replace(paging.ROOM_SERIES, page_size=3)
+
+
+def _room_run(spark: SparkSession, sf_dir: str) -> rooms.RoomRun:
+    return rooms.room_run(series_src(spark, sf_dir), "r1", F.lit("2024-05-01 00:00:00"), rules=THREE_CARDS)
+
+
 @query
 def room_run(spark, sf_dir):
-    """Search pages to deduplicated shard rows: one location per event, one card per page."""
-    src = card_pages_src(spark, sf_dir)
-    fetched = src.withColumns(
-        {
-            "key": F.regexp_extract("html", "flatshare_id=([0-9]+)", 1),
-            "http_status": F.lit(200),
-            "fetched_at": F.col("fetched_at").cast("timestamp"),
-        }
-    )
-    rows = rooms.room_run(fetched, "r1", F.current_timestamp()).rows
-    return rows.withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
+    """Search pages to deduplicated shard rows: users as locations of several pages."""
+    return _room_run(spark, sf_dir).rows.withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
+
+
+@query
+def room_events(spark, sf_dir):
+    """The same run's ledger events."""
+    return _room_run(spark, sf_dir).events.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+
+
+@query
+def room_summary(spark, sf_dir):
+    """The same run's counts, observed while its rows and events are written."""
+    folder = work_folder(spark, "room-run")
+    return rooms.write_rooms(_room_run(spark, sf_dir), f"{folder}/rows", f"{folder}/ledger")
+
+
+@query
+def room_stream(spark, sf_dir):
+    """The same pages as a stream, in three parts and with a restart after each: the run's outcome beside its rows."""
+    folder = work_folder(spark, "room-stream")
+    inbox = f"{folder}/inbox"
+    src = series_src(spark, sf_dir).select(
+        "key",
+        F.lit("search").alias("kind"),
+        F.lit(None).cast("string").alias("url"),
+        "page_idx",
+        (F.col("page_idx") * 3).alias("offset"),
+        "http_status",
+        "html",
+        "fetched_at",
+    )
+    for part in range(3):  # a location's pages lie in all of them
+        src.where(F.pmod("page_idx", F.lit(3)) == part).write.mode("append").parquet(inbox)
+        rooms.collect_rooms(
+            pages.stream_pages(spark, inbox),
+            f"{folder}/rows",
+            f"{folder}/ledger",
+            f"{folder}/checkpoint",
+            "r1",
+            F.lit("2024-05-01 00:00:00"),
+            rules=THREE_CARDS,
+            complete=part == 2,
+        )
+    rows = spark.read.schema(schemas.ROOM_LISTINGS).parquet(f"{folder}/rows")
+    events = ledgers.read_ledger(spark, f"{folder}/ledger").select(F.col("key").alias("postcode"), F.col("status").alias("outcome"))
+    return events.join(rows.select("postcode", "title", "url", "status"), "postcode", "left")
 
 
 @query

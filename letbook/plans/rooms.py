@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,21 +14,29 @@ from letbook.functions.urls import query_param
 from letbook.operators.dedup import first_listing, first_url, repeats, with_keys
 from letbook.operators.extract import ROOM_LAYOUT, CardLayout, cards
 from letbook.operators.ledger import room_outcomes, to_events
-from letbook.operators.paging import ROOM_SERIES, SeriesRules, settle_fetches, tag_status, visited
+from letbook.functions.html import result_total
+from letbook.operators.paging import ROOM_SERIES, SeriesRules, page_count, settle_fetches, tag_status, visited
 from letbook.operators.skew import equal, prefixed
 from letbook.session import keep
+from letbook.sinks.tables import write_shards
+from letbook.sources.ledgers import append_ledger
 from letbook.sources.pages import has_html, settle_pages
 from letbook.sources.shards import canonical_room, union_by_name
 from letbook.streaming.jobs import read_batches, run_available, write_batch
+from letbook.streaming.series import ended_series, state_on_disk, waiting
 
 _PAGE = ["key", "page_idx", "http_status", "has_html", "fetched_at"]
 
 
 @dataclass(frozen=True)
 class RoomRun:
+    """What a run gives, and the cards with new URLs that its rows are chosen from."""
+
     rows: DataFrame
     events: DataFrame
     summary: DataFrame
+    found: DataFrame
+    keys: tuple[str, ...]
 
 
 def room_run(
@@ -72,9 +80,27 @@ def _run_of(parsed: DataFrame, run_id: str, at: Column, layout: CardLayout, rule
         rows=canonical_room(first_listing(tagged), ROOM_SOURCE, stamp=F.col("fetched_at")),
         events=to_events(outcomes, ROOM_SOURCE, "key", run_id, at),
         summary=_summary(outcomes, tagged, ["source", layout.id_param, "postcode"]),
+        found=tagged,
+        keys=("source", layout.id_param, "postcode"),
     )
 
 
+def write_rooms(run: RoomRun, rows_path: str, ledger_path: str, rows_per_file: int = SHARD_ROWS) -> DataFrame:
+    """Writes rows and ledger events; the summary is counted on the way, without another scan. One row.
+
+    The counts are those of the jobs that write; a task that had to be repeated counts once.
+    """
+    found, keyed, kept, done = Observation(), Observation(), Observation(), Observation()
+    n = F.count(F.lit(1)).alias("n")
+    keys = list(run.keys)
+    cards = with_keys(run.found.observe(found, n), keys).observe(keyed, n)
+    rows = canonical_room(first_listing(cards, keys).observe(kept, n), ROOM_SOURCE, stamp=F.col("fetched_at"))
+    write_shards(rows, rows_path, rows_per_file)
+    append_ledger(run.events.observe(done, n, F.count_if(F.col("status") == "failed").alias("failed")), ledger_path)
+    counts = [(done.get["n"], found.get["n"], keyed.get["n"] - kept.get["n"], done.get["failed"])]
+    return run.rows.sparkSession.createDataFrame(counts, "processed long, total_rows long, dropped long, failed long")
+
+
 def _summary(outcomes: DataFrame, tagged: DataFrame, keys: list[str]) -> DataFrame:
     """One row: locations processed and failed, rows found, rows dropped as repeats."""
     parts = [
@@ -133,3 +159,46 @@ def room_stream(
         write_batch(run.events, ledger_path, first, rows_per_file)
         write_batch(spark.createDataFrame([(name, last)], "run_id string, last int"), written_path, last)
     return query
+
+
+def _waiting_rows(pages: DataFrame, layout: CardLayout, rules: SeriesRules) -> DataFrame:
+    """Cards of pages as the keyed buffer takes them: how many pages a first page promises, times as numbers."""
+    planned = F.when(F.col("page_idx") == 0, page_count(F.coalesce(result_total(F.col("html")), F.lit(0)), rules.page_size))
+    settled = settle_pages(pages).withColumns({"has_html": has_html(), "planned": planned.cast("int")})
+    rows = cards(settled, [*_PAGE, "planned"], layout, outer=True)
+    return rows.withColumn("fetched_us", F.unix_micros("fetched_at")).drop("fetched_at")
+
+
+def collect_rooms(
+    pages: DataFrame,
+    rows_path: str,
+    ledger_path: str,
+    checkpoint: str,
+    run_id: str,
+    at: Column,
+    layout: CardLayout = ROOM_LAYOUT,
+    rules: SeriesRules = ROOM_SERIES,
+    complete: bool = False,
+    rows_per_file: int = SHARD_ROWS,
+) -> StreamingQuery:
+    """Rows and ledger events of a run's pages, a location's as soon as its series is over, each location once.
+
+    Pages wait in state keyed by location, in any order, over any number of batches and restarts, until a page that
+    ends the series and all before it are there, or as many pages as the first one promises. What leaves in a batch
+    is a small `room_run` of whole locations. A fetch of a location that has left is too late. With `complete`,
+    no more pages will come: what still waits is written, too (again, if this is called again).
+    """
+    spark = pages.sparkSession
+    rows = _waiting_rows(pages, layout, rules)
+
+    def write(found: DataFrame, batch_id: int) -> None:
+        timed = found.withColumn("fetched_at", F.timestamp_micros("fetched_us")).drop("fetched_us", "planned")
+        run = _run_of(keep(timed, "ended"), run_id, at, layout, rules)
+        write_batch(run.rows, rows_path, batch_id, rows_per_file)
+        write_batch(run.events, ledger_path, batch_id, rows_per_file)
+
+    with state_on_disk(spark):
+        query = run_available(ended_series(rows, rules), checkpoint, write)
+    if complete:
+        write(waiting(spark, checkpoint, rows.schema), -1)
+    return query
