@@ -12,6 +12,8 @@ from letbook.functions.text import is_success, minutes_seconds
 from letbook.operators.running import BLOCK_ROWS, rolling_mean, running
 from letbook.operators.skew import HOT_ROWS
 
+#: About thirty years.
+LONGEST = 1_000_000_000
 SERIES = ["worker", "pass_no"]
 ORDER = ["finished_at", "url"]
 
@@ -54,11 +56,14 @@ FIRST_LOAD = LoadRule(500, 0.22, 0.18, 0.008, 0.28, 0.015)
 
 
 def _began(log: DataFrame, order: list[str]) -> Column | None:
-    """When a fetch began: its latency before it was finished, where the log has latencies."""
+    """When a fetch began: its latency before it was finished, where the log has latencies.
+
+    A latency that is no number, or of more than `LONGEST` seconds, says nothing of it.
+    """
     if "latency_s" not in log.columns:
         return None
     latency = F.col("latency_s").cast("double")
-    usable = ~F.isnan(latency) & (F.abs(latency) < float("inf"))
+    usable = ~F.isnan(latency) & (F.abs(latency) <= LONGEST)
     taken = F.coalesce(F.when(usable, F.round(latency * 1_000_000)), F.lit(0.0)).cast("bigint")
     micros = F.unix_micros(F.col(order[0]).cast("timestamp")) - taken
     return F.timestamp_micros(micros)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from letbook.fixed import ROOM_FALLBACK_PAGES, ROOM_PAGE_SIZE, SALE_MAX_PAGES, SALE_PAGE_SIZE
 from letbook.operators.dedup import first_per_key
-from letbook.operators.skew import HOT_ROWS, attach
+from letbook.operators.skew import attach
 
 
 @dataclass(frozen=True)
@@ -67,52 +67,37 @@ def _ends_series(rules: SeriesRules, n_items: Column, has_html: Column, page_idx
 
 
 def series_facts(pages: DataFrame, rules: SeriesRules, keys: list[str]) -> DataFrame:
-    """Per location: the page that ends its series (NULL when none does) and its row count.
+    """Per location: the page that ends its series (NULL when none does).
 
     `pages` has `page_idx`, `n_items` and `has_html`; items of a page without markup are 0.
     """
     n_items = F.when(F.col("has_html"), F.col("n_items")).otherwise(0)
     ends = _ends_series(rules, n_items, F.col("has_html"), F.col("page_idx"))
-    return pages.groupBy(*keys).agg(
-        F.min(F.when(ends, F.col("page_idx"))).alias("stop_idx"), F.count(F.lit(1)).alias("_n")
-    )
+    return pages.groupBy(*keys).agg(F.min(F.when(ends, F.col("page_idx"))).alias("stop_idx"))
 
 
-def visited(pages: DataFrame, rules: SeriesRules, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def visited(pages: DataFrame, rules: SeriesRules, keys: list[str]) -> DataFrame:
     """Pages up to and including the one that ends their location's series."""
-    facts = series_facts(pages, rules, keys)
-    rows = attach(pages, facts, keys, "_n", spread_by=["page_idx"], hot_rows=hot_rows)
+    rows = attach(pages, series_facts(pages, rules, keys), keys)
     return rows.where(F.col("stop_idx").isNull() | (F.col("page_idx") <= F.col("stop_idx"))).drop("stop_idx")
 
 
-def truncate(pages: DataFrame, rules: SeriesRules, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def truncate(pages: DataFrame, rules: SeriesRules, keys: list[str]) -> DataFrame:
     """Visited pages that have items."""
-    return visited(pages, rules, keys, hot_rows).where(F.col("has_html") & (F.col("n_items") > 0))
+    return visited(pages, rules, keys).where(F.col("has_html") & (F.col("n_items") > 0))
 
 
 def last_status(pages: DataFrame, keys: list[str]) -> DataFrame:
     """Per location: the status of the last page that answered, 200 when none did, and
     whether the first page had markup."""
-    return _status_facts(pages, keys).drop("_n")
-
-
-def _status_facts(pages: DataFrame, keys: list[str]) -> DataFrame:
     answered = F.nullif(F.col("http_status"), F.lit(0))
     place = F.when(answered.isNotNull(), F.col("page_idx"))
     return pages.groupBy(*keys).agg(
         F.coalesce(F.max_by(answered, place), F.lit(200)).alias("status"),
         F.coalesce(F.max((F.col("page_idx") == 0) & F.col("has_html")), F.lit(False)).alias("first_html"),
-        F.sum("n_items").alias("_n"),
     )
 
 
-def tag_status(
-    rows: DataFrame,
-    pages: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Rows with the last status of their location, whose items they are."""
-    facts = _status_facts(pages, keys).drop("first_html")
-    return attach(rows, facts, keys, "_n", spread_by=spread_by, hot_rows=hot_rows)
+def tag_status(rows: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the last status of their location."""
+    return attach(rows, last_status(pages, keys).drop("first_html"), keys)

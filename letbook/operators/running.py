@@ -9,6 +9,8 @@ from letbook.operators.skew import HOT_ROWS, hot_keys, mark_hot
 from letbook.session import keep
 
 BUCKET_SECONDS = 600
+#: Ranges of a hot key's rows for each task that they deserve.
+RANGES = 2
 BLOCK_ROWS = 100_000
 
 
@@ -31,12 +33,12 @@ def running(
     `done`, its number; `total`, the rows of the key; `started`, the least value of
     `began`, unless given the first order column; and each of `sums` up to the row.
 
-    Keys are counted first. Without hot ones this is a plain window. A hot key is cut into
-    buckets that are groups of their own; `bucket` grows with the first order column and
-    is, unless given, that time in slices. What came before a bucket is added up over one
-    row per bucket, so the longest series a task sees is the number of buckets in the log's
-    span, however many rows they hold. That start value joins its bucket as a first row,
-    which costs no second shuffle.
+    Keys are counted first. Without hot ones this is a plain window. The rows of hot keys
+    are cut into buckets that are groups of their own: at quantiles of the whole order,
+    sampled by a range partitioning, so that buckets are even whatever the times are (all
+    in one second, or none), or by `bucket`, if given, which grows with the first order
+    column. What came before a bucket is added up over one row per bucket. That start value
+    joins its bucket as a first row, which costs no second shuffle.
     """
     counts = keep(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "counts")
     hot = hot_keys(counts, keys, "_n", hot_rows)
@@ -58,12 +60,17 @@ def running(
             *[F.sum(f"_{name}").over(upto).alias(name) for name in sums],
         )
 
-    cut = time_bucket(order[0]) if bucket is None else bucket
-    lines = (
-        mark_hot(lines, hot, keys)
-        .withColumn("_bucket", F.when(F.col("_parts").isNotNull(), cut))
-        .withColumn("_line", F.lit(1))
-    )
+    marked = mark_hot(lines, hot, keys).withColumn("_line", F.lit(1))
+    if bucket is None:
+        spread = marked.where(F.col("_parts").isNotNull())
+        # a hot key has rows in a range more than it has tasks at least, and there are few hot keys
+        n_ranges = RANGES * (hot.agg(F.sum("_parts")).first()[0] + 1)
+        ranged = spread.repartitionByRange(n_ranges, *keys, *order).withColumn("_bucket", F.spark_partition_id().cast("bigint"))
+        few = marked.where(F.col("_parts").isNull()).withColumn("_bucket", F.lit(None).cast("bigint"))
+        # stored, as a range sampled again could cut elsewhere
+        lines = few.unionByName(keep(ranged, "ranges"))
+    else:
+        lines = marked.withColumn("_bucket", F.when(F.col("_parts").isNotNull(), bucket))
     per_bucket = (
         lines.where(F.col("_parts").isNotNull())
         .groupBy(*keys, "_bucket")
@@ -117,12 +124,16 @@ def rolling_mean(
     `number` counts the rows of a key from 1. A key is cut into blocks of consecutive
     rows; the last `size - 1` rows of a block are lent to the next one. Means come from
     running sums, so a row costs the same whatever the size. The sums are of whole
-    millionths, which do not drift, so no block size changes a mean. A value that is NULL, NaN
-    or infinite is no measurement.
+    millionths, which do not drift, so no block size changes a mean; they are kept in an
+    upper and a lower half, so that no block overflows. A value that is NULL, NaN, infinite
+    or beyond 64 bits of millionths is no measurement.
     """
     measured = F.col(value).cast("double")
     usable = ~F.isnan(measured) & (F.abs(measured) < float("inf"))
-    rows = rows.withColumn("_millionths", F.when(usable, F.round(measured * 1_000_000)).cast("bigint"))
+    whole = F.when(usable, F.round(measured * 1_000_000)).try_cast("bigint")
+    rows = rows.withColumn("_whole", whole).withColumns(
+        {"_upper": F.shiftright("_whole", 32), "_lower": F.col("_whole").bitwiseAND(F.lit(0xFFFFFFFF))}
+    )
     place = F.col(number) - 1
     home = F.floor(place / block_rows)
     lent = F.pmod(place, F.lit(block_rows)) >= block_rows - (size - 1)
@@ -134,21 +145,18 @@ def rolling_mean(
     )
     ordered = Window.partitionBy(*keys, "_block").orderBy(number)
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = ("_upper", "_lower")
     sums = lines.withColumns(
         {
-            "_sum": F.coalesce(F.sum("_millionths").over(upto), F.lit(0)),
-            "_count": F.count("_millionths").over(upto),
-        }
-    )
-    recent = sums.withColumns(
-        {
-            "_sum": F.col("_sum") - F.lag("_sum", size, 0).over(ordered),
-            "_count": F.col("_count") - F.lag("_count", size, 0).over(ordered),
+            **{p: F.coalesce(F.sum(p).over(upto), F.lit(0)) for p in parts},
+            "_count": F.count("_whole").over(upto),
         }
     )
-    mean = F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count") / 1_000_000).otherwise(F.lit(default))
+    recent = sums.withColumns({p: F.col(p) - F.lag(p, size, 0).over(ordered) for p in (*parts, "_count")})
+    total = F.col("_upper") * float(1 << 32) + F.col("_lower")
+    mean = F.when(F.col("_count") > 0, total / F.col("_count") / 1_000_000).otherwise(F.lit(default))
     return (
         recent.where(F.col("_home") == F.col("_block"))
         .withColumn(name, mean)
-        .drop("_home", "_block", "_sum", "_count", "_millionths")
+        .drop("_home", "_block", "_count", "_whole", *parts)
     )

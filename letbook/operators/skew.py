@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from letbook.session import keep
 
 # A key is hot when it holds a million rows and more than 1/100,000 of all of them. So fewer
 # than 100,000 keys can be hot, whatever the data, and a list of them is small enough to
@@ -48,34 +47,11 @@ def mark_hot(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(listed, equal(keys, "_hot_"), "left").drop(*[f"_hot_{k}" for k in keys])
 
 
-def attach(
-    rows: DataFrame,
-    facts: DataFrame,
-    keys: Sequence[str],
-    n_rows: str,
-    spread_by: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Every row with the facts of its key.
-
-    `facts` has one row per key and says in `n_rows` how many rows the key has. They are
-    stored once, so Spark knows their size and broadcasts them only when that is below the
-    session's threshold. Otherwise rows are shuffled on the key; those of a hot key are
-    spread over as many tasks as it deserves by a hash of `spread_by`, and only its facts
-    are copied that often.
+def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row with the facts of its key, of which `facts` has one row per key.
+
+    A plain join: small facts are broadcast by their size, and adaptive execution splits the rows of a hot
+    key over several tasks.
     """
-    kept = keep(facts, "facts")
-    hot = hot_keys(kept, keys, n_rows, hot_rows)
     same = equal(keys, "_fact_")
-    extra = [n_rows, *[f"_fact_{k}" for k in keys]]
-    if hot is None:
-        return rows.join(prefixed(kept, keys, "_fact_"), same, "left").drop(*extra)
-
-    salt = F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")
-    salted = mark_hot(rows, hot, keys).withColumn("_salt", F.coalesce(salt, F.lit(0)))
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    copies = mark_hot(kept, hot, keys).withColumn("_fact_salt", F.explode(salts)).drop("_parts")
-    joined = salted.join(
-        prefixed(copies, keys, "_fact_"), same & (F.col("_salt") == F.col("_fact_salt")), "left"
-    )
-    return joined.drop("_parts", "_salt", "_fact_salt", *extra)
+    return rows.join(prefixed(facts, keys, "_fact_"), same, "left").drop(*[f"_fact_{k}" for k in keys])

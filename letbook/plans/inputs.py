@@ -153,9 +153,7 @@ def card_pages_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 def paging_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of a customer as result pages of five; every 7th order is no item, so pages run short."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    numbered = running(
-        orders, ["o_custkey"], ["o_orderkey"], {}, bucket=F.floor(F.col("o_orderkey") / 1_000_000)
-    )
+    numbered = running(orders, ["o_custkey"], ["o_orderkey"], {})
     return (
         numbered.withColumn("page_idx", F.floor((F.col("done") - 1) / 5).cast("int"))
         .groupBy("o_custkey", "page_idx")
@@ -226,7 +224,7 @@ def series_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     event is a multiple of 11 failed, of 13 got no answer; of 5, it was fetched before, without success.
     """
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    numbered = running(events, ["user_id"], ["ts", "event_id"], {}, bucket=F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 600_000_000))
+    numbered = running(events, ["user_id"], ["ts", "event_id"], {})
     no = F.col("event_id")
     price = F.when(
         no % 13 != 0,

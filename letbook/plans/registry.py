@@ -548,7 +548,7 @@ def page_truncate_sales(spark, sf_dir):
 def status_tag(spark, sf_dir):
     src = paging_src(spark, sf_dir)
     rows = src.select("o_custkey", "page_idx", "first_order")
-    return paging.tag_status(rows, src, ["o_custkey"], spread_by=["first_order"])
+    return paging.tag_status(rows, src, ["o_custkey"])
 
 
 # ---- whole runs --------------------------------------------------------------------------

@@ -70,7 +70,7 @@ def _run_of(parsed: DataFrame, run_id: str, at: Column, layout: CardLayout, rule
 
     unique = first_url(on_seen, "key", ["page_idx", "pos", "fetched_at"])
     tagged = keep(
-        tag_status(unique, seen, ["key"], spread_by=["url"])
+        tag_status(unique, seen, ["key"])
         .withColumnRenamed("key", "postcode")
         .withColumn("source", F.lit(ROOM_SOURCE)),
         "tagged",

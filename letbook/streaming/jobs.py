@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from letbook.fixed import SHARD_ROWS
 from letbook.operators.dedup import ARRIVAL, LISTING_KEYS, first_per_key, with_keys
+from letbook.session import keep
 
 SPREAD = 64
+#: Folders of keys that a batch names when it reads the history; a batch that needs more reads all of it.
+MOST_BUCKETS = 4096
 
 
 def run_available(
@@ -54,6 +59,64 @@ def read_batches(like: DataFrame, path: str, before: int | None = None, but: int
     return rows.select(*like.columns)
 
 
+@dataclass(frozen=True)
+class SeenKeys:
+    """Keys that batches have written, in folders by a hash of the key, beside the table they belong to.
+
+    There are 2 ** level folders of about `bucket_rows` keys each. A batch reads those its own keys hash to, so what
+    it reads depends on the batch, not on how long the history is. When folders grow beyond that, all keys are
+    written once more on a higher level; that happens each time the history has doubled.
+    """
+
+    path: str
+    keys: tuple[str, ...]
+    bucket_rows: int = 1_000_000
+
+    def _sizes(self, spark: SparkSession, before: int) -> tuple[int, int]:
+        """Keys written by earlier batches, and the level they are on."""
+        sizes = read_batches(spark.createDataFrame([], "n long, level int"), f"{self.path}/sizes", before=before)
+        found = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("level"), F.lit(0))).first()
+        return found[0], found[1]
+
+    def _at(self, level: int) -> str:
+        return f"{self.path}/level={level}"
+
+    def _bucket(self, level: int) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(1 << level)).cast("int")
+
+    def _write(self, rows: DataFrame, level: int, batch_id: int) -> None:
+        placed = rows.select(*self.keys, self._bucket(level).alias("bucket"))
+        placed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{self._at(level)}/batch_id={batch_id}"
+        )
+
+    def of_level(self, like: DataFrame, level: int, before: int) -> DataFrame:
+        """The keys of earlier batches, with the folder they lie in."""
+        kept = like.select(*self.keys).limit(0).withColumns({"bucket": F.lit(0), "batch_id": F.lit(0)})
+        return read_batches(kept, self._at(level), before=before)
+
+    def touched(self, fresh: DataFrame, level: int, before: int) -> DataFrame:
+        """Earlier keys in the folders that these rows hash to; the others are not read."""
+        history = self.of_level(fresh, level, before)
+        numbers = [r[0] for r in fresh.select(self._bucket(level)).distinct().limit(MOST_BUCKETS + 1).collect()]
+        if len(numbers) <= MOST_BUCKETS:
+            history = history.where(F.col("bucket").isin(numbers))
+        return history.select(*self.keys)
+
+    def level_for(self, fresh: DataFrame, batch_id: int) -> int:
+        """The level for a batch and all before it, onto which these are written if they are on a lower one."""
+        before, level = self._sizes(fresh.sparkSession, batch_id)
+        wanted = max(level, math.ceil(math.log2(max(1.0, (before + fresh.count()) / self.bucket_rows))))
+        if wanted > level and before:
+            self._write(self.of_level(fresh, level, batch_id), wanted, batch_id - 1)
+        return wanted
+
+    def add(self, rows: DataFrame, level: int, batch_id: int) -> None:
+        self._write(rows, level, batch_id)
+        counted = rows.agg(F.count(F.lit(1)).alias("n"), F.lit(level).alias("level"))
+        write_batch(counted, f"{self.path}/sizes", batch_id)
+
+
 def dedup_exact(
     stream: DataFrame,
     path: str,
@@ -61,18 +124,22 @@ def dedup_exact(
     keys: list[str] = LISTING_KEYS,
     order: list[str] = ARRIVAL,
     rows_per_file: int = SHARD_ROWS,
+    bucket_rows: int = 1_000_000,
 ) -> StreamingQuery:
     """First arrivals only, over the whole life of the table, in the given order of arrival.
 
-    The table is its own memory: a batch is reduced to one row per key before the shuffle
-    and loses the keys that earlier batches wrote. Their key columns are read once per
-    batch, so this suits few large batches; for many small ones see `dedup_stateful`.
+    A batch is reduced to one row per key before the shuffle and loses the keys that
+    earlier batches wrote (`SeenKeys`, in a folder beside the table). A batch that is
+    repeated writes the same rows and keys again.
     """
+    seen = SeenKeys(f"{path.rstrip('/')}-seen", tuple(keys), bucket_rows)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_per_key(with_keys(batch, keys), keys, order)
-        seen = read_batches(batch, path, before=batch_id).select(*keys)
-        write_batch(fresh.join(seen, keys, "left_anti"), path, batch_id, rows_per_file)
+        fresh = keep(first_per_key(with_keys(batch, keys), keys, order), "fresh")
+        level = seen.level_for(fresh, batch_id)
+        new = keep(fresh.join(seen.touched(fresh, level, batch_id), keys, "left_anti"), "new")
+        write_batch(new, path, batch_id, rows_per_file)
+        seen.add(new, level, batch_id)
 
     return run_available(stream, checkpoint, on_batch)
 

@@ -35,8 +35,7 @@ RULES = {
 
 
 @pytest.mark.parametrize("name", RULES)
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_series_like_walking_them(spark, name, hot_rows):
+def test_series_like_walking_them(spark, name):
     rules, rng = RULES[name], random.Random(name)
     full = rules.page_size
     series = {}
@@ -47,11 +46,11 @@ def test_series_like_walking_them(spark, name, hot_rows):
             for i in range(n_pages)
         ]
     rows = spark.createDataFrame([(k, *p) for k, ps in series.items() for p in ps], SCHEMA)
-    got = paging.visited(rows, rules, ["key"], hot_rows=hot_rows)
+    got = paging.visited(rows, rules, ["key"])
     want_seen = {(k, i) for k, ps in series.items() for i in walk(ps, rules)[0]}
     want_kept = {(k, i) for k, ps in series.items() for i in walk(ps, rules)[1]}
     assert sorted((r.key, r.page_idx) for r in got.collect()) == sorted(want_seen)
-    kept = paging.truncate(rows, rules, ["key"], hot_rows=hot_rows).collect()
+    kept = paging.truncate(rows, rules, ["key"]).collect()
     assert sorted((r.key, r.page_idx) for r in kept) == sorted(want_kept)
     assert set(kept[0].asDict()) == set(rows.columns)
 
@@ -68,8 +67,7 @@ def test_room_boundaries(spark, items, kept):
 
 def test_null_key_is_a_key(spark):
     rows = spark.createDataFrame([(None, 0, 50, True, 200), (None, 1, 3, True, 200), (None, 2, 3, True, 200)], SCHEMA)
-    for hot_rows in (1, 10**6):
-        assert paging.truncate(rows, paging.ROOM_SERIES, ["key"], hot_rows=hot_rows).count() == 2
+    assert paging.truncate(rows, paging.ROOM_SERIES, ["key"]).count() == 2
 
 
 def test_page_count(apply):
@@ -100,7 +98,7 @@ def test_last_status(spark):
     got = {r.key: (r.status, r.first_html) for r in paging.last_status(rows, ["key"]).collect()}
     assert got == {"a": (503, True), "b": (200, False), "c": (404, False), "d": (200, True)}
     items = rows.select("key", "page_idx")
-    tagged = paging.tag_status(items, rows, ["key"], ["page_idx"], hot_rows=1).collect()
+    tagged = paging.tag_status(items, rows, ["key"]).collect()
     assert len(tagged) == 7 and all(r.status == got[r.key][0] for r in tagged)
 
 

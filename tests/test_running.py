@@ -76,6 +76,47 @@ def test_no_drift_and_no_spreading(spark):
     assert means[0][999] == 0.1 and means[0][100] == pytest.approx((1e9 + 0.1 * 97) / 98)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_latencies_beyond_all_bounds(spark, hot_rows):
+    """Finite but huge latencies end no job: they are no measurement and no start."""
+    latency = [0.5] * 40
+    latency[7], latency[8], latency[9] = 1e13, 1e300, -1e13
+    latency[20:30] = [9e12] * 10
+    rows = [("a", f"u{i:04}", v, "200", START + dt.timedelta(seconds=i)) for i, v in enumerate(latency)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    counted = health.error_rate(log, ["worker"], ["finished_at", "url"], hot_rows=hot_rows)
+    got = health.rolling_latency(counted, ["worker"], size=5, block_rows=10).orderBy("url").collect()
+    assert all(r.started == START - dt.timedelta(seconds=0.5) for r in got)
+    assert [r.mean_latency for r in got[:20]] == [0.5] * 20
+    assert got[24].mean_latency == pytest.approx(9e12) and got[39].mean_latency == 0.5
+    assert health.load_signal(log, keys=["worker"], order=["finished_at", "url"]).count() == 40
+    assert health.progress(log, health.ROOM_ETA, ["worker"], ["finished_at", "url"]).where("eta_s is null").count() == 0
+
+
+@pytest.mark.parametrize("times", ["one second", "none", "mixed"])
+def test_a_hot_series_is_cut_evenly(spark, times, monkeypatch):
+    """Whatever the times of a hot key are, no bucket holds much more than its share, and counts are right."""
+    buckets = []
+    real = running.keep
+
+    def watched(rows, label):
+        stored = real(rows, label)
+        if label == "ranges":
+            buckets.extend(r["count"] for r in stored.groupBy("_bucket").count().collect())
+        return stored
+
+    monkeypatch.setattr(running, "keep", watched)
+    n = 4000
+    at = F.when(F.lit(times == "none") | (F.lit(times == "mixed") & (F.col("id") % 2 == 0)), None).otherwise(F.lit(START))
+    log = spark.range(n).select(
+        F.lit("hot").alias("worker"), F.format_string("u%05d", "id").alias("url"), F.lit(0.25).alias("latency_s"),
+        F.when(F.col("id") % 10 == 0, "503").otherwise("200").alias("http_status"), at.cast("timestamp").alias("finished_at"),
+    )
+    got = health.error_rate(log, ["worker"], ["finished_at", "url"], hot_rows=500).orderBy(F.col("finished_at").asc_nulls_first(), "url").collect()
+    assert [r.done for r in got] == list(range(1, n + 1)) and got[-1].errors == n // 10
+    assert len(buckets) > 6 and max(buckets) < 3 * n / len(buckets)
+
+
 def test_default_latency(spark):
     log = spark.createDataFrame([("a", "u", None, "200", START)], SCHEMA)
     assert health.rolling_latency(log, ["worker"]).first().mean_latency == 0.25

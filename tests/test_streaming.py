@@ -110,3 +110,39 @@ def test_resume_after_a_failed_batch(spark, inbox, tmp_path):
     urls = [r.url for r in spark.read.schema("url string").parquet(rows_path).collect()]
     assert sorted(urls) == sorted(f"u{i}" for i in range(60))
     assert spark.read.schema("postcode string, n bigint").parquet(ledger_path).agg(F.sum("n")).first()[0] == 60
+
+
+def test_a_batch_reads_only_the_folders_of_its_keys(spark, inbox, tmp_path):
+    """The longer the history, the more folders; a batch of one key reads one of them."""
+    add, stream = inbox
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    read, n = [], 0
+    seen = jobs.SeenKeys(f"{out}-seen", tuple(dedup.LISTING_KEYS), 50)
+    for size in (40, 200, 800):
+        add(batch(spark, n, size, ids=10**6))
+        add(batch(spark, max(0, n - 7), 7, ids=10**6))
+        n += size
+        jobs.dedup_exact(stream(), out, checkpoint, bucket_rows=50)
+        one = batch(spark, 0, 1, ids=10**6)
+        level = seen._sizes(spark, 10**6)[1]
+        assert len(seen.of_level(one, level, 10**6).select("bucket").distinct().collect()) > n / 50 / 2 - 1
+        history = seen.touched(one, level, 10**6)
+        assert history.join(one, dedup.LISTING_KEYS, "left_semi").count() == 1
+        plan = history._jdf.queryExecution().executedPlan().toString()
+        assert "bucket" in plan[plan.index("PartitionFilters: [") :].split("]")[0]
+        read.append(history.count())
+    got = spark.read.schema(SCHEMA).parquet(out)
+    assert got.count() == n == got.select(*dedup.LISTING_KEYS).distinct().count()
+    assert read[2] < 150 and read[2] < n / 5
+
+
+def test_a_repeated_batch_keeps_the_history_right(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    seen = jobs.SeenKeys(path, tuple(dedup.LISTING_KEYS), 10)
+    for batch_id, start in ((0, 0), (1, 30), (1, 30), (2, 60), (2, 60)):  # batches 1 and 2 come twice
+        rows = batch(spark, start, 30, ids=10**6)
+        level = seen.level_for(rows, batch_id)
+        assert seen.touched(rows, level, batch_id).join(rows, dedup.LISTING_KEYS, "left_semi").count() == 0
+        seen.add(rows, level, batch_id)
+    every = seen.of_level(rows, level, 3)
+    assert every.count() == 90 and seen._sizes(spark, 3)[0] == 90
