@@ -155,7 +155,7 @@ def scan_promote(spark, sf_dir):
     write_shards(supplier, dated)
     rows = shards.union_by_name(
         [
-            shards.scan_promoted(spark, streamed, [replace(shards.SALE_STREAMED, glob="*.parquet")]),
+            shards.scan_promoted(spark, streamed),
             shards.scan_promoted(spark, dated),
             shards.scan_promoted(spark, f"{dated}/none"),
         ]

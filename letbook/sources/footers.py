@@ -45,19 +45,41 @@ def _open(path: str) -> pa.NativeFile:
     return system.open_input_file(key)
 
 
+def _fields(file: pq.ParquetFile) -> str | None:
+    """Columns of a file (name and type, as JSON); None for a file without rows."""
+    if file.metadata.num_rows == 0:
+        return None
+    columns = [(c.name, spark_type(c.type)) for c in file.schema_arrow]
+    return json.dumps(sorted((n, k) for n, k in columns if k))
+
+
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Path and columns (name and type, as JSON) of each file that has rows."""
+    """Path and columns of each file that has rows."""
     for batch in batches:
         paths, fields = [], []
         for path in batch.column("path").to_pylist():
             with _open(path) as source:
-                file = pq.ParquetFile(source)
-                if file.metadata.num_rows == 0:
-                    continue
-                columns = [(c.name, spark_type(c.type)) for c in file.schema_arrow]
-            paths.append(path)
-            fields.append(json.dumps(sorted((n, k) for n, k in columns if k)))
+                found = _fields(pq.ParquetFile(source))
+            if found:
+                paths.append(path)
+                fields.append(found)
         yield pa.RecordBatch.from_pydict({"path": paths, "fields": fields}, schema=_SCHEMA)
 
 
+def read_those(fields: str, schema: pa.Schema, rows: int = 10_000):
+    """Reads, in the tasks, the files among the given ones that have these columns."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with _open(path) as source:
+                    file = pq.ParquetFile(source)
+                    if _fields(file) != fields:
+                        continue
+                    for part in file.iter_batches(rows, columns=schema.names):
+                        yield pa.RecordBatch.from_arrays([part.column(f.name).cast(f.type) for f in schema], schema=schema)
+
+    return read
+
+
 _SCHEMA = pa.schema([("path", pa.string()), ("fields", pa.string())])

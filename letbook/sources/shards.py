@@ -8,14 +8,17 @@ where the layout is known, told by their names.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from fnmatch import fnmatchcase
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, FractionalType, IntegralType, NumericType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, FractionalType, IntegralType, NumericType, StructType
 
 from letbook import schemas
 from letbook.fixed import DATED_FILES, STREAMED_FILES
@@ -25,12 +28,17 @@ from letbook.sources import footers
 
 @dataclass(frozen=True)
 class Variant:
-    """Shards with one physical schema: which files, what they hold, what to repair."""
+    """Shards with one physical schema: which files, what they hold, what to repair.
+
+    `fields` is given where names do not tell the files from others of their folders: then
+    tasks look which ones they are.
+    """
 
     schema: str
     glob: str = "*.parquet"
     paths: tuple[str, ...] = ()
     repairs: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
+    fields: str | None = None
 
 
 def _nanos(moment: Column) -> Column:
@@ -52,34 +60,63 @@ def nanosecond(variant: Variant, column: str = "scraped_at") -> Variant:
     )
 
 
+_UUID = "[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+
+
 def discover(spark: SparkSession, path: str, glob: str = "*.parquet") -> list[Variant]:
     """The variants of a folder, from the footers of its files; files without rows are left out.
 
     The same column can be whole numbers in one shard and, where values are missing,
-    fractions or nothing in the next. Footers are read in the tasks; what reaches the
-    driver is one line per file, as in any file listing.
+    fractions or nothing in the next. One Spark job reads the footers and groups the files
+    by folder, schema and name without its numbers; a row per group reaches the driver,
+    never one per file.
     """
-    files = _or_empty(
-        lambda: spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path),
-        lambda: None,
-    )
+    files = _files(spark, path, glob)
     if files is None:
         return []
-    found = files.select("path").mapInArrow(footers.describe, "path string, fields string")
-    by_fields: dict[str, list[str]] = {}
-    for row in found.toLocalIterator():
-        by_fields.setdefault(row.fields, []).append(row.path)
-    return [_variant(fields, sorted(paths)) for fields, paths in sorted(by_fields.items())]
-
-
-def _variant(fields: str, paths: list[str]) -> Variant:
+    found = files.mapInArrow(footers.describe, "path string, fields string")
+    name = F.regexp_extract("path", "([^/]*)$", 1)
+    groups = found.groupBy(
+        "fields",
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"),
+        F.regexp_replace(F.regexp_replace(name, _UUID, "*"), "[0-9]+", "*").alias("pattern"),
+        name.rlike(_UUID).alias("named_by_chance"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+    by_fields: dict[str, list] = {}
+    by_folder: dict[str, list] = {}
+    for row in groups.collect():
+        by_fields.setdefault(row.fields, []).append(row)
+        by_folder.setdefault(row.folder, []).append(row)
+    return [_variant(fields, rows, by_folder) for fields, rows in sorted(by_fields.items())]
+
+
+def _files(spark: SparkSession, path: str, glob: str) -> DataFrame | None:
+    """The paths of a folder's files; None when it is not there."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    return _or_empty(lambda: reader.load(path).select("path"), lambda: None)
+
+
+def _told_apart(group, others: list) -> bool:
+    """Whether a group's name pattern picks its files and no others of the folder."""
+    if re.search(r"[\[\]{}?*\\]", group.folder) or re.search(r"[\[\]{}?\\]", group.pattern):
+        return False
+    rest = [o for o in others if o is not group]
+    if any(group.named_by_chance or o.named_by_chance for o in rest):
+        return False
+    return not any(fnmatchcase(o.pattern, group.pattern) or fnmatchcase(group.pattern, o.pattern) for o in rest)
+
+
+def _variant(fields: str, groups: list, by_folder: dict[str, list]) -> Variant:
     kinds = dict(json.loads(fields))
     nanos = [name for name, kind in kinds.items() if kind == footers.NANOS]
     columns = {n: "bigint" if n in nanos else kind for n, kind in kinds.items()}
+    by_name = all(_told_apart(g, by_folder[g.folder]) for g in groups)
+    folders = sorted({g.folder for g in groups})
     return Variant(
         ", ".join(f"`{n}` {kind}" for n, kind in columns.items()),
-        paths=tuple(paths),
+        paths=tuple(sorted(f"{g.folder}/{g.pattern}" for g in groups)) if by_name else tuple(folders),
         repairs={n: _nanos for n in nanos},
+        fields=None if by_name else fields,
     )
 
 
@@ -96,7 +133,14 @@ def _or_empty(read: Callable, empty: Callable):
 def scan(spark: SparkSession, path: str, variant: Variant) -> DataFrame:
     """Rows of one variant; a missing folder or no matching file gives no rows."""
     reader = spark.read.schema(variant.schema)
-    if variant.paths:
+    if variant.fields:
+        # folders of mixed shards: the files are picked and read where their footers are
+        kind = StructType.fromDDL(variant.schema)
+        listed = [_files(spark, folder, variant.glob) for folder in variant.paths]
+        listed = [f for f in listed if f is not None] or [spark.createDataFrame([], "path string")]
+        files = reduce(DataFrame.union, listed).distinct()
+        rows = files.mapInArrow(footers.read_those(variant.fields, to_arrow_schema(kind)), kind)
+    elif variant.paths:
         rows = reader.parquet(*variant.paths)
     else:
         rows = _or_empty(

@@ -108,6 +108,25 @@ def test_shards_as_pandas_types_them(spark, tmp_path):
     assert shards.load_sale(spark, str(tmp_path / "one"), known).first().scraped_at.replace(tzinfo=UTC) == AT
 
 
+def test_discovery_brings_a_row_per_group_to_the_driver(spark, tmp_path):
+    """Two hundred shards of two schemas in two folders: told apart by name in one, not in the other."""
+    for folder, names in (("kind=apart", ("shard_{}", "dated-{}")), ("kind=mixed", ("part_{}", "part_{}"))):
+        (tmp_path / folder).mkdir()
+        for i in range(100):
+            text = i % 2 == 0
+            kind = sale_schema(pa.string() if text else pa.int64(), stamped=False)
+            name = names[0 if text else 1].format(i)
+            write(tmp_path / folder / f"{name}.parquet", [sale(f"{folder}{i}", status="200" if text else 404)], kind)
+    found = shards.discover(spark, str(tmp_path))
+    assert len(found) == 2 and all(v.fields and len(v.paths) == 2 for v in found)
+    apart = shards.discover(spark, str(tmp_path / "kind=apart"))
+    assert sorted(p.rsplit("/", 1)[1] for v in apart for p in v.paths) == ["dated-*.parquet", "shard_*.parquet"]
+    for folder, n in (("kind=apart", 100), ("kind=mixed", 100), ("", 200)):
+        rows = shards.load_sale(spark, str(tmp_path / folder)).collect()
+        assert len({r.url for r in rows}) == len(rows) == n
+        assert sum(r.status == 404 for r in rows) == n / 2
+
+
 def test_load_room(spark, tmp_path):
     fields = [(n, pa.string()) for n in ("source", "postcode", "title", "url", "price_text")]
     rest = [("room_type", pa.string()), ("available", pa.string()), ("scraped_at", pa.timestamp("us", "UTC")), ("status", pa.int64())]
