@@ -62,6 +62,38 @@ def with_model(
     return find(rows, F.col("html") if html is None else html, name)
 
 
+def page_variant(html: Column) -> Column:
+    """The model of a page whatever its shape, as a VARIANT: NULL where it is missing or malformed.
+
+    The text is found as in the pattern form and parsed once, without a schema.
+    """
+    return F.try_parse_json(F.nullif(F.regexp_extract(html, MODEL_PATTERN, 1), F.lit("")))
+
+
+def leaf(model: Column, path: str, kind: str = "string") -> Column:
+    """A leaf of a VARIANT by its path, dots between names; NULL where it is missing, null or of another kind."""
+    return F.try_variant_get(model, "$." + path, kind)
+
+
+def variant_fields(model: Column, strict_price: bool = True) -> list[Column]:
+    """Typed listing fields of a VARIANT model; see `model_fields`."""
+    tracked = "analyticsInfo.analyticsProperty."
+    price_text = leaf(model, tracked + "price")
+    sizings = leaf(model, "propertyData.sizings", "array<variant>")
+    displays = F.transform(sizings, lambda s: F.struct(leaf(s, "display").alias("display")))
+    address = "propertyData.address."
+    return [
+        first_truthy(leaf(model, address + "displayAddress")).alias("address"),
+        postcode_of(leaf(model, tracked + "postcode"), leaf(model, address + "outcode"), leaf(model, address + "incode")).alias(
+            "postcode"
+        ),
+        (digits_int(price_text) if strict_price else to_number(price_text).try_cast("bigint")).alias("price"),
+        bedroom_count(leaf(model, "propertyData.bedrooms")).alias("bedrooms"),
+        first_truthy(leaf(model, "propertyData.propertySubType"), leaf(model, "propertyData.propertyType")).alias("property_type"),
+        first_filled(displays, "display").alias("floor_area"),
+    ]
+
+
 def first_filled(items: Column, field: str) -> Column:
     """The field of the first array item in which it is neither NULL nor empty."""
     return F.get(F.filter(items, lambda x: x[field] != ""), F.lit(0))[field]

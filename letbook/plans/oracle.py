@@ -6,7 +6,7 @@ what has to come out.
 
 from __future__ import annotations
 
-from letbook.fixed import ROOM_DOMAIN, ROOM_SEARCH_URL, ROOM_SOURCE, SALE_SEARCH_URL
+from letbook.fixed import ROOM_DOMAIN, ROOM_SEARCH_URL, ROOM_SOURCE, SALE_SEARCH_URL, SALE_VIEW
 
 SALE = """
 sale_src AS (
@@ -228,6 +228,14 @@ WITH {VARIANTS}
 SELECT url, address, nullif(postcode, '') AS postcode, CAST(price AS DOUBLE) AS price,
        CAST(bedrooms AS DOUBLE) AS bedrooms, property_type, CAST(NULL AS VARCHAR) AS floor_area, status, scraped_at
 FROM variants""",
+    "sale_view": f"""
+WITH {VARIANTS}
+SELECT nullif(postcode, '') AS postcode, CAST(price AS DOUBLE) AS price, CAST(bedrooms AS DOUBLE) AS bedrooms,
+       property_type, address, url, scraped_at
+FROM variants
+WHERE scraped_at >= TIMESTAMP '2023-11-15 00:00:00' AND starts_with(postcode, 'N1')
+  AND property_type IN ('BUILDING', 'MACHINERY') AND bedrooms <= 3 AND price >= 0
+ORDER BY scraped_at DESC NULLS LAST, url""",
     "scan_promote": f"""
 WITH {VARIANTS}
 SELECT url, postcode, price, bedrooms, property_type, status, scraped_at FROM variants""",
@@ -328,6 +336,11 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 6 > 1 THEN CAST(floor(o_totalprice) AS
 FROM orders""",
     "location_list": """
 SELECT upper(n_name) AS key, min(CAST(n_nationkey AS BIGINT)) AS position FROM nation GROUP BY upper(n_name)""",
+    "location_csv": "SELECT DISTINCT upper(n_name) AS key FROM nation",
+    "ledger_state": """
+SELECT 'docs' AS source, CAST(doc_id AS VARCHAR) AS key,
+       CASE WHEN quality = 1 THEN 'completed' ELSE 'failed' END AS status, 'r0' AS run_id
+FROM labels""",
     "location_ids": "SELECT n_nationkey AS outer_code, 'OUTCODE^' || n_nationkey AS location_id FROM nation",
     "search_urls": f"""
 SELECT n_nationkey AS outer_code, CAST(p AS INTEGER) AS page_idx,
@@ -373,6 +386,23 @@ SELECT listing_no, CASE WHEN has_model THEN address END AS address,
        CASE WHEN has_model THEN bedrooms END AS bedrooms,
        CASE WHEN has_model THEN property_type END AS property_type,
        CASE WHEN has_model THEN floor_area END AS floor_area
+FROM model_src""",
+    "page_model_variant": f"""
+WITH {SALE}, {DETAIL}
+SELECT listing_no, CASE WHEN has_model THEN address END AS address,
+       CASE WHEN has_model THEN postcode END AS postcode,
+       CASE WHEN has_model THEN any_price END AS price,
+       CASE WHEN has_model THEN bedrooms END AS bedrooms,
+       CASE WHEN has_model THEN property_type END AS property_type,
+       CASE WHEN has_model THEN floor_area END AS floor_area
+FROM model_src""",
+    "model_paths": f"""
+WITH {SALE}, {DETAIL}
+SELECT listing_no, CASE WHEN has_model THEN split_part(postcode, ' ', 1) END AS outcode,
+       CASE WHEN has_model THEN floor_area END AS second_size, CAST(NULL AS VARCHAR) AS no_leaf,
+       CAST(NULL AS VARCHAR) AS below_a_leaf, CAST(NULL AS INTEGER) AS mistyped,
+       CASE WHEN has_model THEN bedrooms END AS bedrooms,
+       CASE WHEN has_model THEN CAST(any_price AS DOUBLE) END AS price
 FROM model_src""",
     "page_model_balanced": f"""
 WITH {SALE}, {DETAIL}
@@ -465,6 +495,31 @@ WITH {HREFS}, counted AS (
 )
 SELECT key, url FROM counted JOIN stops USING (key) JOIN links USING (page_id)
 WHERE stop_idx IS NULL OR page_idx <= stop_idx""",
+    "sale_collection": f"""
+WITH {HREFS}, sale_counted AS (
+  SELECT page_id, page_id % 20 AS key, CAST(floor(page_id / 20) AS INTEGER) AS page_idx,
+         (SELECT count(*) FROM links WHERE links.page_id = pages.page_id) AS n
+  FROM pages
+), sale_stops AS (
+  SELECT key, min(page_idx) FILTER (WHERE n < 5 AND (page_idx > 0 OR n > 0)) AS stop_idx FROM sale_counted GROUP BY key
+), sale_found AS (
+  SELECT key, url FROM sale_counted JOIN sale_stops USING (key) JOIN links USING (page_id)
+  WHERE stop_idx IS NULL OR page_idx <= stop_idx
+)
+SELECT url, CASE WHEN min(key) < 10 THEN 'r1' ELSE 'r2' END AS run_id FROM sale_found GROUP BY url""",
+    "sale_collection_events": f"""
+SELECT DISTINCT '{SALE_VIEW}' AS source, CAST(page_id % 20 AS VARCHAR) AS key, 'completed' AS status,
+       CASE WHEN page_id % 20 < 10 THEN 'r1' ELSE 'r2' END AS run_id
+FROM pages""",
+    "sale_retry_run": f"""
+WITH {SALE}, {DETAIL}, tried AS (SELECT *, has_model AND listing_no % 76 <> 0 AS ok FROM model_src)
+SELECT url, CASE WHEN ok THEN address ELSE '' END AS address, CASE WHEN ok THEN postcode ELSE '' END AS postcode,
+       CASE WHEN ok THEN price END AS price, CASE WHEN ok THEN bedrooms END AS bedrooms,
+       CASE WHEN ok THEN property_type ELSE '' END AS property_type,
+       CASE WHEN ok THEN coalesce(floor_area, '') ELSE '' END AS floor_area,
+       CASE WHEN listing_no % 76 <> 0 THEN '200' ELSE '503' END AS status, scraped_at
+FROM tried""",
+    "sale_retry_failures": f"WITH {SALE} SELECT url FROM sale_src WHERE listing_no % 76 = 0",
     "dedup_listing": """
 SELECT * FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,

@@ -13,7 +13,7 @@ from letbook.fixed import ROOM_SOURCE, ROOM_VIEW, SALE_VIEW
 from letbook.functions import html as H
 from letbook.functions import text as T
 from letbook.functions import urls as U
-from letbook.functions.model import first_filled, model_fields, with_model
+from letbook.functions.model import first_filled, leaf, model_fields, page_variant, variant_fields, with_model
 from letbook.operators import dedup, extract, filters, health, ledger, paging, reports, retry
 from letbook.plans import rooms, sales
 from letbook.plans.inputs import (
@@ -137,15 +137,38 @@ def _sale_variants(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return customer, supplier
 
 
+def _sale_shards(spark: SparkSession, sf_dir: str) -> str:
+    """Both generations as shards of one folder, told apart by nothing but their footers."""
+    folder = work_folder(spark, "sale-shards")
+    for rows in _sale_variants(spark, sf_dir):
+        write_shards(rows, folder)
+    return folder
+
+
 @query
 def load_sale(spark, sf_dir):
-    customer, supplier = _sale_variants(spark, sf_dir)
-    rows = shards.type_sale(
-        shards.union_by_name([shards.settle_status(customer), shards.settle_status(supplier)])
-    )
+    """Shards of two generations in one folder, as the loader types them."""
+    rows = shards.load_sale(spark, _sale_shards(spark, sf_dir))
     return rows.withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
 
 
+def _stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded shards stored typed by day, read as a table that takes filters into the scan."""
+    folder = work_folder(spark, "sales")
+    day = F.coalesce("scraped_at", F.lit("2023-01-01 00:00:00").cast("timestamp"))
+    write_snapshot(shards.load_sale(spark, _sale_shards(spark, sf_dir)), folder, "full", day, sort_by=["postcode"])
+    return shards.read_typed(spark, folder, schemas.SALE_TABLE)
+
+
+@query
+def sale_view(spark, sf_dir):
+    """From shards on disk to a viewer's rows: loaded, stored typed, filtered in the scan, latest first."""
+    chosen = filters.Selection("n1", {"property_type": ["BUILDING", "MACHINERY"]}, {"bedrooms": (0, 3), "price": (0, None)})
+    rows = chosen.apply(_stored_sales(spark, sf_dir).where("snapshot_date >= DATE '2023-11-15'"))
+    shown = filters.latest_first(rows, filters.SALE_COLUMNS)
+    return shown.withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
+
+
 @query
 def scan_promote(spark, sf_dir):
     """Two generations written as files and scanned back as one table."""
@@ -165,11 +188,14 @@ def scan_promote(spark, sf_dir):
 
 @query
 def load_room(spark, sf_dir):
-    """Rooms of which every second row comes with the misspelled location column."""
+    """Shards of which every second row comes with the misspelled location column, as the loader types them."""
     rows = room_src(spark, sf_dir)
     no = F.element_at(F.split("title", " "), -1).cast("bigint")
     legacy = rows.where(no % 2 == 0).withColumnRenamed("location", "locatiom")
-    typed = shards.type_room(shards.union_by_name([rows.where(no % 2 == 1), legacy]))
+    folder = work_folder(spark, "room-shards")
+    for part in (rows.where(no % 2 == 1), legacy):
+        write_shards(part, folder)
+    typed = shards.load_room(spark, folder)
     return typed.drop("status").withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
 
 
@@ -410,6 +436,43 @@ def location_list(spark, sf_dir):
     return lists.distinct_keys(twice, F.col("postcode"), F.col("position"))
 
 
+@query
+def location_csv(spark, sf_dir):
+    """A location list written as CSV, a blank before its second header name, and read back."""
+    folder = work_folder(spark, "locations")
+    rows = locations_src(spark, sf_dir).select(F.col("outer_code").alias("OuterCode"), F.col("postcode").alias(" Postcode"))
+    rows.write.option("header", True).csv(folder)
+    return lists.location_list(spark, folder).select("key")
+
+
+@query
+def url_files(spark, sf_dir):
+    """Failed URLs of two workers and a file of another name, read by the name pattern."""
+    folder = work_folder(spark, "failed")
+    failed = retry.final_failures(attempts_src(spark, sf_dir))
+    named = F.when(F.crc32("url") % 3 == 0, "other").otherwise(F.concat(F.lit("failed_urls_worker"), (F.crc32("url") % 3).cast("string")))
+    for name in ("failed_urls_worker1", "failed_urls_worker2", "other"):
+        write_url_list(failed.where(named == name), f"{folder}/worker={name}/{name}.txt")
+    # each of the three is a folder of text parts, as Spark writes them
+    return lists.read_url_list(spark, f"{folder}/*/failed_urls_worker*.txt", "*.txt")
+
+
+@query
+def ledger_state(spark, sf_dir):
+    """Work states as JSON files over several lines, read as ledger events."""
+    folder = work_folder(spark, "state")
+    doc, good = F.col("doc_id"), F.col("quality") == 1
+    states = table(spark, sf_dir, "labels").groupBy((doc % 16).alias("part")).agg(
+        F.collect_list(F.when(good, doc.cast("string"))).alias("completed_postcodes"),
+        F.collect_list(F.when(~good, doc.cast("string"))).alias("failed_postcodes"),
+    )
+    lines = F.replace(F.to_json(F.struct("completed_postcodes", "failed_postcodes")), F.lit(","), F.lit(",\n "))
+    # a file per part, as a JSON file over several lines is one object
+    states.repartition(16, "part").select("part", lines.alias("value")).write.partitionBy("part").text(folder)
+    events = ledgers.state_events(spark, folder, "docs", "r0", F.lit("2024-05-01 00:00:00"))
+    return events.select("source", "key", "status", "run_id")
+
+
 @query
 def location_ids(spark, sf_dir):
     return lists.location_ids(locations_src(spark, sf_dir), "outer_code").select("outer_code", "location_id")
@@ -488,6 +551,30 @@ def page_model_regex(spark, sf_dir):
     return read.select("listing_no", *model_fields(F.col("model"), strict_price=False))
 
 
+@query
+def page_model_variant(spark, sf_dir):
+    """The same fields out of a model whose shape is not given."""
+    read = detail_src(spark, sf_dir).select("listing_no", page_variant(F.col("html")).alias("model"))
+    return read.select("listing_no", *variant_fields(F.col("model"), strict_price=False))
+
+
+@query
+def model_paths(spark, sf_dir):
+    """Nested, missing and mistyped leaves of the page model."""
+    model = F.col("model")
+    read = detail_src(spark, sf_dir).select("listing_no", page_variant(F.col("html")).alias("model"))
+    return read.select(
+        "listing_no",
+        leaf(model, "propertyData.address.outcode").alias("outcode"),
+        leaf(model, "propertyData.sizings[1].display").alias("second_size"),
+        leaf(model, "propertyData.address.country").alias("no_leaf"),
+        leaf(model, "propertyData.bedrooms.number").alias("below_a_leaf"),
+        leaf(model, "propertyData.address.displayAddress", "int").alias("mistyped"),
+        leaf(model, "propertyData.bedrooms", "int").alias("bedrooms"),
+        leaf(model, "analyticsInfo.analyticsProperty.price", "double").alias("price"),
+    )
+
+
 @query
 def page_model_balanced(spark, sf_dir):
     read = with_model(detail_src(spark, sf_dir), "braces")
@@ -627,6 +714,76 @@ def sale_links_run(spark, sf_dir):
     return sales.collected_links(fetched, links, replace(paging.SALE_SERIES, page_size=5))
 
 
+def _sale_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as search pages of twenty locations."""
+    no = F.col("page_id")
+    return table(spark, sf_dir, "pages").select(
+        (no % 20).cast("string").alias("key"),
+        F.floor(no / 20).cast("int").alias("page_idx"),
+        F.lit(200).alias("http_status"),
+        "html",
+        F.lit(None).cast("timestamp").alias("fetched_at"),
+    )
+
+
+def _sale_collection(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two runs: over the first ten locations, then over what the ledger says is left."""
+    folder = work_folder(spark, "sale-collection")
+    urls, events = f"{folder}/urls", f"{folder}/ledger"
+    search = _sale_search(spark, sf_dir)
+    places = spark.range(20).select(F.col("id").cast("string").alias("key"), F.col("id").alias("position"))
+    how = {
+        "links": extract.links_by_anchor(F.col("html"), token=None, path="/", domain=SITE),
+        "rules": replace(paging.SALE_SERIES, page_size=5),
+    }
+    for run_id, limit in (("r1", 10), ("r2", None)):
+        done = ledger.completed(ledgers.read_ledger(spark, events)).select("key")
+        left = ledger.remaining(ledger.first_items(places, limit), done)
+        at = F.lit("2024-05-01 00:00:00")
+        sales.write_collection(spark, search.join(left, "key", "left_semi"), urls, events, run_id, at, **how)
+    return sales.collected_urls(spark, urls), ledgers.read_ledger(spark, events)
+
+
+@query
+def sale_collection(spark, sf_dir):
+    """URLs that two runs collected, each with the run that met it first."""
+    return _sale_collection(spark, sf_dir)[0]
+
+
+@query
+def sale_collection_events(spark, sf_dir):
+    """Locations that the two runs completed."""
+    return _sale_collection(spark, sf_dir)[1].drop("updated_at")
+
+
+def _retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail pages fetched in up to three passes, the run stopped after the second and called again."""
+    folder = work_folder(spark, "sale-retry")
+    details = detail_src(spark, sf_dir)
+    no = F.col("listing_no")
+
+    def fetch(urls: DataFrame, pass_no: int) -> DataFrame:
+        status = F.when(no % (19 * 2 ** (pass_no - 1)) == 0, 503).otherwise(200)
+        return details.join(urls, "url", "left_semi").withColumn("http_status", status)
+
+    urls = sale_src(spark, sf_dir).select("url")
+    sales.retry_run(urls, fetch, folder, last=2)
+    return sales.retry_run(urls, fetch, folder)
+
+
+@query
+def sale_retry_run(spark, sf_dir):
+    """The row that counts of every URL after all passes."""
+    rows = sales.resolved(_retried(spark, sf_dir))
+    return rows.withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
+
+
+@query
+def sale_retry_failures(spark, sf_dir):
+    """URLs that failed in all three passes."""
+    return retry.final_failures(_retried(spark, sf_dir))
+
+
 # ---- duplicates --------------------------------------------------------------------------
 
 

@@ -49,7 +49,9 @@ def _fields(file: pq.ParquetFile) -> str | None:
     """Columns of a file (name and type, as JSON); None for a file without rows."""
     if file.metadata.num_rows == 0:
         return None
-    columns = [(c.name, spark_type(c.type)) for c in file.schema_arrow]
+    # the old 96-bit times are instants, which Spark reads itself
+    old = {file.schema.column(i).name for i in range(len(file.schema)) if file.schema.column(i).physical_type == "INT96"}
+    columns = [(c.name, "timestamp" if c.name in old else spark_type(c.type)) for c in file.schema_arrow]
     return json.dumps(sorted((n, k) for n, k in columns if k))
 
 
@@ -73,7 +75,7 @@ def read_those(fields: str, schema: pa.Schema, rows: int = 10_000):
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with _open(path) as source:
-                    file = pq.ParquetFile(source)
+                    file = pq.ParquetFile(source, coerce_int96_timestamp_unit="us")
                     if _fields(file) != fields:
                         continue
                     for part in file.iter_batches(rows, columns=schema.names):

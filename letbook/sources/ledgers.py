@@ -57,14 +57,19 @@ def state_urls(spark: SparkSession, path: str) -> DataFrame:
     return _listed(_state(spark, path), F.col("collected_urls")).withColumnRenamed("key", "url").distinct()
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Events of the ledger table, in whatever folders; a missing table is an empty ledger."""
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table by its schema; one that is not there has no rows."""
     try:
-        return spark.read.schema(schemas.LEDGER).parquet(path).select(*_EVENT)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schemas.LEDGER)
+        return spark.createDataFrame([], schema)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Events of the ledger table, in whatever folders; a missing table is an empty ledger."""
+    return read_or_empty(spark, path, schemas.LEDGER).select(*_EVENT)
 
 
 def append_ledger(events: DataFrame, path: str) -> None:

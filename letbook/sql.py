@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from letbook.fixed import ROOM_VIEW, SALE_VIEW
 
-# threads of one session share its views
-_ONE_AT_A_TIME = threading.RLock()
-
 
 def register(tables: Mapping[str, DataFrame]) -> None:
     """Temporary views by name; empty tables are registered too."""
@@ -24,23 +20,16 @@ def register_listings(sale: DataFrame, room: DataFrame) -> None:
     register({"sale_listings": sale, SALE_VIEW: sale, "room_listings": room, ROOM_VIEW: room})
 
 
-def _is_view(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
-
-
-def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The result of one query over the given tables, as it is.
+def run_sql(
+    spark: SparkSession, text: str, tables: Mapping[str, DataFrame], values: Mapping[str, object] | None = None
+) -> DataFrame:
+    """The result of one query over the given tables, as it is; `:name` in the text stands for a value.
 
-    The views exist only while the text is analysed; afterwards a session's own views of
-    the same names are back. Anything but a query is a syntax error, as the text stands
-    where only a query may.
+    Tables are named by common table expressions of the one statement, so nothing is shared between threads and
+    a session's own views stay as they are. Anything but a query is a syntax error, as the text stands where
+    only a query may.
     """
-    with _ONE_AT_A_TIME:
-        before = {name: spark.table(name) for name in tables if _is_view(spark, name)}
-        register(tables)
-        try:
-            return spark.sql(f"SELECT * FROM (\n{text.strip().rstrip(';')}\n)")
-        finally:
-            for name in tables:
-                spark.catalog.dropTempView(name)
-            register(before)
+    named = ", ".join(f"`{name}` AS (SELECT * FROM {{table_{i}}})" for i, name in enumerate(tables))
+    query = text.strip().rstrip(";").replace("{", "{{").replace("}", "}}")
+    statement = f"{'WITH ' if named else ''}{named} SELECT * FROM (\n{query}\n)"
+    return spark.sql(statement, args=dict(values or {}), **{f"table_{i}": rows for i, rows in enumerate(tables.values())})
