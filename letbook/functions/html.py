@@ -16,11 +16,13 @@ from letbook.functions.text import strip
 # A character that HTML does not allow. Cutting at one plain character is far cheaper than
 # cutting at a pattern, which Spark compiles anew for every value.
 _CUT = "\x00"
-# The rest of a tag: a `>` inside quotes does not end it.
-_REST = r"""[^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+"""
-_SOME = r"""[^>"']*?(?:(?:"[^"]*"|'[^']*')[^>"']*?)*?"""
+# The rest of a tag: a `>` inside quotes does not end it. A quote opens a value only after an equals sign.
+_REST = r"""[^>=]*+(?:=\s*+(?:"[^"]*"|'[^']*'|["']?)[^>=]*+)*+"""
+_SOME = r"""[^>=]*?(?:=\s*(?:"[^"]*"|'[^']*'|(?!["'\s]))[^>=]*?)*?"""
 # Names with their semicolon, and the old ones that need none.
 _NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+# The names that pages use most; looking a name up takes as long as the list.
+_USUAL = {n: _NAMED[n] for n in "amp lt gt quot apos nbsp pound euro copy reg trade hellip ndash mdash lsquo rsquo ldquo rdquo bull middot".split()}
 _BARE = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
 _ENTITY = "&(?:#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])"
 # Numbers that stand for characters of another code page.
@@ -98,7 +100,7 @@ def unescape(text: Column, in_attribute: bool = False) -> Column:
     """
     guard = "(?![A-Za-z0-9=])" if in_attribute else ""
     bare = f"^&({'|'.join(_BARE)}){guard}"
-    named, legacy = _text_map(_NAMED), _text_map({n: html5[n] for n in _BARE})
+    usual, named, legacy = _text_map(_USUAL), _text_map(_NAMED), _text_map({n: html5[n] for n in _BARE})
     windows = F.create_map(*[F.lit(x) for pair in sorted(_WINDOWS.items()) for x in pair])
     unknown = F.lit("\ufffd")
 
@@ -117,7 +119,7 @@ def unescape(text: Column, in_attribute: bool = False) -> Column:
         name = F.regexp_extract(piece, "^&([A-Za-z][A-Za-z0-9]*);", 1)
         old = F.regexp_extract(piece, bare, 1)
         return F.coalesce(
-            F.concat(F.try_element_at(named, name), F.substr(piece, F.length(name) + 3)),
+            F.concat(F.coalesce(F.try_element_at(usual, name), F.try_element_at(named, name)), F.substr(piece, F.length(name) + 3)),
             F.concat(F.try_element_at(legacy, old), F.substr(piece, F.length(old) + 2)),
             piece,
         )
@@ -152,7 +154,7 @@ def element_text(html: Column, tag: str, token: str | None = None, joiner: str =
 
 def attribute(markup: Column, name: str) -> Column:
     """Value of an attribute in an opening tag; NULL when absent, empty text when empty."""
-    pattern = rf"""(?s)^<{_SOME}\s(?i:{name})\s*=\s*(["']?)((?<=")[^"]*|(?<=')[^']*|[^\s>"']+)"""
+    pattern = rf"""(?s)^<{_SOME}\s(?i:{name})\s*=\s*(["']?)((?<=")[^"]*|(?<=')[^']*|[^\s>"'][^\s>]*)"""
     return unescape(F.get(F.regexp_extract_all(markup, F.lit(pattern), F.lit(2)), F.lit(0)), in_attribute=True)
 
 

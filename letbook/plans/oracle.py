@@ -337,6 +337,9 @@ FROM orders""",
     "location_list": """
 SELECT upper(n_name) AS key, min(CAST(n_nationkey AS BIGINT)) AS position FROM nation GROUP BY upper(n_name)""",
     "location_csv": "SELECT DISTINCT upper(n_name) AS key FROM nation",
+    "url_files": f"""
+WITH {ATTEMPTS}
+SELECT url FROM attempts_src WHERE length(url) % 3 <> 0 GROUP BY url HAVING max(pass_no) = 3 AND NOT bool_or(ok)""",
     "ledger_state": """
 SELECT 'docs' AS source, CAST(doc_id AS VARCHAR) AS key,
        CASE WHEN quality = 1 THEN 'completed' ELSE 'failed' END AS status, 'r0' AS run_id

@@ -450,7 +450,8 @@ def url_files(spark, sf_dir):
     """Failed URLs of two workers and a file of another name, read by the name pattern."""
     folder = work_folder(spark, "failed")
     failed = retry.final_failures(attempts_src(spark, sf_dir))
-    named = F.when(F.crc32("url") % 3 == 0, "other").otherwise(F.concat(F.lit("failed_urls_worker"), (F.crc32("url") % 3).cast("string")))
+    part = F.length("url") % 3
+    named = F.when(part == 0, "other").otherwise(F.concat(F.lit("failed_urls_worker"), part.cast("string")))
     for name in ("failed_urls_worker1", "failed_urls_worker2", "other"):
         write_url_list(failed.where(named == name), f"{folder}/worker={name}/{name}.txt")
     # each of the three is a folder of text parts, as Spark writes them

@@ -2,6 +2,8 @@ import html as stdlib_html
 import random
 
 
+from pyspark.sql import functions as F
+
 from dom import parse
 from letbook.fixed import ROOM_DOMAIN
 from letbook.functions import html as H
@@ -196,3 +198,20 @@ def test_entities_as_the_standard_library_has_them(spark, apply):
     values += ["&eacute;&Eacute&eacut &thetasym; &ThickSpace;&fjlig; &#13; plain", "no entity", ""]
     got = apply(values, lambda c: H.unescape(c))
     assert got == [stdlib_html.unescape(v) for v in values]
+
+
+def test_quotes_that_open_no_value(spark):
+    """An apostrophe inside an unquoted value, or anywhere but after an equals sign, is a character like any other."""
+    pages = [
+        "<li class=listing-result title=O'Brien><a class=listing-card__link data-o=it's href=/r?flatshare_id=7&q=O'B>x</a>"
+        "<p class=listing-card__location title=O'Brien>Area</p></li>",
+        """<li data-x="a 'b > c" class='listing-result'><a href='/r?flatshare_id=8' class="listing-card__link" x='"'>x</a>"""
+        """<p title = "it's > that" class = listing-card__location>Near 'it'</p></li>""",
+        """<li ' class="listing-result"><a " href="/r?flatshare_id=9" class="listing-card__link">x</a></li>""",
+    ]
+    given = spark.createDataFrame([(i, 0, None, p) for i, p in enumerate(pages)], "key int, page_idx int, fetched_at timestamp, html string")
+    got = [(r.flatshare_id, r.location) for r in extract.room_cards(given).orderBy("postcode").collect()]
+    assert got == [("7", "Area"), ("8", "Near 'it'"), ("9", None)]
+    link = """<a class=propertyCard-link title=O'Brien href=/properties/5#x>p</a><a href="/properties/6" class='propertyCard-link'>q</a>"""
+    rows = spark.createDataFrame([(link,)], "html string").select(extract.links_by_anchor(F.col("html")).alias("links"))
+    assert [u.rsplit("/", 1)[1] for u in rows.first().links] == ["5", "6"]
