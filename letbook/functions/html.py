@@ -87,9 +87,8 @@ def balanced(markup: Column, tag: str) -> Column:
 
 def visible(html: Column) -> Column:
     """The page without comments, scripts, styles and the cutting character."""
-    return F.regexp_replace(
-        html, rf"(?is)<!--.*?-->|<(script|style)(?=[\s>])[^>]*>.*?</\1\s*>|{_CUT}", ""
-    )
+    hidden = r"(?s)<(?:!--.*?-->|(?i:(script|style)(?=[\s>])[^>]*>.*?</\1\s*>))"
+    return F.regexp_replace(F.translate(html, _CUT, ""), hidden, "")
 
 
 def unescape(text: Column, in_attribute: bool = False) -> Column:
@@ -131,7 +130,7 @@ def unescape(text: Column, in_attribute: bool = False) -> Column:
         )
 
     # cut in front of each entity, a piece has at most one, at its start
-    pieces = F.split(F.regexp_replace(text, f"(?={_ENTITY})", _CUT), _CUT)
+    pieces = F.split(F.regexp_replace(text, f"({_ENTITY})", f"{_CUT}$1"), _CUT)
     return F.when(text.contains("&"), F.array_join(F.transform(pieces, resolve), "")).otherwise(text)
 
 
@@ -168,7 +167,7 @@ def blocks(html: Column, tag: str, token: str | None = None) -> Column:
     The page is cut in front of every opening tag, so an element inside another one gets
     its own piece. A piece ends with its element when that is closed within it.
     """
-    marked = F.regexp_replace(html, f"(?={opening(tag, token)})", _CUT)
+    marked = F.regexp_replace(html, f"({opening(tag, token)})", f"{_CUT}$1")
     # what comes before the first mark is no element
     pieces = F.split(marked, _CUT)
     return F.transform(F.filter(pieces, lambda p, i: i > 0), lambda p: balanced(p, tag))
