@@ -1,12 +1,15 @@
 """Cost-balanced packing of tokenised documents into sequences.
 
-Every partition is packed by itself, in blocks of documents, so nothing is shuffled. In a block, full sequences are
-cut from long documents as they are; of the rest, pieces go in descending order of cost (`linear` per token plus
-`quadratic` per pair of tokens, as attention has it) each to the sequence of lowest cost so far that has room. A piece
-that fits nowhere is cut at the room left. The open sequences of a block have room for exactly its tokens: as many
-full lengths as needed, then powers of two, which need no padding; so no padding is left at all.
+Every partition is packed by itself, in blocks of documents. Full sequences are cut from long documents as they are; of
+the rest, pieces go in descending order of cost (`linear` per token plus `quadratic` per pair of tokens, as attention
+has it) each to the sequence of lowest cost so far that has room. A piece that fits nowhere is cut at the most room
+left. All sequences of a block are full; the tokens it leaves over, fewer than one sequence, go on to the next block.
+What partitions leave over is a small table, packed in the same way by a last pass in a few groups of its own; only
+there the end of a group fills powers of two, which need no padding. So no padding is left at all, and how many short
+sequences there are does not depend on the input's partitions.
 
-`sequence_id` is the partition number and a counter within it, so it is the same when a lost task runs again.
+`sequence_id` is the partition number and a counter within it, with a bit of its own in the last pass. The pieces of the
+first pass are stored in the shared folder, so that no text is tokenised twice.
 
 Defined cases: a null or empty text has no tokens but the closing id, so it is a piece of one token; repeated rows
 are packed as documents of their own; a text of any length is cut into as many pieces as it needs; no rows give no
@@ -26,36 +29,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Distinct words whose ids are kept while tokenising; then the memory starts anew.
-CACHE_WORDS = 250_000
+from .frames import keep
+
 #: Documents and tokens after which a block is packed.
 BLOCK_DOCS, BLOCK_TOKENS = 4096, 8_000_000
-
-
-class _Whole(Exception):
-    """A text whose white space does not let its words be encoded one by one."""
-
-
-class _Words(dict):
-    """Ids of words with the blank before them, each encoded when it is first asked for."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _Whole
-        ids = self[word] = self.encode(" " + word)
-        return ids
+#: Input partitions whose remainders, less than a sequence each, are packed together at the end.
+TAIL_PARTITIONS = 4096
+#: Bit of sequence ids that the last pass gives.
+LAST_PASS = 1 << 61
 
 
 class Encoder:
     """Ids as the tokenizer file has them, as little-endian 32-bit bytes.
 
     The file's vocabulary is read once and run by the faster of the two libraries for the same byte-level encoding.
-    Its pattern always breaks before a single blank between two other characters, so words are encoded one by one and
-    remembered. Texts with runs of white space are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -75,9 +62,8 @@ class Encoder:
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self._coder = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         self._special = list(special)
-        self._words = _Words(self._whole)
 
-    def _whole(self, text: str) -> bytes:
+    def __call__(self, text: str) -> bytes:
         if any(s in text for s in self._special):
             ids = array("I", self._coder.encode(text, allowed_special="all"))
         else:
@@ -86,17 +72,6 @@ class Encoder:
             ids.byteswap()
         return ids.tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        if len(self._words) > CACHE_WORDS:
-            self._words.clear()
-        first, *words = text.split(" ")
-        if first[-1:].isspace():
-            return self._whole(text)
-        try:
-            return self._whole(first) + b"".join(map(self._words.__getitem__, words))
-        except _Whole:
-            return self._whole(text)
-
 
 def capacities(total: int, size: int) -> list[int]:
     """Sequence lengths that sum to the total: full ones, then falling powers of two."""
@@ -104,43 +79,99 @@ def capacities(total: int, size: int) -> list[int]:
     return [size] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
-    """Pieces as (document, start, length, sequence, offset), sequences numbered from 0 without gaps."""
-    out, tails, sequence = [], [], 0
-    for i, n in enumerate(lengths):
-        for start in range(0, n - n % size, size):
-            out.append((i, start, size, sequence, 0))
-            sequence += 1
-        if n % size:
-            tails.append((n % size, i, n - n % size))
-    room = capacities(sum(t[0] for t in tails), size)
-    used = [0] * len(room)
-    open_ = [(0.0, s) for s in range(len(room))]  # (cost, sequence): a heap
+class _Rooms:
+    """Open sequences by the room that is left, with the cheapest one of each room."""
+
+    def __init__(self, size: int):
+        self._heaps: list[list] = [[] for _ in range(size + 1)]
+        self._leaves = 1 << size.bit_length()
+        self._least: list = [None] * (2 * self._leaves)
+
+    def _mend(self, room: int) -> None:
+        at, heap = self._leaves + room, self._heaps[room]
+        self._least[at] = (*heap[0], room) if heap else None
+        while at > 1:
+            at >>= 1
+            a, b = self._least[2 * at], self._least[2 * at + 1]
+            self._least[at] = b if a is None else a if b is None or a < b else b
+
+    def put(self, room: int, cost: float, sequence: int) -> None:
+        heapq.heappush(self._heaps[room], (cost, sequence))
+        self._mend(room)
+
+    def take(self, need: int) -> tuple[float, int, int] | None:
+        """The cheapest (cost, sequence, room) with at least that room, removed; None if there is none."""
+        best, at, end = None, self._leaves + need, 2 * self._leaves
+        while at < end:  # the nodes that cover all rooms from `need` on
+            if at & 1:
+                found = self._least[at]
+                if found is not None and (best is None or found < best):
+                    best = found
+                at += 1
+            at >>= 1
+            end >>= 1
+        if best is not None:
+            heapq.heappop(self._heaps[best[2]])
+            self._mend(best[2])
+        return best
+
+    def largest(self) -> int:
+        """The most room that a sequence has."""
+        return next((r for r in range(len(self._heaps) - 1, 0, -1) if self._heaps[r]), 0)
+
+
+def place(
+    tails: list[tuple[int, int, int]], room: list[int], size: int, linear: float, quadratic: float
+) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]]]:
+    """Pieces (document, start, length, sequence, offset) of tails (length, document, start), and tails without room.
+
+    In descending order of length, which is that of cost, each goes to the cheapest sequence with room for it; one
+    that fits nowhere is cut at the most room there is.
+    """
+    out, left, rooms, used = [], [], _Rooms(size), [0] * len(room)
+    for s, r in enumerate(room):
+        rooms.put(r, 0.0, s)
     todo = [(-n, i, start) for n, i, start in tails]
     heapq.heapify(todo)
     while todo:
         n, i, start = heapq.heappop(todo)
-        n, passed, spot = -n, [], None
-        while open_:
-            cost, s = heapq.heappop(open_)
-            if room[s] - used[s] >= n:
-                spot = (cost, s)
-                break
-            passed.append((cost, s))
-        if spot is None:  # fits nowhere: the sequence with most room takes what it can
-            spot = max(passed, key=lambda p: (room[p[1]] - used[p[1]], -p[1]))
-            passed.remove(spot)
-        for p in passed:
-            heapq.heappush(open_, p)
-        cost, s = spot
-        take = min(n, room[s] - used[s])
-        out.append((i, start, take, sequence + s, used[s]))
+        n = -n
+        spot = rooms.take(n)
+        if spot is None:
+            most = rooms.largest()
+            if not most:
+                left.append((n, i, start))
+                continue
+            spot = rooms.take(most)
+        cost, s, free = spot
+        take = min(n, free)
+        out.append((i, start, take, s, used[s]))
         used[s] += take
-        if used[s] < room[s]:
-            heapq.heappush(open_, (cost + linear * take + quadratic * take * take, s))
+        if take < free:
+            rooms.put(free - take, cost + linear * take + quadratic * take * take, s)
         if take < n:
             heapq.heappush(todo, (take - n, i, start + take))
-    return out
+    return out, left
+
+
+def assign(
+    lengths: list[int], size: int, linear: float, quadratic: float, last: bool = True
+) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]]]:
+    """Pieces as (document, start, length, sequence, offset), sequences numbered from 0 without gaps.
+
+    All sequences are full; what is left over, less than one, fills falling powers of two or, if this is not the
+    last pass, is handed back as (length, document, start).
+    """
+    out, tails, sequence = [], [], 0
+    for i, n in enumerate(lengths):
+        for start in range(0, n - n % size, size):
+            out.append((i, start, size, sequence, 0))
+            sequence += 1
+        if n % size:
+            tails.append((n % size, i, n - n % size))
+    total = sum(t[0] for t in tails)
+    pieces, left = place(tails, capacities(total if last else total - total % size, size), size, linear, quadratic)
+    return out + [(i, start, n, sequence + s, offset) for i, start, n, s, offset in pieces], left
 
 
 def pack(
@@ -156,46 +187,64 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     kind = documents.schema[id_column].dataType
-    id_type = to_arrow_type(kind)
-
-    def packed(docs: list, ids: list[bytes], first: int):
-        parts = assign([len(x) // 4 for x in ids], size, linear, quadratic)
-        columns = (
-            [docs[p[0]] for p in parts],
-            [p[1] for p in parts],
-            [p[2] for p in parts],
-            [ids[p[0]][4 * p[1] : 4 * (p[1] + p[2])] for p in parts],
-            [len(ids[p[0]]) // 4 for p in parts],
-            [first + p[3] for p in parts],
-            [p[4] for p in parts],
-        )
-        long = pa.int64()
-        kinds = (id_type, long, long, pa.binary(), long, long, long)
-        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names), first + max(p[3] for p in parts) + 1
-
-    def run(batches):
+    long = pa.int64()
+    schema = pa.schema(list(zip(names, (to_arrow_type(kind), long, long, pa.binary(), long, long, long), strict=True)))
+    ddl = f"doc_id {kind.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+
+    def packed(items: list[tuple], first: int, last: bool):
+        """Rows of items (id, start in the document, ids, the document's tokens), the next number, items left over."""
+        parts, left = assign([len(x[2]) // 4 for x in items], size, linear, quadratic, last)
+
+        def cut(i: int, start: int, n: int) -> tuple:
+            doc, begin, ids, total = items[i]
+            return doc, begin + start, ids[4 * start : 4 * (start + n)], total
+
+        rows = [(*cut(i, start, n), n, first + s, offset) for i, start, n, s, offset in parts]
+        order = (0, 1, 4, 2, 3, 5, 6)
+        arrays = [pa.array([r[k] for r in rows], f.type) for k, f in zip(order, schema, strict=True)]
+        number = max((p[3] for p in parts), default=-1) + 1
+        return pa.RecordBatch.from_arrays(arrays, schema=schema), first + number, [cut(i, start, n) for n, i, start in left]
+
+    def blocks(items, first: int, last: bool):
+        """Rows of all items, in blocks; what one block leaves over goes to the next."""
+        block, tokens = [], 0
+        for item in items:
+            block.append(item)
+            tokens += len(item[2]) // 4
+            if len(block) >= BLOCK_DOCS or tokens >= BLOCK_TOKENS:
+                rows, first, block = packed(block, first, False)
+                tokens = sum(len(x[2]) // 4 for x in block)
+                yield rows
+        if block:
+            rows, first, left = packed(block, first, last)
+            yield rows
+            if left:  # no sequence yet
+                arrays = zip(*[(doc, start, len(ids) // 4, ids, total, None, None) for doc, start, ids, total in left], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
+
+    def first_pass(batches):
         encode = Encoder(tokenizer)
-        counter = TaskContext.get().partitionId() << 33
-        docs, ids, tokens = [], [], 0
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                docs.append(doc)
-                ids.append(encode(text or "") + end)
-                tokens += len(ids[-1]) // 4
-                if len(ids) >= BLOCK_DOCS or tokens >= BLOCK_TOKENS:
-                    packed_rows, counter = packed(docs, ids, counter)
-                    yield packed_rows
-                    docs, ids, tokens = [], [], 0
-        if ids:
-            packed_rows, counter = packed(docs, ids, counter)
-            yield packed_rows
-
-    return (
-        documents.select(F.col(id_column).alias("doc_id"), "text")
-        .mapInArrow(
-            run,
-            f"doc_id {kind.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
-        )
-        .withColumnRenamed("doc_id", id_column)
-    )
+
+        def items():
+            for batch in batches:
+                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    ids = encode(text or "") + end
+                    yield doc, 0, ids, len(ids) // 4
+
+        yield from blocks(items(), TaskContext.get().partitionId() << 33, False)
+
+    def last_pass(batches):
+        def items():
+            for batch in batches:
+                yield from zip(*[batch.column(c).to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens")], strict=True)
+
+        yield from blocks(items(), LAST_PASS | TaskContext.get().partitionId() << 33, True)
+
+    texts = documents.select(F.col(id_column).alias("doc_id"), "text")
+    tokenised = keep(texts.mapInArrow(first_pass, ddl), "packed")
+    open_ = tokenised.where("sequence_id IS NULL")
+    # a partition leaves less than one sequence
+    most = open_.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    groups = max(1, most // (size * TAIL_PARTITIONS))
+    tails = open_.repartition(groups, "doc_id", "start").sortWithinPartitions("doc_id", "start", "ids").mapInArrow(last_pass, ddl)
+    return tokenised.where("sequence_id IS NOT NULL").unionByName(tails).withColumnRenamed("doc_id", id_column)

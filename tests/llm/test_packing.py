@@ -55,7 +55,9 @@ def test_cost_is_balanced():
     rng = random.Random(2)
     lengths = [rng.randrange(1, 900) for _ in range(2000)]
     cost, used = defaultdict(float), defaultdict(int)
-    for _, _, n, s, _ in packing.assign(lengths, 1024, 1.0, 1 / 1024):
+    pieces, left = packing.assign(lengths, 1024, 1.0, 1 / 1024)
+    assert not left
+    for _, _, n, s, _ in pieces:
         cost[s] += n + n * n / 1024
         used[s] += n
     full = [cost[s] for s in used if used[s] == 1024]
@@ -68,3 +70,29 @@ def test_odd(odd):
     pieces = packing.pack(odd, PATH)
     assert pieces.where("start = 0").count() == odd.count()
     assert packing.pack(odd.limit(0), PATH).count() == 0
+
+
+def test_the_cheapest_sequence_with_room():
+    """Each choice beside a search through all sequences."""
+    rng = random.Random(3)
+    lengths = [rng.randrange(1, 64) for _ in range(400)]
+    total = sum(lengths)
+    room = packing.capacities(total, 64)
+    pieces, left = packing.place([(n, i, 0) for i, n in enumerate(lengths)], room, 64, 1.0, 1 / 8)
+    assert not left and sum(p[2] for p in pieces) == total
+    free, cost = list(room), [0.0] * len(room)
+    for i, start, n, s, offset in pieces:
+        wanted = lengths[i] - start
+        fit = [(cost[k], k) for k in range(len(room)) if free[k] >= wanted]
+        assert offset == room[s] - free[s]
+        assert (n == wanted and (cost[s], s) == min(fit)) if fit else free[s] == n == max(free)
+        free[s] -= n
+        cost[s] += n + n * n / 8
+
+
+def test_short_sequences_do_not_grow_with_partitions(documents):
+    few, many = (
+        packing.pack(documents.repartition(n), PATH).groupBy("sequence_id").agg({"length": "sum"}).collect() for n in (1, 40)
+    )
+    short = [sum(r["sum(length)"] < 1024 for r in rows) for rows in (few, many)]
+    assert short[0] <= 10 and short[1] <= 10 and abs(len(few) - len(many)) <= 10
