@@ -5,9 +5,10 @@ one's length allows (`max_edits`: one number, or pairs of a length and the edits
 a group (smallest id, then place in the document) stays. Equal lines are one from the start. Of the rest, every line
 is cut into its edits + 1 segments, at least one of which an edited copy still holds; each line looks its possible
 substrings up among the segments of lines shorter by as many characters as edits, at the few places where a copy's
-segment can be. Lines that share a segment are compared by pieces of the part that did not match (one edit) or by
-which characters occur an odd number of times (more), then by the banded bit-parallel edit distance, and links are
-grouped by connected components.
+segment can be. Bitmaps of all segments, bounded in size, drop most of these substrings before anything is shuffled.
+Lines that share a segment are compared by pieces of the part that did not match (one edit) or by which characters
+occur an odd number of times (more), then by the banded bit-parallel edit distance, and links are grouped by connected
+components.
 
 Defined cases: null and empty texts are one empty line, which stays; lines shorter than `min_chars` stay; a null id
 comes first; rows with equal id and text are one document for the choice of the first line, so all of them keep it;
@@ -46,6 +47,10 @@ def _inside(length: Column, low: int, end: int | None) -> Column:
 
 #: More than the probes of a class.
 FORMS = 1000
+#: Blocks are told apart by so many bits of a hash; pairs are verified anyway.
+BLOCKS = 1 << 48
+#: Bits that say which segments there are: 64 MB at most.
+MOST_BITS = 1 << 29
 
 
 def _probes(edits: int) -> list[tuple[int, int, int]]:
@@ -58,26 +63,69 @@ def _probes(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment_keys(text: Column, length: Column, max_edits: Edits) -> Column:
-    """Array of (block, form): hashes of the segments and probes of a line; form is edits * FORMS + the number of the probe.
+def segment_rows(lines: DataFrame, max_edits: Edits, own: bool) -> DataFrame:
+    """(no, block, form) of lines (no, line): their own segments, or the substrings they look up among other lines'.
 
-    Block is null where the shorter line's length is outside the class of the edits.
+    A block names a segment's number, text and the length of its line; form is edits * FORMS + the number of the probe.
+    The list of probes is a constant that rows are multiplied by, so that each is computed in compiled code.
     """
-    every = []
+    n = F.col("n")
+    lists = []
     for low, end, edits in edit_classes(max_edits):
-        keys = []
-        for form, (diff, i, shift) in enumerate(_probes(edits)):
-            target = length - diff
-            begin = F.floor(target * i / (edits + 1)).cast("int")
-            size = F.floor(target * (i + 1) / (edits + 1)).cast("int") - begin
-            part = F.substring(text, begin + (shift + 1), size)
-            block = F.when(_inside(target, low, end), F.xxhash64(target, F.lit(i), part))
-            keys.append(F.struct(block.alias("block"), F.lit(edits * FORMS + form).alias("form")))
-        some = F.array(*keys)
+        probes = [
+            F.struct(
+                F.lit(low).alias("low"),
+                F.lit(2**31 - 1 if end is None else end).alias("end"),
+                F.lit(edits).alias("edits"),
+                F.lit(edits * FORMS + form).alias("form"),
+                F.lit(diff).alias("diff"),
+                F.lit(i).alias("i"),
+                F.lit(shift).alias("shift"),
+            )
+            for form, (diff, i, shift) in enumerate(_probes(edits))
+            if (diff == shift == 0) == own
+        ]
         # a line looks for shorter ones of the class below, too
-        here = _inside(length, low, None if end is None else end + edits)
-        every.append(F.when(here, some).otherwise(F.array().cast("array<struct<block:bigint,form:int>>")))
-    return F.concat(*every)
+        here = _inside(n, low, None if end is None else end + edits)
+        lists.append(F.when(here, F.array(*probes)).otherwise(F.slice(F.array(*probes), 1, 0)))
+    made = lines.select("no", "line", F.length("line").alias("n")).select("no", "line", "n", F.explode(F.concat(*lists)).alias("p"))
+    target = n - F.col("p.diff")
+    begin = F.floor(target * F.col("p.i") / (F.col("p.edits") + 1)).cast("int")
+    size = F.floor(target * (F.col("p.i") + 1) / (F.col("p.edits") + 1)).cast("int") - begin
+    part = F.substring("line", begin + F.col("p.shift") + 1, size)
+    block = F.xxhash64(target, F.col("p.i"), part).bitwiseAND(F.lit(BLOCKS - 1))
+    return made.where((target >= F.col("p.low")) & (target < F.col("p.end"))).select("no", block.alias("block"), F.col("p.form").alias("form"))
+
+
+def _bitmap(block: Column, bits: int) -> tuple[Column, Column]:
+    """Number of the 4 KB bitmap and the bit in it that stand for a block."""
+    place = block.bitwiseAND(F.lit(bits - 1))
+    return F.shiftright(place, 15).alias("bucket"), place.bitwiseAND(F.lit(32767)).cast("int")
+
+
+def met_segments(segments: DataFrame, bits: int) -> DataFrame:
+    """(bucket, words): bitmaps of all segments' blocks, as words of 64 bits; at most bits / 8 bytes together."""
+    bucket, bit = _bitmap(F.col("block"), bits)
+    maps = segments.select(bucket, bit.cast("long").alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+    word = lambda i: F.conv(F.hex(F.substring("map", i * 8 + 1, F.lit(8))), 16, -10).cast("long")
+    return maps.select("bucket", F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias("words"))
+
+
+def segment_keys(lines: DataFrame, max_edits: Edits) -> DataFrame:
+    """(no, block, form): all lines' segments, and of their probes those that some line has as a segment.
+
+    Probes are told by bitmaps, whose size is bounded: a longer table lets more probes through that no segment meets.
+    """
+    segments = segment_rows(lines, max_edits, own=True)
+    some = lines.count() * (edit_classes(max_edits)[-1][2] + 1) * 16
+    bits = min(max(1 << some.bit_length(), 1 << 15), MOST_BITS)
+    bucket, bit = _bitmap(F.col("block"), bits)
+    probes = segment_rows(lines, max_edits, own=False).withColumns({"bucket": bucket, "bit": bit})
+    # byte by byte from the lowest bit, the words from the highest byte
+    in_word = 56 - (F.shiftright("bit", 3) % 8) * 8 + F.col("bit") % 8
+    met = F.shiftright("bit", 6)
+    hit = probes.join(F.broadcast(met_segments(segments, bits)), "bucket").where(F.bit_get(F.get("words", met), in_word) == 1)
+    return segments.unionByName(hit.select("no", "block", "form"))
 
 
 def odd_characters(text: Column) -> Column:
@@ -183,6 +231,14 @@ def within_edits(left: Column, right: Column, max_edits: Edits) -> Column:
     return out.otherwise(F.lit(False))
 
 
+#: Two hashes that together name a line.
+IDENTITY = ("line_id", "line_id2")
+
+
+def _identity(line: str) -> list[Column]:
+    return [F.xxhash64(line).alias("line_id"), F.xxhash64(F.lit("second"), line).alias("line_id2")]
+
+
 def _occurrences(documents: DataFrame, id_column: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return documents.select(
@@ -193,22 +249,20 @@ def _occurrences(documents: DataFrame, id_column: str) -> DataFrame:
 def line_classes(
     documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: Edits = MAX_EDITS, id_column: str = "doc_id"
 ) -> DataFrame:
-    """(line_id, n, first, class): every distinct long line, its count, its first place and its group's smallest line_id."""
+    """(line_id, line_id2, n, first, class): every distinct long line, its count, its first place and its group's number."""
     lines = keep(
         _occurrences(documents, id_column)
         .where(F.length("line") >= _least_length(min_chars, max_edits))
-        .groupBy(F.xxhash64("line").alias("line_id"))
-        .agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")),
+        .groupBy(*_identity("line"))
+        .agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n"))
+        .withColumn("no", F.monotonically_increasing_id()),
         "lines",
     )
-    keys = lines.select(
-        F.col("line_id").alias("id"),
-        F.explode(let(F.length("line"), lambda n: segment_keys(F.col("line"), n, max_edits))).alias("k"),
-    ).select("k.block", "k.form", "id").where("block is not null")
+    keys = keep(segment_keys(lines.select("no", "line"), max_edits).withColumnRenamed("no", "id"), "keys")
     shared = keys.groupBy("block").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = keep(keys.join(shared.select("block"), "block"), "members")
     texts = keep(
-        lines.select(F.col("line_id").alias("id"), "line")
+        lines.select(F.col("no").alias("id"), "line")
         .join(small(members.select("id").distinct()), "id", "left_semi")
         .withColumn("odd", odd_characters(F.col("line"))),
         "texts",
@@ -230,8 +284,9 @@ def line_classes(
         both = pairs.join(a, "a").join(b, "b")
         return both.where(within_edits(F.col("left"), F.col("right"), max_edits)).select("a", "b")
 
-    label = components(link_blocks(blocks, verify, may)).withColumnRenamed("id", "line_id")
-    return lines.drop("line").join(label, "line_id", "left").withColumn("class", F.coalesce("label", "line_id")).drop("label")
+    label = components(link_blocks(blocks, verify, may)).withColumnRenamed("id", "no")
+    grouped = lines.drop("line").join(label, "no", "left").withColumn("class", F.coalesce("label", "no"))
+    return grouped.select(*IDENTITY, "n", "first", "class")
 
 
 def removed_lines(
@@ -240,12 +295,12 @@ def removed_lines(
     """(doc_id, name, removed): places of the lines that go, for documents that lose any; name is the text's hash."""
     classes = keep(line_classes(documents, min_chars, max_edits, id_column), "classes")
     groups = classes.groupBy("class").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
-    repeated = classes.select("line_id", "class").join(groups.select("class", "first"), "class").drop("class")
+    repeated = classes.select(*IDENTITY, "class").join(groups.select("class", "first"), "class").drop("class")
     return (
         _occurrences(documents, id_column)
         .where(F.length("line") >= _least_length(min_chars, max_edits))
-        .select("doc_id", "name", "pos", F.xxhash64("line").alias("line_id"))
-        .join(repeated, "line_id")
+        .select("doc_id", "name", "pos", *_identity("line"))
+        .join(repeated, list(IDENTITY))
         .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
         .groupBy("doc_id", "name")
         .agg(F.array_sort(F.collect_set("pos")).alias("removed"))
