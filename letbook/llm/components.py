@@ -5,9 +5,11 @@ smallest node it knows, until all links lead straight to a smallest node. Links
 counts reaches the driver. The number of rounds grows with the logarithm of a component's size.
 
 `link_blocks` finds enough verified links to connect all that blocks of candidates connect, without listing all pairs
-of a block. First every member of a block is paired with the block's smallest member, for a few rounds with another
-one where a block still spans several components. The pairs that then remain, those of one block and different
-components not looked at yet, are all listed and verified, so no link between components is lost.
+of a block. First every member of a block is paired with one of the block's members, its head, for a few rounds with
+another one where a block still spans several components. Heads are chosen by a hash of block and member, so that the
+many blocks of one large group have many heads, and most of the group is one component after the first round. The
+pairs that then remain, those of one block and different components not looked at yet, are all listed and verified, so
+no link between components is lost.
 """
 
 from __future__ import annotations
@@ -65,9 +67,13 @@ def link_blocks(
     one, for the rows of blocks that stay open after the first round. `verify` takes candidate pairs (a, b), a < b, and returns those that are links.
     """
     fine = may or (lambda left, right: F.lit(True))
-    first = blocks.groupBy("block").agg(F.min(F.struct("id", "info")).alias("head"), F.max("id").alias("top"))
+
+    def chosen(turn: int, *fields: str):
+        return F.min(F.struct(F.xxhash64("block", "id", F.lit(turn)).alias("draw"), *fields)).alias("head")
+
+    first = blocks.groupBy("block").agg(chosen(0, "id", "info"), F.min("id").alias("low"), F.max("id").alias("high"))
     members = keep(
-        blocks.join(first.where("head.id < top").select("block", "head"), "block"), "members"
+        blocks.join(first.where("low < high").select("block", "head"), "block"), "members"
     )
 
     def star(rows: DataFrame, fine: Callable) -> DataFrame:
@@ -84,7 +90,7 @@ def link_blocks(
     for turn in range(1, rounds + 1):
         label = components(links)
         labelled = keep(
-            members.select("block", "id", "info", F.col("head.id").alias("led"))
+            members.select("block", "id", "info")
             .join(label, "id", "left")
             .withColumn("label", F.coalesce("label", "id")),
             "labelled",
@@ -106,17 +112,14 @@ def link_blocks(
         pairs, rows = open_.agg(F.sum("pairs"), F.sum("n")).first()
         if not rows:
             return links
-        rest = labelled.join(open_.select("block", "low"), "block")
+        rest = labelled.join(open_.select("block"), "block")
         if closer:
             sketches, fine = closer
             rest = rest.drop("info").join(sketches, "id")
         rest = keep(rest, "rest")
         if turn == rounds or pairs <= 4 * rows:
             break
-        # another head: the smallest member outside the component of the first one's label
-        other = (
-            rest.where(F.col("label") != F.col("low")).groupBy("block").agg(F.min(F.struct("id", "info", "label")).alias("head"))
-        )
+        other = rest.groupBy("block").agg(chosen(turn, "id", "info", "label"))
         fresh = keep(
             star(rest.join(other, "block").where(F.col("label") != F.col("head.label")), fine).join(asked, ["a", "b"], "left_anti"),
             "asked",
