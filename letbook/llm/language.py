@@ -16,17 +16,18 @@ a null or repeated id gives a row each; an empty table gives no rows; other colu
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters with the marks on them; fractions, raised figures and numbers in circles are none.
+WORD = regex.compile(r"(?:\p{L}\p{M}*+)+")
 #: Words whose scores are kept in a task besides the model's own.
 CACHE_WORDS = 200_000
 #: Added to every count.
@@ -90,7 +91,7 @@ def fit(
     if not langs:
         return Model([], longest, [], np.empty((0, 0)), [], np.empty((0, 0)))
     rate = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, fit_rows / sizes[k]))])
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit("fit")), F.lit(1_000_000)) / 1e6
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("fit")), F.lit(1_000_000)) / 1e6
     sample = labelled.where(draw < rate[F.col("lang")]).select("lang", "text")
     counts = (
         sample.mapInArrow(_count(longest), "lang string, n int, gram string, c long")

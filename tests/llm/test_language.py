@@ -27,3 +27,13 @@ def test_backoff(spark, odd):
     assert language.predict(empty, model).count() == 0
     none = language.fit(empty.select("doc_id", "text", "lang"))
     assert {r["lang_pred"] for r in language.predict(odd, none).collect()} == {"und"}
+
+
+def test_only_letters_make_words(spark):
+    """Fractions, raised figures and numbers in circles are no letters; marks do not cut words; ids may be texts."""
+    rows = [("a", "the cat and the dog", "en"), ("b", "der hund und die katze", "de"), (None, "der die das", "de")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id string, text string, lang string"))
+    langs, scores, _ = language.score_texts(model, ["½", "²³ ① Ⅻ", "1/2 _ -"])
+    assert langs == ["und"] * 3 and scores == [0.0] * 3
+    assert language.WORD.findall("हिन्दी भाषा x½y") == ["हिन्दी", "भाषा", "x", "y"]
+    assert language.predict(spark.createDataFrame(rows, "doc_id string, text string, lang string"), model).count() == 3

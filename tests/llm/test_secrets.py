@@ -1,6 +1,9 @@
 import base64
+import itertools
+import math
 import random
 import re
+import uuid
 
 from letbook.llm import secret_scan as S
 
@@ -26,9 +29,11 @@ def test_battery_tells_random_from_ordinary():
     rng = random.Random(2)
     even = [base64.b64encode(rng.randbytes(30)).decode() for _ in range(200)]
     plain = [f"the-{rng.choice(['quick', 'brown'])}-version-{i}-of-this-document" for i in range(200)]
-    assert sum(S.battery(t) > 0.01 for t in even) >= 180
-    assert sum((S.battery(t) or 0) > 0.01 for t in plain) <= 40
+    assert sum(S.battery(t)[0] > 0.01 for t in even) >= 180
+    assert sum((S.battery(t) or (0,))[0] > 0.01 for t in plain) <= 40
     assert S.infer("0123abcdef")[0] == "base16" and S.infer("a.b") is None
+    assert S.infer("0123abcd-4567-89ab")[::2] == ("base16", "0123abcd456789ab")
+    assert S.infer("Ab+/Ab-Ab_Ab01Ab9Zz8Yy7Xx")[0] == "base64"
 
 
 def test_scan(spark, odd):
@@ -58,3 +63,27 @@ def test_tokens_after_an_equals_sign(spark):
         4: [(5, 7 + n, "random")],
         5: [(0, 6 + n, "assign")],
     }
+
+
+def test_keys_are_found_and_names_are_not(spark):
+    """Random tokens of several encodings beside names of capitalised words, dates and slugs."""
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = "get user name from data base list item value count total page model index handler factory config number".split()
+    keys = [str(uuid.UUID(int=rng.getrandbits(128), version=4)) for _ in range(300)]
+    keys += ["".join(rng.choices(letters, k=32)) for _ in range(300)]
+    names = ["".join([rng.choice(words), *(rng.choice(words).title() for _ in range(5))]) + str(i) for i in range(600)]
+    names += ["-".join(rng.choices(words, k=5)) + "-2024" for _ in range(300)] + [f"2024-05-01T12-30-{i % 60:02}-build{i}" for i in range(100)]
+    rows = [(i, f"see {t} there") for i, t in enumerate([*keys, *names])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"] for r in S.scan(frame).collect() if r["spans"]}
+    hits = [sum(i in found for i in r) for r in (range(300), range(300, 600), range(600, len(rows)))]
+    assert hits[0] >= 270 and hits[1] >= 220 and hits[2] <= 0.05 * len(found)
+
+
+def test_the_mixture_is_a_tail_of_the_binomial():
+    for body in ("abcdefgh12345678", "a1b2c3d4e5f6g7h8", "AbCdEfGhIjKlMnOp"):
+        kinds = ["A" if c.isupper() else "a" if c.islower() else "0" for c in body]
+        changes = sum(x != y and (x, y) != ("A", "a") for x, y in itertools.pairwise(kinds))
+        want = sum(math.comb(15, k) * 0.2**k * 0.8 ** (15 - k) for k in range(changes, 16))
+        assert abs(S.mixture(body, "base62") - want) < 1e-9
