@@ -6,8 +6,8 @@ a group (smallest id, then place in the document) stays. Equal lines are one fro
 is cut into its edits + 1 segments, at least one of which an edited copy still holds; each line looks its possible
 substrings up among the segments of lines shorter by as many characters as edits, at the few places where a copy's
 segment can be. Bitmaps of all segments, bounded in size, drop most of these substrings before anything is shuffled.
-Lines that share a segment are compared by pieces of the part that did not match (one edit) or by which characters
-occur an odd number of times (more), then by the banded bit-parallel edit distance, and links are grouped by connected
+Lines that share a segment are compared by pieces of the part that did not match (one edit) and by which pairs of
+neighbours occur an odd number of times, then by the banded bit-parallel edit distance, and links are grouped by connected
 components.
 
 Defined cases: null and empty texts are one empty line, which stays; lines shorter than `min_chars` stay; a null id
@@ -88,11 +88,13 @@ def segment_rows(lines: DataFrame, max_edits: Edits, own: bool) -> DataFrame:
         # a line looks for shorter ones of the class below, too
         here = _inside(n, low, None if end is None else end + edits)
         lists.append(F.when(here, F.array(*probes)).otherwise(F.slice(F.array(*probes), 1, 0)))
-    made = lines.select("no", "line", F.length("line").alias("n")).select("no", "line", "n", F.explode(F.concat(*lists)).alias("p"))
+    # four bytes a character, so that a part is found without counting characters
+    wide = F.encode("line", "UTF-32").alias("wide")
+    made = lines.select("no", wide, F.length("line").alias("n")).select("no", "wide", "n", F.explode(F.concat(*lists)).alias("p"))
     target = n - F.col("p.diff")
     begin = F.floor(target * F.col("p.i") / (F.col("p.edits") + 1)).cast("int")
     size = F.floor(target * (F.col("p.i") + 1) / (F.col("p.edits") + 1)).cast("int") - begin
-    part = F.substring("line", begin + F.col("p.shift") + 1, size)
+    part = F.substring("wide", (begin + F.col("p.shift")) * 4 + 1, size * 4)
     block = F.xxhash64(target, F.col("p.i"), part).bitwiseAND(F.lit(BLOCKS - 1))
     return made.where((target >= F.col("p.low")) & (target < F.col("p.end"))).select("no", block.alias("block"), F.col("p.form").alias("form"))
 
@@ -128,13 +130,18 @@ def segment_keys(lines: DataFrame, max_edits: Edits) -> DataFrame:
     return segments.unionByName(hit.select("no", "block", "form"))
 
 
-def odd_characters(text: Column) -> Column:
-    """64 bits, by character code, of those that occur an odd number of times: an edit changes two at most."""
-    return F.aggregate(
-        F.split(text, ""),
-        F.lit(0).cast("long"),
-        lambda s, c: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c).bitwiseAND(F.lit(63)))),
-    )
+def odd_pairs(text: Column) -> Column:
+    """64 bits, by a hash of two neighbours, of those that occur an odd number of times: an edit changes four at most."""
+
+    def step(s: Column, c: Column) -> Column:
+        code = F.ascii(c)
+        place = (s["last"] * 31 + code * 17).bitwiseAND(F.lit(63))
+        changed = s["bits"].bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+        return F.struct(code.bitwiseAND(F.lit(0xFFFF)).alias("last"), changed.alias("bits"))
+
+    # the ends count as neighbours of the code 0, which an edit there changes like any other
+    first = F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("bits"))
+    return F.aggregate(F.split(text, ""), first, step, lambda s: s["bits"])
 
 
 def _rest_pieces(text: Column, length: Column, form: Column, edits: int) -> Column:
@@ -264,7 +271,7 @@ def line_classes(
     texts = keep(
         lines.select(F.col("no").alias("id"), "line")
         .join(small(members.select("id").distinct()), "id", "left_semi")
-        .withColumn("odd", odd_characters(F.col("line"))),
+        .withColumn("odd", odd_pairs(F.col("line"))),
         "texts",
     )
     edits, form = F.floor(F.col("form") / FORMS).cast("int"), F.col("form") % FORMS
@@ -275,7 +282,7 @@ def line_classes(
     def may(left: Column, right: Column) -> Column:
         """A block is of one class, so both have the same edits."""
         close = F.abs(left["n"] - right["n"]) <= left["edits"]
-        alike = F.bit_count(left["odd"].bitwiseXOR(right["odd"])) <= 2 * left["edits"]
+        alike = F.bit_count(left["odd"].bitwiseXOR(right["odd"])) <= 4 * left["edits"]
         return close & alike & ((left["edits"] > 1) | _one_edit_may(left["pieces"], right["pieces"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
