@@ -315,11 +315,15 @@ def removed_lines(
 
 
 def deduplicate(
-    documents: DataFrame, min_chars: int = MIN_CHARS, max_edits: Edits = MAX_EDITS, id_column: str = "doc_id"
+    documents: DataFrame,
+    min_chars: int = MIN_CHARS,
+    max_edits: Edits = MAX_EDITS,
+    id_column: str = "doc_id",
+    removed: str = "removed",
 ) -> DataFrame:
     """The documents, every column, with `text` without the removed lines, and `removed` (array of places, or null).
 
-    Clashing names: a column called removed is replaced.
+    A column of that name is replaced; give another name where it clashes.
     """
     gone = removed_lines(documents, min_chars, max_edits, id_column).select(
         F.col("doc_id").alias("gone id"), F.col("name").alias("gone name"), F.col("removed").alias("gone lines")
@@ -333,6 +337,6 @@ def deduplicate(
     )
     return (
         joined.withColumn("text", F.when(F.col("gone lines").isNull(), F.col("text")).otherwise(left))
-        .withColumn("removed", F.col("gone lines"))
+        .withColumn(removed, F.col("gone lines"))
         .drop("gone id", "gone name", "gone lines")
     )

@@ -21,7 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components, link_blocks
@@ -106,13 +106,13 @@ def _signed(size: int, bands: int):
                 long_list = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(a, b - a),
+                        *(batch.column(c).slice(a, b - a) for c in ("doc_id", "text_hash", "text_hash2")),
                         pa.array(np.diff(bounds)),
                         pa.array(as_long(set_names(shingles, bounds))),
                         rows(keys).cast(long_list),
                         rows(bitmaps(shingles, bounds)).cast(long_list),
                     ],
-                    ["doc_id", "n_shingles", "name", "bands", "bits"],
+                    ["doc_id", "text_hash", "text_hash2", "n_shingles", "name", "bands", "bits"],
                 )
 
     return run
@@ -148,17 +148,19 @@ def _confirm(percent: int):
     return run
 
 
-def near_duplicates(
-    documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id"
-) -> DataFrame:
-    """(`id_column`, n_shingles, component_id, kept) for every document: links have 100 * common >= percent * union."""
+def text_hashes(text) -> list:
+    """Two hashes that together name a text, null like empty."""
+    whole = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(whole).alias("text_hash"), F.xxhash64(F.lit("second"), whole).alias("text_hash2")]
+
+
+def groups(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
+    """(doc_id, text_hash, text_hash2, n_shingles, label, component_id) for every document; label is null for empty sets."""
     bands = band_count(percent)
     kind = documents.schema[id_column].dataType.simpleString()
     texts = documents.select(F.col(id_column).alias("doc_id"), "text")
-    signed = keep(
-        texts.mapInArrow(_signed(size, bands), f"doc_id {kind}, n_shingles long, name long, bands array<long>, bits array<long>"),
-        "signed",
-    )
+    fields = f"doc_id {kind}, text_hash long, text_hash2 long, n_shingles long, name long, bands array<long>, bits array<long>"
+    signed = keep(texts.select("*", *text_hashes(F.col("text"))).mapInArrow(_signed(size, bands), fields), "signed")
     some = signed.where("n_shingles > 0")
     # one row per distinct set; equal sets have equal bands
     classes = keep(
@@ -204,14 +206,52 @@ def near_duplicates(
         "name", "doc_id", F.coalesce("label", "name").alias("label")
     )
     low = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_name = grouped.join(low, "label").select("name", "component_id")
+    of_name = grouped.join(low, "label").select("name", "label", "component_id")
+    filled = F.col("n_shingles") > 0
     return (
-        signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("name")).alias("name"))
+        signed.withColumn("name", F.when(filled, F.col("name")))
         .join(of_name, "name", "left")
         .select(
-            F.col("doc_id").alias(id_column),
+            "doc_id",
+            "text_hash",
+            "text_hash2",
             "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            "label",
+            F.when(filled, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         )
+    )
+
+
+def near_duplicates(
+    documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id"
+) -> DataFrame:
+    """(`id_column`, n_shingles, component_id, kept) for every document: links have 100 * common >= percent * union."""
+    return (
+        groups(documents, size, percent, id_column)
+        .select(F.col("doc_id").alias(id_column), "n_shingles", "component_id")
         .withColumn("kept", F.coalesce(F.col(id_column) == F.col("component_id"), F.lit(False)))
     )
+
+
+def without_near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
+    """The documents, every column, one of each group: of smallest id (null last), then by a hash of the text.
+
+    Documents without shingles are in no group and stay. Of rows with equal id and text one stays. Other rows of an
+    id that has several texts are judged by their own texts.
+    """
+    rows = groups(documents, size, percent, id_column)
+    texts = rows.groupBy("doc_id", "text_hash", "text_hash2").agg(F.min("label").alias("label"), F.count("*").alias("copies"))
+    order = [F.col("doc_id").asc_nulls_last(), "text_hash", "text_hash2"]
+    first = F.row_number().over(Window.partitionBy("label").orderBy(*order))
+    grouped = texts.where("label is not null").withColumn("rank", first).where("rank = 1").drop("rank")
+    stay = keep(grouped.unionByName(texts.where("label is null")), "stay").toDF("stay id", "stay hash", "stay hash2", "stay label", "stay copies")
+    hashes = [h.alias(f"own hash{i}") for i, h in enumerate(text_hashes(F.col("text")))]
+    same = (
+        F.col(f"`{id_column}`").eqNullSafe(F.col("stay id"))
+        & (F.col("own hash0") == F.col("stay hash"))
+        & (F.col("own hash1") == F.col("stay hash2"))
+    )
+    kept = documents.select("*", *hashes).join(stay, same)
+    several = (F.col("stay copies") > 1) & F.col("stay label").isNotNull()
+    once = kept.where(several).dropDuplicates(["stay id", "own hash0", "own hash1"])
+    return kept.where(~several).unionByName(once).select(*[F.col(f"`{c}`") for c in documents.columns])

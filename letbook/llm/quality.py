@@ -248,10 +248,10 @@ def score_texts(chain: Chain, texts: list[str | None]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(chain.slope * q + chain.shift, -30, 30)))
 
 
-def score(documents: DataFrame, chain: Chain, *keep: str) -> DataFrame:
-    """The documents' columns `keep` and score."""
+def score(documents: DataFrame, chain: Chain, *keep: str, name: str = "score") -> DataFrame:
+    """The documents' columns `keep` and score, under that name."""
     fields = list(keep)
-    schema = documents.select(*fields).schema.add("score", "double")
+    schema = documents.select(*fields).schema.add(name, "double")
     sent = fields if "text" in fields else [*fields, "text"]
 
     def run(batches):
@@ -265,6 +265,6 @@ def score(documents: DataFrame, chain: Chain, *keep: str) -> DataFrame:
                     begin, sizes = i + 1, 0
             values = np.concatenate(scores) if scores else np.empty(0)
             arrays = [batch.column(c) for c in fields]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(values, pa.float64())], [*fields, "score"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(values, pa.float64())], [*fields, name])
 
     return documents.select(*sent).mapInArrow(run, schema)
