@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all documents the stage before has kept. All but the last return
 the columns of `documents`. `run` writes every stage's result to the shared folder and reads it again.
+
+Defined cases, in every stage: a null text is an empty one and, as long as the classifier keeps it, stays; a null id is
+an id like any other, but the last choice among near copies; rows of one id with different texts are judged by their
+texts; of rows with equal id and text the near-copy stage keeps one (of empty ones, all); texts of any length are read
+whole; empty tables give empty tables; further columns go through unchanged, whatever their names (lower-case letters
+as in `doc_id`, `text` and `n_chars` are the documents' own).
 """
 
 from __future__ import annotations
@@ -16,25 +22,33 @@ from letbook.llm.frames import keep, table
 QUALITY = 0.3
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """The name, or a longer one that no column of the documents has."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line labeller rejects go."""
     chain = quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return quality.score(docs, chain, *docs.columns).where(F.col("score") >= QUALITY).drop("score")
+    name = _free("quality score", docs)
+    return quality.score(docs, chain, *docs.columns, name=name).where(F.col(f"`{name}`") >= QUALITY).drop(name)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines seen before go; a document of which nothing but white space is left goes with them."""
-    done = linedup.deduplicate(docs)
-    left = F.col("removed").isNull() | F.col("text").rlike(r"\S")
-    changed = F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return done.where(left).withColumn("n_chars", changed).select(*docs.columns)
+    name = _free("removed lines", docs)
+    done = linedup.deduplicate(docs, removed=name)
+    removed = F.col(f"`{name}`")
+    left = removed.isNull() | F.col("text").rlike(r"\S")
+    changed = F.when(removed.isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return done.where(left).withColumn("n_chars", changed).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: shingles of five words, similarity 0.8."""
-    groups = neardup.near_duplicates(docs, size=5, percent=80)
-    gone = groups.where(~F.col("kept") & F.col("component_id").isNotNull()).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return neardup.without_near_duplicates(docs, size=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +56,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = winnow.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
     gone = found.select(F.col("doc_id").alias("gone id"), F.col("name").alias("gone name"))
     same = F.col("doc_id").eqNullSafe(F.col("gone id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("gone name"))
-    return docs.join(gone, same, "left_anti").select(*docs.columns)
+    return docs.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
