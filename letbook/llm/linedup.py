@@ -230,11 +230,37 @@ def edit_distance(left: Column, right: Column, most: int) -> Column:
     return F.when(F.abs(F.length(left) - F.length(right)) > most, most + 1).otherwise(pair)
 
 
+def _same_start(left: Column, right: Column, most: Column) -> Column:
+    """How many characters two texts begin with alike, `most` at the most, found by halving steps."""
+
+    def step(at: Column, size: Column) -> Column:
+        same = F.substring(left, at + 1, size) == F.substring(right, at + 1, size)
+        return F.when((at + size <= most) & same, at + size).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(17, -1, -1)]), F.lit(0), step)
+
+
+def core(left: Column, right: Column, most: int) -> Column:
+    """(left, right) without what they begin and end with alike, which no distance depends on; 2 * `most` characters stay."""
+    spare = F.least(F.length(left), F.length(right)) - 2 * most
+
+    def cut(start: Column, end: Column) -> Column:
+        inside = lambda t: F.substring(t, start + 1, F.length(t) - start - end)
+        return F.struct(inside(left).alias("left"), inside(right).alias("right"))
+
+    back = lambda start: let(_same_start(F.reverse(left), F.reverse(right), spare - start), lambda end: cut(start, end))
+    return let(_same_start(left, right, spare), back)
+
+
 def within_edits(left: Column, right: Column, max_edits: Edits) -> Column:
     """Whether two lines are as few edits apart as the shorter one's length allows."""
+
+    def near(edits: int):
+        return lambda c: edit_distance(c["left"], c["right"], edits) <= edits
+
     shorter, out = F.least(F.length(left), F.length(right)), F
     for low, end, edits in edit_classes(max_edits):
-        out = out.when(_inside(shorter, low, end), edit_distance(left, right, edits) <= edits)
+        out = out.when(_inside(shorter, low, end), let(core(left, right, edits), near(edits)))
     return out.otherwise(F.lit(False))
 
 

@@ -150,3 +150,25 @@ def test_two_typos_and_a_replaced_word_in_a_long_line(spark):
     docs = [(1, line), (2, typos), (3, word), (4, line[:200] + "######" + line[206:])]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert {r["doc_id"] for r in linedup.removed_lines(frame).collect()} == {2, 3}
+
+
+@pytest.mark.parametrize("most", [1, 3, 5])
+def test_alike_ends_do_not_matter(spark, most):
+    """Whether lines are near, beside their whole distance; edits at the ends, repeated letters, short and long lines."""
+    rng = random.Random(most)
+    rows = []
+    for _ in range(250):
+        a = "".join(rng.choice("aabé") for _ in range(rng.choice([2 * most + 2, 30, 200])))
+        b = mutate(rng, a, rng.randrange(most + 3))
+        if rng.random() < 0.3:
+            b = b[rng.randrange(3) :] + a[: rng.randrange(3)]
+        if len(b) >= 2 * most + 2:
+            rows.append((a, b))
+    frame = spark.createDataFrame(rows, "a string, b string")
+    got = frame.select("a", "b", linedup.within_edits(F.col("a"), F.col("b"), most).alias("near"), linedup.core(F.col("a"), F.col("b"), most).alias("core"))
+    for r in got.collect():
+        assert r["near"] == (distance(r["a"], r["b"]) <= most), r
+        cut = len(r["a"]) - len(r["core"]["left"])
+        assert cut == len(r["b"]) - len(r["core"]["right"]) and min(map(len, r["core"])) >= 2 * most
+        if r["a"] == r["b"]:
+            assert len(r["core"]["left"]) == 2 * most
