@@ -6,8 +6,13 @@ Rows of any order come in as (conv_id, turn, role, text); one row per conversati
 * `formatted`: that text, `valid`: whether the machine accepts the role order, `bad_turn`: the index of the
   first turn it does not accept (null when valid), `n_turns`.
 
-Control strings inside roles and texts are escaped (`<|` gets a backslash, one more if backslashes stand there
-already; a new line or percent sign inside a role is written as %0A or %25), so `parse` gives back every turn.
+The machine goes from state to state by the turns' roles, and each transition emits its turn's segments; the state it
+leads to says whether their text is learned. A turn that a state does not accept is a fault; the machine goes on from
+the state that the role leads to elsewhere, so every turn is emitted.
+
+Control strings of the template inside roles and texts are escaped (a backslash after their first character, one more
+if backslashes stand there already; the characters that end a role, and percent signs, are written as %0A or %25), so
+`parse` gives back every turn, whatever the template.
 
 Defined cases: null or empty text is an empty turn; a null role is an empty role, which no state accepts; turns
 with equal or null numbers are ordered by number (null first), role, text; repeated rows are turns of their own;
@@ -24,11 +29,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Template:
-    """What a turn looks like, which roles are learned, and which role may follow which state."""
+    """What a turn looks like, which states are learned, and which role may follow which state.
+
+    `mark` is what all control strings of the template hold, if they hold one thing; else each counts by itself. A
+    role leads to one state, wherever it is accepted.
+    """
 
     open: str = "<|im_start|>"
     after_role: str = "\n"
     close: str = "<|im_end|>\n"
+    mark: str | None = None
     learned: tuple[str, ...] = ("assistant",)
     start: str = "start"
     final: tuple[str, ...] = ("assistant",)
@@ -42,43 +52,76 @@ class Template:
         }
     )
 
+    def __post_init__(self):
+        if not self.after_role or not self.close.strip():
+            raise ValueError("a role and a turn need a string that ends them")
+        if any("\\" in mark for mark in self.marks):
+            raise ValueError("control strings hold no backslash")
+        if any(x.startswith(x[-n:]) for x in (self.close, *self.marks) for n in range(1, len(x))):
+            raise ValueError("a turn's end or a control string must not begin as it ends")
+        if len({(role, state) for move in self.moves.values() for role, state in move.items()}) != len(self.states):
+            raise ValueError("a role leads to one state")
 
-CHATML = Template()
+    @property
+    def marks(self) -> list[str]:
+        every = [self.mark] if self.mark else [self.open.strip(), self.close.strip()]
+        return list(dict.fromkeys(m for m in every if m))
 
+    @property
+    def states(self) -> dict[str, str]:
+        """The state that each role leads to."""
+        return {role: state for move in self.moves.values() for role, state in move.items()}
 
-def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
 
+CHATML = Template(mark="<|")
 
-def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<\\(\\*)\|", r"<$1|")
 
+def escape(text: Column, template: Template = CHATML) -> Column:
+    for mark in template.marks:
+        text = F.regexp_replace(text, rf"(\Q{mark[0]}\E)(\\*)(\Q{mark[1:]}\E)", r"$1\\$2$3")
+    return text
 
-def escape_role(role: Column) -> Column:
-    return escape(F.replace(F.replace(role, F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A")))
 
+def unescape(text: Column, template: Template = CHATML) -> Column:
+    for mark in reversed(template.marks):
+        text = F.regexp_replace(text, rf"(\Q{mark[0]}\E)\\(\\*)(\Q{mark[1:]}\E)", "$1$2$3")
+    return text
 
-def unescape_role(role: Column) -> Column:
-    return F.replace(F.replace(unescape(role), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
 
+def _coded(template: Template) -> list[tuple[str, str]]:
+    """Characters that a role writes as their number, the percent sign first."""
+    return [(c, f"%{ord(c):02X}") for c in dict.fromkeys("%" + template.after_role)]
 
-def _states(roles: Column, template: Template) -> Column:
-    """(state, position, first bad position) after all roles; the state is empty once a role was refused."""
-    pairs = [(f"{a}>{role}", b) for a, m in template.moves.items() for role, b in m.items()]
-    moves = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
 
-    def step(acc: Column, role: Column) -> Column:
-        after = F.coalesce(F.try_element_at(moves, F.concat(acc["state"], F.lit(">"), role)), F.lit(""))
-        return F.struct(
-            after.alias("state"),
-            (acc["at"] + 1).alias("at"),
-            F.when(after == "", F.coalesce(acc["bad"], acc["at"])).otherwise(acc["bad"]).alias("bad"),
-        )
+def escape_role(role: Column, template: Template = CHATML) -> Column:
+    for char, code in _coded(template):
+        role = F.replace(role, F.lit(char), F.lit(code))
+    return escape(role, template)
 
-    first = F.struct(
-        F.lit(template.start).cast("string").alias("state"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("bad")
-    )
-    return F.aggregate(roles, first, step)
+
+def unescape_role(role: Column, template: Template = CHATML) -> Column:
+    role = unescape(role, template)
+    for char, code in reversed(_coded(template)):
+        role = F.replace(role, F.lit(code), F.lit(char))
+    return role
+
+
+def _text_map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in sorted(pairs.items()) for x in pair])
+
+
+def transitions(turns: Column, template: Template = CHATML) -> Column:
+    """Array of (turn, before, after) of the machine's steps; `after` is null where the state refuses the role."""
+    states = _text_map(template.states)
+    moves = _text_map({f"{a}>{role}": b for a, move in template.moves.items() for role, b in move.items()})
+
+    def step(turn: Column, i: Column) -> Column:
+        last = F.coalesce(F.try_element_at(states, F.get(turns, i - 1)["role"]), F.lit(""))
+        before = F.when(i == 0, template.start).otherwise(last)
+        after = F.try_element_at(moves, F.concat(before, F.lit(">"), turn["role"]))
+        return F.struct(turn.alias("turn"), before.alias("before"), after.alias("after"))
+
+    return F.transform(turns, step)
 
 
 def format_chats(turns: DataFrame, template: Template = CHATML) -> DataFrame:
@@ -96,33 +139,36 @@ def format_chats(turns: DataFrame, template: Template = CHATML) -> DataFrame:
         .agg(F.sort_array(F.collect_list("t")).alias("turns"))
     )
 
-    def parts(t: Column) -> Column:
+    states = _text_map(template.states)
+    learned = list(template.learned)
+
+    def emitted(step: Column) -> Column:
+        """The segments of a transition's turn; learned by the state that its role leads to."""
+
         def part(text: Column, loss: Column, kind: str) -> Column:
             return F.struct(text.alias("text"), loss.alias("loss"), F.lit(kind).alias("kind"))
 
-        head = F.concat(F.lit(template.open), escape_role(t["role"]), F.lit(template.after_role))
+        turn = step["turn"]
+        state = F.coalesce(step["after"], F.try_element_at(states, turn["role"]), F.lit(""))
+        head = F.concat(F.lit(template.open), escape_role(turn["role"], template), F.lit(template.after_role))
         return F.array(
             part(head, F.lit(False), "head"),
-            part(escape(t["text"]), t["role"].isin(list(template.learned)), "text"),
+            part(escape(turn["text"], template), state.isin(learned), "text"),
             part(F.lit(template.close), F.lit(False), "close"),
         )
 
-    roles = F.transform("turns", lambda t: t["role"])
-    end = F.col("end")
+    refused = F.array_position(F.transform("steps", lambda s: s["after"].isNull()), True)  # from 1, 0 if none is
+    ended = F.coalesce(F.try_element_at("steps", F.lit(-1))["after"].isin(list(template.final)), F.lit(False))
     return (
-        ordered.select(
-            "conv_id",
-            F.size("turns").cast("long").alias("n_turns"),
-            F.flatten(F.transform("turns", parts)).alias("segments"),
-            _states(roles, template).alias("end"),
-        )
+        ordered.select("conv_id", F.size("turns").cast("long").alias("n_turns"), transitions(F.col("turns"), template).alias("steps"))
+        .select("conv_id", "n_turns", F.flatten(F.transform("steps", emitted)).alias("segments"), refused.alias("refused"), ended.alias("ended"))
         .select(
             "conv_id",
             "n_turns",
             "segments",
             F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-            end["state"].isin(list(template.final)).alias("valid"),
-            F.coalesce(end["bad"], F.when(~end["state"].isin(list(template.final)), end["at"])).alias("bad_turn"),
+            ((F.col("refused") == 0) & F.col("ended")).alias("valid"),
+            F.when(F.col("refused") > 0, F.col("refused") - 1).when(~F.col("ended"), F.col("n_turns")).cast("int").alias("bad_turn"),
         )
     )
 
@@ -136,13 +182,13 @@ def parse(formatted: Column, template: Template = CHATML) -> Column:
         body = F.substring(block, len(template.open) + 1, 2147483647)
         cut = F.locate(template.after_role, body)
         return F.struct(
-            unescape_role(F.substring(body, F.lit(1), cut - 1)).alias("role"),
-            unescape(F.substring(body, cut + len(template.after_role), F.lit(2147483647))).alias("text"),
+            unescape_role(F.substring(body, F.lit(1), cut - 1), template).alias("role"),
+            unescape(F.substring(body, cut + len(template.after_role), F.lit(2147483647)), template).alias("text"),
         )
 
     return F.transform(blocks, turn)
 
 
-def learned_text(segments: Column) -> Column:
+def learned_text(segments: Column, template: Template = CHATML) -> Column:
     """The text under the loss mask, unescaped, in order, nothing between."""
-    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
+    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"], template)), "")

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from letbook.llm import chat
@@ -67,3 +68,47 @@ def test_query_digests(spark, sf_dir):
         assert got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
         assert (got[c]["n_turns"], got[c]["loss_chars"]) == (len(mine), len(loss))
     assert got[-1]["n_turns"] == 2 and got[-1]["loss_chars"] == len("<|im_end|><|im_start|>assistant ok")
+
+
+@pytest.mark.parametrize(
+    "template",
+    [
+        chat.Template(open="[INST]", close="[/INST]\n"),
+        chat.Template(open="", after_role=": ", close="#end#!\n"),
+        chat.Template(open="<s>", after_role="|", close="</s>"),
+    ],
+)
+def test_round_trip_of_other_templates(spark, template):
+    """Control strings of the template, whole and in parts, inside texts and roles."""
+    rng = random.Random(4)
+    bits = [template.open, template.close, template.after_role, template.close[:2], template.close[1:], "\n", "[", "\\", "\\INST]", "%", "%0A", "a", ""]
+    rows = [(c, t, rng.choice(["user", "assistant", "a:b|c\nd", template.close, ""]), "".join(rng.choices(bits, k=rng.randrange(8)))) for c in range(30) for t in range(4)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.format_chats(frame, template).withColumn("back", chat.parse(F.col("formatted"), template))
+    out = out.withColumn("learned", chat.learned_text(F.col("segments"), template))
+    for r in out.collect():
+        want = [(x[2], x[3]) for x in rows if x[0] == r["conv_id"]]
+        assert [(b["role"], b["text"]) for b in r["back"]] == want
+        assert r["learned"] == "".join(t for role, t in want if role == "assistant")
+
+
+def test_templates_that_cannot_be_read_back():
+    for wrong in ({"after_role": ""}, {"close": "\n"}, {"close": "aba"}, {"close": "###\n"}, {"open": "a\\b"}, {"moves": {"start": {"user": "a"}, "a": {"user": "b"}}}):
+        with pytest.raises(ValueError):
+            chat.Template(**wrong)
+
+
+def test_transitions(spark):
+    rows = [(1, i, r, "t", 1) for i, r in enumerate(["user", "assistant", "nobody", "assistant", "user"])]
+    frame = spark.createDataFrame(rows, KIND).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    steps = frame.select(chat.transitions(F.col("turns")).alias("s")).first()["s"]
+    assert [(s["before"], s["after"]) for s in steps] == [("start", "user"), ("user", "assistant"), ("assistant", None), ("", None), ("assistant", "user")]
+
+
+def test_very_long_turns_and_clashing_names(spark):
+    long = "x<|im_end|>" * 100_000
+    names = ", ".join(f"{n} int" for n in ("segments", "formatted", "valid", "bad_turn", "n_turns", "turns", "steps", "t"))
+    rows = [(1, 0, "user", long, *[1] * 8), (1, 1, "assistant", long, *[1] * 8)]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, text string, {names}")
+    (row,) = chat.format_chats(frame).withColumn("back", chat.parse(F.col("formatted"))).collect()
+    assert [b["text"] for b in row["back"]] == [long, long] and row["valid"] and row["n_turns"] == 2
