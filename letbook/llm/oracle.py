@@ -18,6 +18,55 @@ reach AS (
 part AS (SELECT id, min(other) AS low FROM reach GROUP BY id)"""
 
 
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _levels(name: str, key: str, levels: int) -> str:
+    """Tables {name}0, {name}1, ... of a tree's nodes by `key`, each with what stands left and right of it in its run.
+
+    A key of one node keeps it; four levels hold 65,536 nodes.
+    """
+    out = []
+    for k in range(levels + 1):
+        if k:
+            out.append(f"""
+{name}{k}_n AS (
+  SELECT {key}, i // 16 AS i, CASE WHEN max(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i)) ELSE max(d) END AS d
+  FROM {name}{k - 1} GROUP BY {key}, i // 16
+)""")
+        out.append(f"""
+{name}{k} AS (
+  SELECT *, count(*) OVER (PARTITION BY {key}) AS n,
+         coalesce(string_agg(d, '') OVER (PARTITION BY {key}, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(d, '') OVER (PARTITION BY {key}, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k}_n
+)""")
+    return ",".join(out)
+
+
+def _folds(name: str, key: str, levels: int, start: str) -> str:
+    """Tables {name}_f1, ...: digest x and proof p of every document after each level, from table `start` (place i, x, p)."""
+    out = []
+    for k in range(levels):
+        below = f"{name}_f{k}" if k else start
+        out.append(f"""
+{name}_f{k + 1} AS (
+  SELECT f.* REPLACE (CASE WHEN t.n > 1 THEN sha256(t.l || f.x || t.r) ELSE f.x END AS x, f.p || t.l || t.r AS p, f.i // 16 AS i)
+  FROM {below} f JOIN {name}{k} t ON t.{key} = f.{key} AND t.i = f.i
+)""")
+    return ",".join(out)
+
+
+# crc32 of a text of ASCII characters: bytes are xored in, -1 stands for a shift by one bit
+CRC = """list_reduce(list_concat([4294967295], flatten(list_transform(range(1, len(t) + 1),
+  lambda i: [CAST(ascii(t[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)"""
+DIGEST_FIELDS = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+TAMPERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 ORACLE: dict[str, str] = {
     "op3_minhash": f"""
 WITH RECURSIVE words AS (
@@ -83,4 +132,24 @@ WITH RECURSIVE units AS (
 degree AS (SELECT a AS id, count(*) AS n FROM edges GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, low AS component_id, vec_id = low AS kept
 FROM embeddings JOIN part ON part.id = vec_id LEFT JOIN degree ON degree.id = vec_id""",
+    "op13_merkle": f"""
+WITH hashed AS (
+  SELECT doc_id, coalesce('s' || source, '-') AS k, sha256({DIGEST_FIELDS} || {_field("text")}) AS d,
+         CASE WHEN xor({CRC.replace("len(t)", "len(CAST(doc_id AS VARCHAR))").replace("t[i]", "CAST(doc_id AS VARCHAR)[i]")}, 4294967295) % 5 = 0
+              THEN sha256({DIGEST_FIELDS} || {_field(TAMPERED)}) END AS tampered
+  FROM documents
+), leaves0_n AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, d) - 1 AS i FROM hashed
+), {_levels("leaves", "k", 4)},
+sources0_n AS (SELECT 1 AS one, k, d, row_number() OVER (ORDER BY k) - 1 AS i FROM leaves4),
+{_levels("sources", "one", 2)},
+start AS (SELECT doc_id, k, d AS leaf, i, coalesce(tampered, d) AS x, '' AS p FROM leaves0),
+{_folds("leaves", "k", 4, "start")},
+middle AS (
+  SELECT f.doc_id, f.leaf, s.d AS subroot, f.x, f.p, s.i, 1 AS one FROM leaves_f4 f JOIN sources0 s ON s.k = f.k
+),
+{_folds("sources", "one", 2, "middle")}
+SELECT doc_id, leaf, subroot, (SELECT d FROM sources2) AS root, sha256(p) AS proof_sha256, x AS folded_root,
+       x = (SELECT d FROM sources2) AS verified
+FROM sources_f2""",
 }
