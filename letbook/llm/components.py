@@ -6,8 +6,9 @@ counts reaches the driver. The number of rounds grows with the logarithm of a co
 
 `link_blocks` finds enough verified links to connect all that blocks of candidates connect, without listing all pairs
 of a block. First every member of a block is paired with one of the block's members, its head, for a few rounds with
-another one where a block still spans several components. Heads are chosen by a hash of block and member, so that the
-many blocks of one large group have many heads, and most of the group is one component after the first round. The
+another one where a block still spans several components. With `spread`, heads are chosen by a hash of block and member,
+so that the many blocks of one large group have many heads, which joins members of whom few are linked with any one;
+without, all blocks of a group ask about its smallest member, which takes fewer questions where most are linked. The
 pairs that then remain, those of one block and different components not looked at yet, are all listed and verified, so
 no link between components is lost.
 """
@@ -59,6 +60,7 @@ def link_blocks(
     may: Callable | None = None,
     closer: tuple[DataFrame, Callable] | None = None,
     rounds: int = 3,
+    spread: bool = False,
 ) -> DataFrame:
     """Verified links (a, b) that connect whatever verified pairs inside blocks connect.
 
@@ -69,7 +71,8 @@ def link_blocks(
     fine = may or (lambda left, right: F.lit(True))
 
     def chosen(turn: int, *fields: str):
-        return F.min(F.struct(F.xxhash64("block", "id", F.lit(turn)).alias("draw"), *fields)).alias("head")
+        draw = F.xxhash64("block", "id", F.lit(turn)) if spread else F.lit(0).cast("long")
+        return F.min(F.struct(draw.alias("draw"), *fields)).alias("head")
 
     first = blocks.groupBy("block").agg(chosen(0, "id", "info"), F.min("id").alias("low"), F.max("id").alias("high"))
     members = keep(
@@ -112,14 +115,15 @@ def link_blocks(
         pairs, rows = open_.agg(F.sum("pairs"), F.sum("n")).first()
         if not rows:
             return links
-        rest = labelled.join(open_.select("block"), "block")
+        rest = labelled.join(open_.select("block", "low"), "block")
         if closer:
             sketches, fine = closer
             rest = rest.drop("info").join(sketches, "id")
         rest = keep(rest, "rest")
         if turn == rounds or pairs <= 4 * rows:
             break
-        other = rest.groupBy("block").agg(chosen(turn, "id", "info", "label"))
+        new = rest if spread else rest.where(F.col("label") != F.col("low"))
+        other = new.groupBy("block").agg(chosen(turn, "id", "info", "label"))
         fresh = keep(
             star(rest.join(other, "block").where(F.col("label") != F.col("head.label")), fine).join(asked, ["a", "b"], "left_anti"),
             "asked",
