@@ -131,17 +131,27 @@ def segment_keys(lines: DataFrame, max_edits: Edits) -> DataFrame:
 
 
 def odd_pairs(text: Column) -> Column:
-    """64 bits, by a hash of two neighbours, of those that occur an odd number of times: an edit changes four at most."""
+    """Two words of 64 bits, by a hash of two neighbours, of those that occur an odd number of times.
+
+    An edit changes four of the bits at most.
+    """
 
     def step(s: Column, c: Column) -> Column:
         code = F.ascii(c)
-        place = (s["last"] * 31 + code * 17).bitwiseAND(F.lit(63))
-        changed = s["bits"].bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
-        return F.struct(code.bitwiseAND(F.lit(0xFFFF)).alias("last"), changed.alias("bits"))
 
-    # the ends count as neighbours of the code 0, which an edit there changes like any other
-    first = F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("bits"))
-    return F.aggregate(F.split(text, ""), first, step, lambda s: s["bits"])
+        def put(place: Column) -> Column:
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)))
+            return F.struct(
+                code.bitwiseAND(F.lit(0xFFFF)).alias("last"),
+                F.when(place < 64, s["low"].bitwiseXOR(bit)).otherwise(s["low"]).alias("low"),
+                F.when(place < 64, s["high"]).otherwise(s["high"].bitwiseXOR(bit)).alias("high"),
+            )
+
+        return put((s["last"] * 31 + code * 17).bitwiseAND(F.lit(127)))
+
+    zero = F.lit(0).cast("long")
+    first = F.struct(F.lit(0).alias("last"), zero.alias("low"), zero.alias("high"))
+    return F.aggregate(F.split(text, ""), first, step, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high")))
 
 
 def _rest_pieces(text: Column, length: Column, form: Column, edits: int) -> Column:
@@ -308,7 +318,8 @@ def line_classes(
     def may(left: Column, right: Column) -> Column:
         """A block is of one class, so both have the same edits."""
         close = F.abs(left["n"] - right["n"]) <= left["edits"]
-        alike = F.bit_count(left["odd"].bitwiseXOR(right["odd"])) <= 4 * left["edits"]
+        apart = sum((F.bit_count(left["odd"][w].bitwiseXOR(right["odd"][w])) for w in ("low", "high")), F.lit(0))
+        alike = apart <= 4 * left["edits"]
         return close & alike & ((left["edits"] > 1) | _one_edit_may(left["pieces"], right["pieces"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -317,7 +328,7 @@ def line_classes(
         both = pairs.join(a, "a").join(b, "b")
         return both.where(within_edits(F.col("left"), F.col("right"), max_edits)).select("a", "b")
 
-    label = components(link_blocks(blocks, verify, may)).withColumnRenamed("id", "no")
+    label = components(link_blocks(blocks, verify, may, rounds=2)).withColumnRenamed("id", "no")
     grouped = lines.drop("line").join(label, "no", "left").withColumn("class", F.coalesce("label", "no"))
     return grouped.select(*IDENTITY, "n", "first", "class")
 
