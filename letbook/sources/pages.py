@@ -20,10 +20,6 @@ def has_html(column: str = "html"):
     return F.coalesce(F.col(column) != "", F.lit(False))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return settle_pages(spark.read.schema(schemas.PAGES).parquet(path))
-
-
 def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     source = spark.readStream.schema(schemas.PAGES).option("maxFilesPerTrigger", max_files)
     return settle_pages(source.parquet(path))

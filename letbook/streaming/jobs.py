@@ -150,6 +150,7 @@ def dedup_stateful(
     time: str = "fetched_at",
     delay: str | None = "1 day",
     spread_by: list[str] | None = None,
+    slices: int = SPREAD,
 ) -> DataFrame:
     """A stream without repeats, its memory in the state store; one row of each key comes
     through, in no promised order.
@@ -157,7 +158,8 @@ def dedup_stateful(
     With a delay, repeats that come within it of each other are caught and the state stays
     bounded; without one, all repeats are, and the state holds every key (then set the
     session's state store to RocksDB). With `spread_by`, repeats are first removed within
-    slices of each key, so that no task gets all copies of a frequent one.
+    slices of each key, so that no task gets all copies of a frequent one; give as many slices
+    as a frequent key deserves tasks.
     """
     rows = with_keys(stream, keys)
     if delay:
@@ -167,8 +169,8 @@ def dedup_stateful(
         return part.dropDuplicatesWithinWatermark(columns) if delay else part.dropDuplicates(columns)
 
     if spread_by:
-        slices = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD))
-        rows = once(rows.withColumn("_slice", slices), [*keys, "_slice"]).drop("_slice")
+        number = F.pmod(F.xxhash64(*spread_by), F.lit(slices))
+        rows = once(rows.withColumn("_slice", number), [*keys, "_slice"]).drop("_slice")
     return once(rows, keys)
 
 
