@@ -130,11 +130,16 @@ def link_blocks(
         )
         asked = keep(asked.unionByName(fresh), "asked")
         links = keep(links.unionByName(verify(fresh)), "links")
-    left = rest.select("block", "id", "label", "info")
-    right = left.select("block", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("info").alias("info2"))
+    # a pair is listed in the first block that both are in; an id is in as many blocks as it has bands or segments
+    own = rest.groupBy("id").agg(F.collect_set("block").alias("own"))
+    left = rest.select("block", "id", "label", "info").join(own, "id")
+    right = left.select(
+        "block", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("info").alias("info2"), F.col("own").alias("own2")
+    )
+    first_common = F.array_min(F.array_intersect("own", "own2")) == F.col("block")
     open_pairs = (
         left.join(right, "block")
-        .where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & fine(F.col("info"), F.col("info2")))
+        .where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & fine(F.col("info"), F.col("info2")) & first_common)
         .select(F.col("id").alias("a"), F.col("id2").alias("b"))
         .distinct()
         .join(asked, ["a", "b"], "left_anti")
