@@ -61,9 +61,9 @@ def balanced(markup: Column, tag: str) -> Column:
     inside, which most are, take one pattern.
     """
     name = rf"(?i:{tag})(?=[\s>/])"
-    flat = F.regexp_substr(
-        markup, F.lit(rf"^<{name}{_REST}>[^<]*+(?:<(?!/?{name})[^<]*+)*+</(?i:{tag})\s*+>")
-    )
+    whole = rf"^<{name}{_REST}>[^<]*+(?:<(?!/?{name})[^<]*+)*+</(?i:{tag})\s*+>"
+    # regexp_substr would match twice here: once to compare with the empty text
+    flat = _let(F.regexp_extract(markup, whole, 0), lambda found: F.when(found != "", found))
     marked = F.regexp_replace(markup, rf"(?=</?(?i:{tag})(?=[\s>/]){_REST}>)", _CUT)
 
     def close(pieces: Column) -> Column:
@@ -88,7 +88,7 @@ def balanced(markup: Column, tag: str) -> Column:
 def visible(html: Column) -> Column:
     """The page without comments, scripts, styles and the cutting character."""
     hidden = r"(?s)<(?:!--.*?-->|(?i:(script|style)(?=[\s>])[^>]*>.*?</\1\s*>))"
-    return F.regexp_replace(F.translate(html, _CUT, ""), hidden, "")
+    return F.regexp_replace(F.replace(html, F.lit(_CUT), F.lit("")), hidden, "")
 
 
 def unescape(text: Column, in_attribute: bool = False) -> Column:

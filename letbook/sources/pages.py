@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from letbook import schemas
 
+#: Rows that a task of costly extraction takes.
+ROWS_PER_TASK = 50_000
+
 
 def settle_pages(pages: DataFrame) -> DataFrame:
     """Status 0 where nothing came back, and markup only where the status is 200."""
@@ -25,11 +28,11 @@ def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataF
     return settle_pages(source.parquet(path))
 
 
-def over_all_cores(scan: DataFrame) -> DataFrame:
-    """Rows of a table scan over at least as many tasks as there are cores.
+def over_all_cores(scan: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows of a table scan over at least as many tasks as there are cores, and as its rows call for.
 
-    For costly extraction from a few files. A scan that already has that many splits, as
-    any large table does, is left as it is.
+    For costly extraction: narrow rows that take long would otherwise come by the million in one split of a file. A
+    scan that already has that many splits, as any large table of whole pages does, is left as it is.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    tasks = max(scan.sparkSession.sparkContext.defaultParallelism, -(-scan.count() // rows_per_task))
+    return scan.repartition(tasks) if scan.rdd.getNumPartitions() < tasks else scan

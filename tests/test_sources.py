@@ -296,3 +296,10 @@ def test_typed_snapshot_takes_filters_into_the_scan(spark, sale_folder, tmp_path
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(postcode,AB)" in plan and "GreaterThanOrEqual(price,50.0)" in plan
     assert "snapshot_date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_costly_rows_come_in_bounded_tasks(spark):
+    scan = spark.range(0, 1000, 1, 1)
+    spread = pages.over_all_cores(scan, rows_per_task=10)
+    assert spread.rdd.getNumPartitions() == 100 and spread.count() == 1000
+    assert pages.over_all_cores(spread, rows_per_task=100).rdd.getNumPartitions() == 100
