@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from letbook.session import keep
 
-__all__ = ["fold", "keep", "let", "lower_ascii", "table"]
+__all__ = ["discard", "fold", "keep", "let", "lower_ascii", "table"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,3 +28,13 @@ def lower_ascii(text: Column) -> Column:
 def let(value: Column, use) -> Column:
     """use(x) with x bound to the value, so that lambdas inside do not compute it again."""
     return F.transform(F.array(value), use)[0]
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes kept tables that nothing reads any more, and lets go of the shuffles that made them."""
+    for rows in tables:
+        jvm = rows.sparkSession._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in rows.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(rows.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        jvm.System.gc()

@@ -85,3 +85,30 @@ def test_odd(odd):
     assert got.where("isnan(score) or score > 0 or score is null").count() == 0
     assert pitman_yor.score(odd.limit(0), F.lit(True)).count() == 0
     assert pitman_yor.score(odd, F.lit(False)).agg(F.sum("train_tokens")).first()[0] == 0
+
+
+def test_context_is_the_whole_word_before(spark):
+    """Two words of one last byte are two restaurants."""
+    train = ["cba left", "dba right"] * 50
+    rows = [(i, t, True) for i, t in enumerate(train)] + [(1000, "cba left", False), (1001, "cba right", False)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, t boolean")
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.score(frame, F.col("t")).where("doc_id >= 1000").collect()}
+    assert got[1000] > got[1001] + 0.5
+
+
+def test_many_shards_and_blocks(spark, monkeypatch):
+    """Counts are the same and probabilities nearly, whatever the number of shards; hot contexts are among the words."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{n}" for n in rng.zipf(1.4, 60) if n < 500), i % 7 != 2) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, t boolean").repartition(5, "doc_id")
+    few = sorted(tuple(r) for r in pitman_yor.score(frame, F.col("t")).collect())
+    monkeypatch.setattr(pitman_yor, "SHARD_CHARS", 10_000)
+    many = sorted(tuple(r) for r in pitman_yor.score(frame, F.col("t")).collect())
+    for a, b in zip(few, many, strict=True):
+        assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-9
+        assert abs(a[6] - b[6]) < 0.05 * abs(a[6])
+
+
+def test_packed_names():
+    names = np.array([0, 1, 2**56 - 1, 123456789], np.uint64)
+    assert (pitman_yor.unpack(pitman_yor.pack(names)) == names).all()
