@@ -104,6 +104,28 @@ def cards(
     )
 
 
+def card_list(html: Column, layout: CardLayout) -> Column:
+    """The cards of a page as one array of what `cards` gives in rows; for pages that travel whole."""
+
+    def fields(card: Column, pos: Column) -> Column:
+        href = H.attribute(H.opening_tag(card, layout.link_tag, layout.link_token), "href")
+        texts = [H.inner_text(H.element_markup(card, p.tag, p.token), p.joiner).alias(p.name) for p in layout.parts]
+        url = absolute(href, layout.domain)
+        return F.struct(pos.alias("pos"), url.alias("url"), query_param(url, layout.id_param).alias(layout.id_param), *texts)
+
+    return F.transform(H.blocks(H.visible(html), layout.tag, layout.token), fields)
+
+
+def listed_cards(rows: DataFrame, listed: str, layout: CardLayout) -> DataFrame:
+    """The rows as `cards` gives them with `outer`, from pages whose card list is in a column as JSON."""
+    names = ["url", layout.id_param, *[p.name for p in layout.parts]]
+    shape = f"array<struct<pos: int, {', '.join(f'`{n}`: string' for n in names)}>>"
+    keep = [c for c in rows.columns if c != listed]
+    return rows.select(*keep, F.explode_outer(F.from_json(listed, shape)).alias("_card")).select(
+        *keep, *[F.col("_card")[n].alias(n) for n in ("pos", *names)]
+    )
+
+
 def room_cards(pages: DataFrame) -> DataFrame:
     """Room cards of search pages, each with the postcode it was found under."""
     found = cards(pages, ["key", "page_idx", "fetched_at"])

@@ -29,7 +29,7 @@ from letbook.plans.inputs import (
     series_src,
     table,
 )
-from letbook.session import work_folder
+from letbook.session import keep, work_folder
 from letbook.sinks.tables import write_shards, write_snapshot, write_url_list
 from letbook.sources import ledgers, lists, pages, shards
 from letbook.sql import run_sql
@@ -673,7 +673,7 @@ def room_stream(spark, sf_dir):
     """The same pages as a stream, in three parts and with a restart after each: the run's outcome beside its rows."""
     folder = work_folder(spark, "room-stream")
     inbox = f"{folder}/inbox"
-    src = series_src(spark, sf_dir).select(
+    made = series_src(spark, sf_dir).select(
         "key",
         F.lit("search").alias("kind"),
         F.lit(None).cast("string").alias("url"),
@@ -683,6 +683,7 @@ def room_stream(spark, sf_dir):
         "html",
         "fetched_at",
     )
+    src = keep(made, "series")
     for part in range(3):  # a location's pages lie in all of them
         src.where(F.pmod("page_idx", F.lit(3)) == part).write.mode("append").parquet(inbox)
         rooms.collect_rooms(

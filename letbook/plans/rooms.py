@@ -12,7 +12,7 @@ from letbook import schemas
 from letbook.fixed import ROOM_ID_PARAM, ROOM_SOURCE, SHARD_ROWS
 from letbook.functions.urls import query_param
 from letbook.operators.dedup import first_listing, first_url, repeats, with_keys
-from letbook.operators.extract import ROOM_LAYOUT, CardLayout, cards
+from letbook.operators.extract import ROOM_LAYOUT, CardLayout, card_list, cards, listed_cards
 from letbook.operators.ledger import room_outcomes, to_events
 from letbook.functions.html import result_total
 from letbook.operators.paging import ROOM_SERIES, SeriesRules, page_count, settle_fetches, tag_status, visited
@@ -162,11 +162,13 @@ def room_stream(
 
 
 def _waiting_rows(pages: DataFrame, layout: CardLayout, rules: SeriesRules) -> DataFrame:
-    """Cards of pages as the keyed buffer takes them: how many pages a first page promises, times as numbers."""
+    """Pages as the keyed buffer takes them, a row each: how many pages a first page promises, times as numbers, the
+    cards in one JSON text, as every row and value costs time on its way through the state."""
     planned = F.when(F.col("page_idx") == 0, page_count(F.coalesce(result_total(F.col("html")), F.lit(0)), rules.page_size))
     settled = settle_pages(pages).withColumns({"has_html": has_html(), "planned": planned.cast("int")})
-    rows = cards(settled, [*_PAGE, "planned"], layout, outer=True)
-    return rows.withColumn("fetched_us", F.unix_micros("fetched_at")).drop("fetched_at")
+    rows = settled.select(*_PAGE, "planned", card_list(F.col("html"), layout).alias("_cards"))
+    listed = {"n_items": F.coalesce(F.size("_cards"), F.lit(0)), "cards": F.to_json("_cards"), "fetched_us": F.unix_micros("fetched_at")}
+    return rows.withColumns(listed).drop("fetched_at", "_cards")
 
 
 def collect_rooms(
@@ -193,7 +195,7 @@ def collect_rooms(
 
     def write(found: DataFrame, batch_id: int) -> None:
         timed = found.withColumn("fetched_at", F.timestamp_micros("fetched_us")).drop("fetched_us", "planned")
-        run = _run_of(keep(timed, "ended"), run_id, at, layout, rules)
+        run = _run_of(keep(listed_cards(timed, "cards", layout), "ended"), run_id, at, layout, rules)
         write_batch(run.rows, rows_path, batch_id, rows_per_file)
         write_batch(run.events, ledger_path, batch_id, rows_per_file)
 

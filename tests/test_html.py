@@ -215,3 +215,16 @@ def test_quotes_that_open_no_value(spark):
     link = """<a class=propertyCard-link title=O'Brien href=/properties/5#x>p</a><a href="/properties/6" class='propertyCard-link'>q</a>"""
     rows = spark.createDataFrame([(link,)], "html string").select(extract.links_by_anchor(F.col("html")).alias("links"))
     assert [u.rsplit("/", 1)[1] for u in rows.first().links] == ["5", "6"]
+
+
+def test_card_lists_are_the_cards(spark):
+    """Pages that carry their cards as one JSON text give the rows that reading the markup gives."""
+    pages = [f"<ul>{card()}{card(n=2, room='A &quot;q&quot; \\ é')}</ul>", "<ul><li class='listing-result'></li></ul>", "<p>none</p>", "", None]
+    given = spark.createDataFrame(list(enumerate(pages)), "key int, html string")
+    listed = given.select("key", extract.card_list(F.col("html"), extract.ROOM_LAYOUT).alias("c"))
+    listed = listed.select("key", F.coalesce(F.size("c"), F.lit(0)).alias("n_items"), F.to_json("c").alias("cards"))
+    got = extract.listed_cards(listed, "cards", extract.ROOM_LAYOUT)
+    want = extract.cards(given, ["key"], outer=True)
+    assert got.columns == want.columns
+    order = lambda rows: sorted((tuple(r) for r in rows.collect()), key=str)
+    assert order(got) == order(want)
