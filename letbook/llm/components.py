@@ -58,15 +58,17 @@ def link_blocks(
     blocks: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     may: Callable | None = None,
-    closer: tuple[DataFrame, Callable] | None = None,
+    closer: tuple[Callable[[DataFrame], DataFrame], Callable] | None = None,
+    near: tuple[DataFrame, Callable] | None = None,
     rounds: int = 3,
     spread: bool = False,
 ) -> DataFrame:
     """Verified links (a, b) that connect whatever verified pairs inside blocks connect.
 
     blocks: (block long, id long, info struct) without repeated rows. `may(left info, right info)` is a cheap column
-    condition that every link meets. `closer` is a table (id, info struct) and a condition like `may` on it, a stricter
-    one, for the rows of blocks that stay open after the first round. `verify` takes candidate pairs (a, b), a < b, and returns those that are links.
+    condition that every link meets. `closer` makes a table (id, info struct) of the ids it is given, with a condition
+    like `may` on it, a stricter one, for the rows of blocks that stay open after the first round. `near` is a table
+    (id, whole) with a dear condition on `whole`, asked once a pair of those that are left at last. `verify` takes candidate pairs (a, b), a < b, and returns those that are links.
     """
     fine = may or (lambda left, right: F.lit(True))
 
@@ -118,7 +120,7 @@ def link_blocks(
         rest = labelled.join(open_.select("block", "low"), "block")
         if closer:
             sketches, fine = closer
-            rest = rest.drop("info").join(sketches, "id")
+            rest = rest.drop("info").join(sketches(rest.select("id").distinct()), "id")
         rest = keep(rest, "rest")
         if turn == rounds or pairs <= 4 * rows:
             break
@@ -132,14 +134,16 @@ def link_blocks(
         links = keep(links.unionByName(verify(fresh)), "links")
     # a pair is listed in the first block that both are in; an id is in as many blocks as it has bands or segments
     own = rest.groupBy("id").agg(F.collect_set("block").alias("own"))
+    wholes, alike = near or (None, lambda left, right: F.lit(True))
+    own = own.join(wholes, "id") if near else own.withColumn("whole", F.lit(True))
     left = rest.select("block", "id", "label", "info").join(own, "id")
-    right = left.select(
-        "block", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("info").alias("info2"), F.col("own").alias("own2")
-    )
+    renamed = [F.col(c).alias(f"{c}2") for c in ("id", "label", "info", "own", "whole")]
+    right = left.select("block", *renamed)
     first_common = F.array_min(F.array_intersect("own", "own2")) == F.col("block")
     open_pairs = (
         left.join(right, "block")
-        .where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & fine(F.col("info"), F.col("info2")) & first_common)
+        .where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & fine(F.col("info"), F.col("info2")))
+        .where(first_common & alike(F.col("whole"), F.col("whole2")))
         .select(F.col("id").alias("a"), F.col("id2").alias("b"))
         .distinct()
         .join(asked, ["a", "b"], "left_anti")

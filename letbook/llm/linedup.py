@@ -6,9 +6,9 @@ a group (smallest id, then place in the document) stays. Equal lines are one fro
 is cut into its edits + 1 segments, at least one of which an edited copy still holds; each line looks its possible
 substrings up among the segments of lines shorter by as many characters as edits, at the few places where a copy's
 segment can be. Bitmaps of all segments, bounded in size, drop most of these substrings before anything is shuffled.
-Lines that share a segment are compared by pieces of the part that did not match (one edit) and by which pairs of
-neighbours occur an odd number of times, then by the banded bit-parallel edit distance, and links are grouped by connected
-components.
+Lines that share a segment are compared by pieces of the part that did not match (one edit), in blocks that stay open by
+which pairs of neighbours occur an odd number of times as well; Spark's own distance drops those too far apart, the banded
+bit-parallel edit distance decides on the others, and links are grouped by connected components.
 
 Defined cases: null and empty texts are one empty line, which stays; lines shorter than `min_chars` stay; a null id
 comes first; rows with equal id and text are one document for the choice of the first line, so all of them keep it;
@@ -17,6 +17,8 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -240,38 +242,70 @@ def edit_distance(left: Column, right: Column, most: int) -> Column:
     return F.when(F.abs(F.length(left) - F.length(right)) > most, most + 1).otherwise(pair)
 
 
-def _same_start(left: Column, right: Column, most: Column) -> Column:
-    """How many characters two texts begin with alike, `most` at the most, found by halving steps."""
+def _same(parts: Callable, most: Column) -> Column:
+    """How many characters two texts have alike, `most` at the most, found by halving steps; parts(at, size) are compared."""
 
     def step(at: Column, size: Column) -> Column:
-        same = F.substring(left, at + 1, size) == F.substring(right, at + 1, size)
-        return F.when((at + size <= most) & same, at + size).otherwise(at)
+        left, right = parts(at, size)
+        return F.when((at + size <= most) & (left == right), at + size).otherwise(at)
 
     return F.aggregate(F.array(*[F.lit(1 << k) for k in range(17, -1, -1)]), F.lit(0), step)
 
 
 def core(left: Column, right: Column, most: int) -> Column:
     """(left, right) without what they begin and end with alike, which no distance depends on; 2 * `most` characters stay."""
-    spare = F.least(F.length(left), F.length(right)) - 2 * most
 
-    def cut(start: Column, end: Column) -> Column:
-        inside = lambda t: F.substring(t, start + 1, F.length(t) - start - end)
-        return F.struct(inside(left).alias("left"), inside(right).alias("right"))
+    def cut(t: Column) -> Column:
+        spare = F.least(t["n"], t["m"]) - 2 * most
 
-    back = lambda start: let(_same_start(F.reverse(left), F.reverse(right), spare - start), lambda end: cut(start, end))
-    return let(_same_start(left, right, spare), back)
+        def inside(start: Column, end: Column) -> Column:
+            return F.struct(
+                F.substring(t["left"], start + 1, t["n"] - start - end).alias("left"),
+                F.substring(t["right"], start + 1, t["m"] - start - end).alias("right"),
+            )
 
+        ahead = lambda at, size: (F.substring(t["left"], at + 1, size), F.substring(t["right"], at + 1, size))
+        behind = lambda at, size: (
+            F.substring(t["left"], t["n"] - at - size + 1, size),
+            F.substring(t["right"], t["m"] - at - size + 1, size),
+        )
+        return let(_same(ahead, spare), lambda start: let(_same(behind, spare - start), lambda end: inside(start, end)))
 
-def within_edits(left: Column, right: Column, max_edits: Edits) -> Column:
-    """Whether two lines are as few edits apart as the shorter one's length allows."""
+    return let(F.struct(left.alias("left"), right.alias("right"), F.length(left).alias("n"), F.length(right).alias("m")), cut)
 
-    def near(edits: int):
-        return lambda c: edit_distance(c["left"], c["right"], edits) <= edits
 
-    shorter, out = F.least(F.length(left), F.length(right)), F
+def _allowed(shorter: Column, max_edits: Edits) -> Column:
+    out = F
     for low, end, edits in edit_classes(max_edits):
-        out = out.when(_inside(shorter, low, end), let(core(left, right, edits), near(edits)))
-    return out.otherwise(F.lit(False))
+        out = out.when(_inside(shorter, low, end), edits)
+    return out.otherwise(-1)
+
+
+def few_edits(left: Column, right: Column, max_edits: Edits) -> Column:
+    """Whether Spark's distance, which is compiled, is as small as the shorter line's length allows."""
+    top = edit_classes(max_edits)[-1][2]
+    allowed = _allowed(F.least(F.length(left), F.length(right)), max_edits)
+    # -1, which stands for more than the most, counts as one more; the distance is written once, as a join computes it as often
+    return F.pmod(F.levenshtein(left, right, top), F.lit(top + 2)) <= allowed
+
+
+def within_edits(left: Column, right: Column, max_edits: Edits) -> Column:
+    """Whether two lines are as few edits apart as the shorter one's length allows, by bit vectors.
+
+    Pairs too far apart are dropped before. Lines long enough for the widest band all take that one.
+    """
+    classes = edit_classes(max_edits)
+    top = classes[-1][2]
+    shorter = F.least(F.length(left), F.length(right))
+
+    def near(band: int) -> Column:
+        return let(core(left, right, band), lambda c: edit_distance(c["left"], c["right"], band) <= _allowed(shorter, max_edits))
+
+    out = F.when(~few_edits(left, right, max_edits), False)
+    for low, end, edits in classes:
+        if edits < top and low < 2 * top:
+            out = out.when(_inside(shorter, low, end), near(edits))
+    return out.otherwise(near(top))
 
 
 #: Two hashes that together name a line.
@@ -306,21 +340,27 @@ def line_classes(
     members = keep(keys.join(shared.select("block"), "block"), "members")
     texts = keep(
         lines.select(F.col("no").alias("id"), "line")
-        .join(small(members.select("id").distinct()), "id", "left_semi")
-        .withColumn("odd", odd_pairs(F.col("line"))),
+        .join(small(members.select("id").distinct()), "id", "left_semi"),
         "texts",
     )
     edits, form = F.floor(F.col("form") / FORMS).cast("int"), F.col("form") % FORMS
     pieces = _rest_pieces(F.col("line"), F.length("line"), form, 1)
-    info = F.struct(F.length("line").alias("n"), edits.alias("edits"), "odd", F.when(edits == 1, pieces).alias("pieces"))
+    info = F.struct(F.length("line").alias("n"), edits.alias("edits"), F.when(edits == 1, pieces).alias("pieces"))
     blocks = keep(members.join(texts, "id").select("block", "id", info.alias("info")).distinct(), "blocks")
 
     def may(left: Column, right: Column) -> Column:
         """A block is of one class, so both have the same edits."""
         close = F.abs(left["n"] - right["n"]) <= left["edits"]
+        return close & ((left["edits"] > 1) | _one_edit_may(left["pieces"], right["pieces"]))
+
+    def sketches(ids: DataFrame) -> DataFrame:
+        sketch = F.struct(F.length("line").alias("n"), odd_pairs(F.col("line")).alias("odd"))
+        return texts.join(ids, "id", "left_semi").select("id", sketch.alias("info"))
+
+    def closer(left: Column, right: Column) -> Column:
+        allowed = _allowed(F.least(left["n"], right["n"]), max_edits)
         apart = sum((F.bit_count(left["odd"][w].bitwiseXOR(right["odd"][w])) for w in ("low", "high")), F.lit(0))
-        alike = apart <= 4 * left["edits"]
-        return close & alike & ((left["edits"] > 1) | _one_edit_may(left["pieces"], right["pieces"]))
+        return (F.abs(left["n"] - right["n"]) <= allowed) & (apart <= 4 * allowed)
 
     def verify(pairs: DataFrame) -> DataFrame:
         a = texts.select(F.col("id").alias("a"), F.col("line").alias("left"))
@@ -328,7 +368,8 @@ def line_classes(
         both = pairs.join(a, "a").join(b, "b")
         return both.where(within_edits(F.col("left"), F.col("right"), max_edits)).select("a", "b")
 
-    label = components(link_blocks(blocks, verify, may, rounds=2)).withColumnRenamed("id", "no")
+    near = (texts.withColumnRenamed("line", "whole"), lambda left, right: few_edits(left, right, max_edits))
+    label = components(link_blocks(blocks, verify, may, (sketches, closer), near, rounds=2)).withColumnRenamed("id", "no")
     grouped = lines.drop("line").join(label, "no", "left").withColumn("class", F.coalesce("label", "no"))
     return grouped.select(*IDENTITY, "n", "first", "class")
 

@@ -201,7 +201,7 @@ def groups(documents: DataFrame, size: int = 5, percent: int = 80, id_column: st
         y = sets.select(F.col("name").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
 
-    label = components(link_blocks(blocks, verify, may, (sketches, closer), rounds=1, spread=True))
+    label = components(link_blocks(blocks, verify, may, (lambda _: sketches, closer), rounds=1, spread=True))
     grouped = classes.join(label, classes["name"] == label["id"], "left").select(
         "name", "doc_id", F.coalesce("label", "name").alias("label")
     )

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from letbook.llm import linedup
+from letbook.llm import components, linedup
 
 
 def distance(a, b):
@@ -172,3 +172,42 @@ def test_alike_ends_do_not_matter(spark, most):
         assert cut == len(r["b"]) - len(r["core"]["right"]) and min(map(len, r["core"])) >= 2 * most
         if r["a"] == r["b"]:
             assert len(r["core"]["left"]) == 2 * most
+
+
+def test_built_in_distance_agrees_with_bit_vectors(spark):
+    rng = random.Random(11)
+    classes = ((0, 1), (12, 2), (30, 3))
+    rows = []
+    for _ in range(400):
+        a = "".join(rng.choice("abé🙂") for _ in range(rng.randrange(8, 60)))
+        rows.append((a, mutate(rng, a, rng.randrange(6))))
+    rows = [(a, b) for a, b in rows if len(b) >= 6]
+    frame = spark.createDataFrame(rows, "a string, b string")
+    pair = F.col("a"), F.col("b")
+    got = frame.select(*pair, linedup.few_edits(*pair, classes).alias("few"), linedup.within_edits(*pair, classes).alias("near")).collect()
+    for r in got:
+        n = min(len(r["a"]), len(r["b"]))
+        assert r["few"] == r["near"] == (distance(r["a"], r["b"]) <= (1 if n < 12 else 2 if n < 30 else 3)), r
+
+
+def test_far_members_of_one_block_are_not_listed(spark, monkeypatch):
+    """Variants of a line, each with four letters put in elsewhere, share segments but are eight edits apart."""
+    rng = random.Random(5)
+    base = " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    lines = []
+    for i in range(0, len(base), 6):
+        lines.append(base[:i] + "".join(rng.choice("klmnopqrstuvwxyz") for _ in range(4)) + base[i:])
+    asked = []
+    plain = components.keep
+
+    def keep(rows, label):
+        out = plain(rows, label)
+        if label == "asked":
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "keep", keep)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert linedup.line_classes(docs).select("class").distinct().count() == len(set(lines))
+    # the last pairs asked about are those that the heads' questions left open
+    assert asked[-1] == 0
